@@ -219,3 +219,10 @@ def having_range(df: DataFrame, measure: str, lo=None, hi=None) -> DataFrame:
     if hi is not None:
         cond = cond & (m <= F.lit(hi))
     return df.filter(cond)
+
+
+def manual_order(df: DataFrame, col: str, members, out: str = "sort_rank") -> DataFrame:
+    """T4: listed members first in the listed order, every other value (and null) after them."""
+    pos = F.array_position(F.array(*[F.lit(m) for m in members]), F.col(col))
+    rank = F.when(pos > 0, pos).otherwise(F.lit(len(members) + 1)).cast("int")
+    return df.withColumn(out, rank).orderBy(F.col(out), F.col(col).asc_nulls_last())
