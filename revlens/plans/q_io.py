@@ -1 +1,99 @@
-"""Queries (filled in below)."""
+"""Queries: file round trips (each writes under a fresh folder of the checkpoint root)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.scalar import split_category
+from ..operators.aggregate import sentiment_counts
+from ..operators.hints import repartition_by
+from ..session import scratch_path
+from ..sources import files as io
+from ..sources.tables import customer_tree, reviews, table
+from .catalog import register
+from .sql import CUSTOMER_TREE, REVIEWS, with_
+
+
+def _events_json(spark, sf) -> tuple[str, T.StructType]:
+    ev = table(spark, sf, "events")
+    path = scratch_path(spark, "events-json")
+    io.write_json_lines(ev, path)
+    return path, ev.schema
+
+
+@register("scan_json", "SELECT * FROM events")
+def q_scan_json(spark, sf):
+    path, schema = _events_json(spark, sf)
+    return io.scan_json(spark, path, schema, keep_corrupt=False)
+
+
+@register("load_counted", "SELECT count(*) AS n_records FROM events")
+def q_load_counted(spark, sf):
+    path, schema = _events_json(spark, sf)
+    return io.count_frame(io.scan_json(spark, path, schema))
+
+
+@register("scan_parquet", """
+SELECT l_orderkey, l_partkey, l_extendedprice FROM lineitem
+WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_discount > 0.05""")
+def q_scan_parquet(spark, sf):
+    return io.scan_parquet(spark, f"{sf}/lineitem.parquet", ["l_orderkey", "l_partkey", "l_extendedprice"],
+                           (F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+                           & (F.col("l_discount") > 0.05))
+
+
+@register("write_parquet", "SELECT * FROM orders")
+def q_write_parquet(spark, sf):
+    path = scratch_path(spark, "orders-parquet")
+    io.write_parquet(table(spark, sf, "orders"), path)
+    return spark.read.parquet(path)
+
+
+@register("write_partitioned", with_(REVIEWS) + "SELECT * FROM reviews WHERE overall = 5")
+def q_write_partitioned(spark, sf):
+    path = scratch_path(spark, "reviews-by-rating")
+    io.write_partitioned(reviews(spark, sf), path, "overall")
+    return spark.read.parquet(path).filter(F.col("overall") == 5)
+
+
+@register("table_bytes")
+def q_table_bytes(spark, sf):
+    return io.table_bytes(spark, f"{sf}/lineitem.parquet")
+
+
+@register("scan_json_array", """
+SELECT n.n_nationkey, n.n_name, r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""")
+def q_scan_json_array(spark, sf):
+    na = table(spark, sf, "nation")
+    rg = table(spark, sf, "region")
+    rows = na.join(rg, na.n_regionkey == rg.r_regionkey).select("n_nationkey", "n_name", "r_name")
+    path = scratch_path(spark, "nations-json-array")
+    io.write_json_arrays(rows, path, n_files=3)
+    schema = T.StructType([T.StructField("n_nationkey", T.IntegerType()), T.StructField("n_name", T.StringType()),
+                           T.StructField("r_name", T.StringType())])
+    return io.scan_json_array(spark, path, schema).select("n_nationkey", "n_name", "r_name")
+
+
+@register("export_summary", with_(REVIEWS) + """
+SELECT CASE WHEN overall >= 4 THEN 'Positive' WHEN overall = 3 THEN 'Neutral' ELSE 'Negative' END
+       AS sentiment, count(*) AS count
+FROM reviews GROUP BY 1""")
+def q_export_summary(spark, sf):
+    path = scratch_path(spark, "sentiment-csv")
+    io.export_summary(sentiment_counts(reviews(spark, sf)), path, fmt="csv")
+    return spark.read.schema("sentiment string, count bigint").option("header", True).csv(path)
+
+
+@register("repartition_by", with_(REVIEWS) + "SELECT * FROM reviews")
+def q_repartition_by(spark, sf):
+    return repartition_by(reviews(spark, sf), 8, "overall")
+
+
+@register("split_category", with_(CUSTOMER_TREE) + """
+SELECT c_custkey, string_split(path, '/')[1] AS level_1, string_split(path, '/')[2] AS level_2,
+       string_split(path, '/')[3] AS level_3, string_split(path, '/')[-1] AS level_final
+FROM (SELECT c_custkey, concat_ws('/', region, nation, segment) AS path FROM tree)""")
+def q_split_category(spark, sf):
+    t = customer_tree(spark, sf).select("c_custkey", F.concat_ws("/", "region", "nation", "segment").alias("path"))
+    return t.select("c_custkey", *split_category("path", "/", 4))

@@ -1 +1,35 @@
-"""Queries (filled in below)."""
+"""Queries: ML fits (rows-only checks; results depend on the fitted model)."""
+
+from __future__ import annotations
+
+from ..operators import ml
+from ..operators import text as tx
+from ..sources.tables import table
+from .catalog import register
+
+
+def _docs_words(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    return d.withColumn("words", tx.without_stop_words(tx.tokens("text")))
+
+
+@register("count_vectors")
+def q_count_vectors(spark, sf):
+    d = _docs_words(spark, sf)
+    cv = ml.fit_count_vectors(d, "words", 1000, 5)
+    return ml.vector_stats(cv.transform(d), "doc_id")
+
+
+@register("lda_topics")
+def q_lda_topics(spark, sf):
+    d = _docs_words(spark, sf)
+    cv = ml.fit_count_vectors(d, "words", 1000, 5)
+    vec = cv.transform(d).select("doc_id", "features")
+    model = ml.fit_lda(vec, k=5, max_iter=10, seed=11)
+    return ml.describe_topics(spark, model, cv.vocabulary, 5)
+
+
+@register("kmeans_anomaly")
+def q_kmeans_anomaly(spark, sf):
+    ev = table(spark, sf, "events").select("event_id", "value")
+    return ml.kmeans_anomaly(ev, ["value"], k=2, seed=1)

@@ -1 +1,78 @@
-"""Queries (filled in below)."""
+"""Queries: streaming runs over the events table (bounded with availableNow)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..session import scratch_path
+from ..sources.files import write_json_lines
+from ..sources.tables import table
+from ..streaming import stream as st
+from .catalog import register
+
+
+def _events_stream(spark, sf, fmt="parquet"):
+    """Copy events once into a folder of its own and open it as a file stream."""
+    ev = table(spark, sf, "events")
+    src = scratch_path(spark, f"events-{fmt}-src")
+    if fmt == "json":
+        write_json_lines(ev, src)
+    else:
+        ev.write.mode("overwrite").parquet(src)
+    if fmt == "json":
+        return st.stream_json(spark, src, ev.schema), ev
+    return st.stream_parquet(spark, src, ev.schema), ev
+
+
+def _run(spark, df, label):
+    sink = scratch_path(spark, f"{label}-out")
+    st.stream_run(df, sink, scratch_path(spark, f"{label}-ck"))
+    return spark.read.parquet(sink)
+
+
+@register("stream_json", "SELECT * FROM events")
+def q_stream_json(spark, sf):
+    s, _ = _events_stream(spark, sf, "json")
+    return _run(spark, s, "stream-json")
+
+
+@register("stream_parquet_sink", "SELECT * FROM events")
+def q_stream_parquet_sink(spark, sf):
+    s, _ = _events_stream(spark, sf, "parquet")
+    return _run(spark, s, "stream-parquet")
+
+
+@register("stream_clean", """
+SELECT DISTINCT user_id, event_type FROM events
+WHERE user_id IS NOT NULL AND event_type IS NOT NULL AND value IS NOT NULL""")
+def q_stream_clean(spark, sf):
+    s, _ = _events_stream(spark, sf)
+    clean = st.stream_clean(s, ["user_id", "event_type"], ["user_id", "event_type", "value"])
+    return _run(spark, clean, "stream-clean").select("user_id", "event_type")
+
+
+@register("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+def q_stream_dedup(spark, sf):
+    s, _ = _events_stream(spark, sf)
+    s = st.event_time(s, "ts")
+    d = st.stream_dedup(s, ["user_id", "event_type"], "event_time", "1 hour")
+    return _run(spark, d, "stream-dedup").select("user_id", "event_type")
+
+
+@register("stream_zscore", """
+SELECT event_id, value,
+       coalesce((value - (SELECT avg(value) FROM events)) / nullif((SELECT stddev_samp(value) FROM events), 0) > 2, false)
+       AS is_anomaly
+FROM events""")
+def q_stream_zscore(spark, sf):
+    s, ev = _events_stream(spark, sf)
+    fit = st.fit_zscore(ev, "value")
+    flagged = st.stream_zscore(s.select("event_id", "value"), "value", fit, 2.0)
+    return _run(spark, flagged, "stream-zscore")
+
+
+@register("stream_run", "SELECT event_type, count(*) AS count FROM events GROUP BY event_type")
+def q_stream_run(spark, sf):
+    s, _ = _events_stream(spark, sf)
+    out = _run(spark, s.select("event_id", "event_type"), "stream-run")
+    return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("count"))
