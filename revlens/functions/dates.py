@@ -15,7 +15,7 @@ def _c(c) -> Column:
 
 def parse_review_time(c, fmt: str = REVIEW_TIME_FORMAT) -> Column:
     """Text date -> date; rows that do not parse become null instead of failing the job."""
-    return F.try_to_date(_c(c), F.lit(fmt))
+    return F.try_to_date(_c(c), fmt)
 
 
 def epoch_date(c) -> Column:

@@ -97,3 +97,42 @@ FROM (SELECT c_custkey, concat_ws('/', region, nation, segment) AS path FROM tre
 def q_split_category(spark, sf):
     t = customer_tree(spark, sf).select("c_custkey", F.concat_ws("/", "region", "nation", "segment").alias("path"))
     return t.select("c_custkey", *split_category("path", "/", 4))
+
+
+def _review_json_lines(spark, sf):
+    """Review rows written as JSON text the way the dumps look: rating 3.0,
+    flag as the string "false"/"true", votes with a thousands comma, dates as
+    'MM d, yyyy'; one malformed line per order with linenumber 1 and status 'P'."""
+    r = reviews(spark, sf)
+    v = F.col("votes") * F.lit(100)
+    obj = F.to_json(F.struct(
+        F.col("reviewer_id").cast("string").alias("reviewerID"),
+        F.col("asin").cast("string").alias("asin"),
+        F.col("overall").cast("double").alias("overall"),
+        F.col("verified").cast("string").alias("verified"),
+        F.format_number(v, 0).alias("vote"),
+        F.unix_timestamp(F.col("review_date").cast("timestamp")).alias("unixReviewTime"),
+        F.date_format("review_date", "MM d, yyyy").alias("reviewTime")))
+    line = F.when((F.col("helpful") == 0) & (F.col("overall") == 1) & (F.col("votes") % 7 == 0),
+                  F.concat(F.lit("{broken "), obj)).otherwise(obj)
+    path = scratch_path(spark, "reviews-json")
+    r.select(line.alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
+@register("review_json_normalize", with_(REVIEWS) + """
+SELECT CASE WHEN bad THEN NULL ELSE CAST(reviewer_id AS VARCHAR) END AS reviewerID,
+       CASE WHEN bad THEN NULL ELSE CAST(asin AS VARCHAR) END AS asin,
+       CASE WHEN bad THEN NULL ELSE overall END AS overall,
+       CASE WHEN bad THEN NULL ELSE verified END AS verified,
+       CASE WHEN bad OR votes * 100 >= 1000 THEN NULL ELSE votes * 100 END AS vote,
+       CASE WHEN bad THEN NULL ELSE review_date END AS review_date,
+       CASE WHEN bad THEN NULL ELSE CAST(epoch(CAST(review_date AS TIMESTAMP)) AS BIGINT) END AS unixReviewTime,
+       bad AS corrupt
+FROM (SELECT *, helpful = 0 AND overall = 1 AND votes % 7 = 0 AS bad FROM reviews)""")
+def q_review_json_normalize(spark, sf):
+    path = _review_json_lines(spark, sf)
+    raw = io.scan_json(spark, path, io.REVIEW_RAW_SCHEMA)
+    out = io.normalize_reviews(raw)
+    return out.select("reviewerID", "asin", "overall", "verified", "vote", "review_date", "unixReviewTime",
+                      F.col(io.CORRUPT).isNotNull().alias("corrupt"))
