@@ -123,20 +123,27 @@ def rating_stats(df: DataFrame, col: str = "overall") -> DataFrame:
     )
 
 
-def box_stats(df: DataFrame, value: str, group: str | None = None, whisker: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, value: str, group: str | None = None, whisker: float = 1.5,
+              approx_accuracy: int | None = None) -> DataFrame:
     """AG11: quartiles (linear), min, max and 1.5·IQR fences per group.
 
     The exact percentile keeps one counter per distinct value and merges
-    partial buffers, so it is meant for bounded-domain columns (ratings,
-    votes).  ``lower_whisker``/``upper_whisker`` are the extreme values
-    inside the fences: a second aggregate joined on the group key.
+    partial buffers, so it suits bounded-domain columns (ratings, votes).
+    For a continuous column pass ``approx_accuracy`` (e.g. 10000): quartiles
+    then come from a mergeable quantile sketch of fixed size per group.
+    ``lower_whisker``/``upper_whisker`` are the extreme values inside the
+    fences: a second aggregate joined on the group key.
     """
     keys = [group] if group else []
     v = F.col(value)
+    if approx_accuracy:
+        qs = F.percentile_approx(v.cast("double"), [0.25, 0.5, 0.75], approx_accuracy)
+        quart = [qs[0].alias("q1"), qs[1].alias("median"), qs[2].alias("q3")]
+    else:
+        quart = [F.percentile(v, 0.25).alias("q1"), F.percentile(v, 0.5).alias("median"),
+                 F.percentile(v, 0.75).alias("q3")]
     q = (df.groupBy(*keys)
-           .agg(F.percentile(v, 0.25).alias("q1"), F.percentile(v, 0.5).alias("median"),
-                F.percentile(v, 0.75).alias("q3"), F.min(v).cast("double").alias("min"),
-                F.max(v).cast("double").alias("max")))
+           .agg(*quart, F.min(v).cast("double").alias("min"), F.max(v).cast("double").alias("max")))
     iqr = F.col("q3") - F.col("q1")
     q = (q.withColumn("lower_fence", F.col("q1") - F.lit(whisker) * iqr)
           .withColumn("upper_fence", F.col("q3") + F.lit(whisker) * iqr))

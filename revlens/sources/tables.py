@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import derived
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -21,15 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def reviews(spark: SparkSession, sf_dir: str, categories: bool = False) -> DataFrame:
-    """Review rows: lineitem ⋈ orders (⋈ part when category levels are asked for).
+BASE_REVIEW_COLUMNS = ["reviewer_id", "asin", "overall", "verified", "votes", "helpful", "review_date"]
+CATEGORY_COLUMNS = ["main_category", "sub_category", "sub_sub_category", "final_category", "title"]
 
-    reviewer_id = o_custkey, asin = l_partkey, overall = first digit of the order
-    priority (1-5), verified = status 'F', votes = quantity-1, helpful =
-    least(linenumber, votes), review_date = order date.  The part join is only
-    added when the category columns are needed; both joins are on the foreign
-    keys, so the rows are the same either way.
-    """
+
+def _review_plan(spark: SparkSession, sf_dir: str, part_join: str | None) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     od = table(spark, sf_dir, "orders").select(
@@ -45,19 +43,42 @@ def reviews(spark: SparkSession, sf_dir: str, categories: bool = False) -> DataF
         F.col("o_orderdate").cast("date").alias("review_date"),
     ]
     joined = li.join(od, li.l_orderkey == od.o_orderkey)
-    if categories:
+    if part_join:
         pt = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-        joined = joined.join(pt, joined.l_partkey == pt.p_partkey)
+        joined = joined.join(pt, joined.l_partkey == pt.p_partkey, part_join)
         cols += [
             F.col("p_type").alias("main_category"),
             F.col("p_brand").alias("sub_category"),
             F.col("p_size").alias("sub_sub_category"),
             F.col("p_name").alias("final_category"),
             F.col("p_name").alias("title"),
+            F.col("p_partkey").isNotNull().alias("_has_part"),
         ]
     return joined.select(*cols)
 
 
+def reviews(spark: SparkSession, sf_dir: str, categories: bool = False) -> DataFrame:
+    """Review rows: lineitem ⋈ orders (⋈ part when category levels are asked for).
+
+    reviewer_id = o_custkey, asin = l_partkey, overall = first digit of the order
+    priority (1-5), verified = status 'F', votes = quantity-1, helpful =
+    least(linenumber, votes), review_date = order date.
+
+    With materialisation on (the default) the joins run once per application:
+    lineitem ⋈ orders ⟕ part is written as a table; without categories every
+    row is used (= the inner join of lineitem and orders), with categories
+    only rows that found their part (= the inner three-way join).
+    """
+    if derived.enabled(spark):
+        t = derived.stored(spark, "reviews", sf_dir, lambda: _review_plan(spark, sf_dir, "left"))
+        if categories:
+            return t.filter(F.col("_has_part")).select(*BASE_REVIEW_COLUMNS, *CATEGORY_COLUMNS)
+        return t.select(*BASE_REVIEW_COLUMNS)
+    if categories:
+        return _review_plan(spark, sf_dir, "inner").drop("_has_part")
+    return _review_plan(spark, sf_dir, None)
+
+
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review_v1-shaped rows with nulls injected, for the null-handling operators.
 
@@ -94,8 +115,15 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trade flows: customer nation -> supplier nation, valued by extended price.
 
     ``category`` (market segment) and ``region`` (customer region) give the
-    extra dimensions the brushing operators need.
+    extra dimensions the brushing operators need.  Written once per
+    application when materialisation is on.
     """
+    if derived.enabled(spark):
+        return derived.stored(spark, "flows", sf_dir, lambda: _flow_plan(spark, sf_dir))
+    return _flow_plan(spark, sf_dir)
+
+
+def _flow_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
