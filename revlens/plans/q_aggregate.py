@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.dates import epoch_date, month_name, month_start, parse_review_time, week_part, weekday_name
 from ..operators import aggregate as ag
 from ..sources.tables import reviews
 from .catalog import register
@@ -39,8 +40,9 @@ def q_avg_by_verified(spark, sf):
 
 
 @register("polarized", R + """
-SELECT asin, count_if(overall = 1) AS one_star_reviews, count_if(overall = 5) AS five_star_reviews,
-       count_if(overall = 1) + count_if(overall = 5) AS polar_reviews
+SELECT asin, CAST(count_if(overall = 1) AS BIGINT) AS one_star_reviews,
+       CAST(count_if(overall = 5) AS BIGINT) AS five_star_reviews,
+       CAST(count_if(overall = 1) + count_if(overall = 5) AS BIGINT) AS polar_reviews
 FROM reviews WHERE overall IN (1, 5) GROUP BY asin
 ORDER BY polar_reviews DESC, asin LIMIT 10""")
 def q_polarized(spark, sf):
@@ -87,7 +89,8 @@ def q_rating_stats(spark, sf):
 f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM q)
 SELECT f.*, CAST(min(CASE WHEN r.votes BETWEEN f.lower_fence AND f.upper_fence THEN r.votes END) AS DOUBLE) AS lower_whisker,
        CAST(max(CASE WHEN r.votes BETWEEN f.lower_fence AND f.upper_fence THEN r.votes END) AS DOUBLE) AS upper_whisker,
-       count_if(r.votes IS NOT NULL AND NOT (r.votes BETWEEN f.lower_fence AND f.upper_fence)) AS n_outliers
+       CAST(count_if(r.votes IS NOT NULL AND NOT (r.votes BETWEEN f.lower_fence AND f.upper_fence)) AS BIGINT)
+         AS n_outliers
 FROM f JOIN reviews r ON r.main_category = f.main_category
 GROUP BY ALL""")
 def q_box_stats(spark, sf):
@@ -95,7 +98,7 @@ def q_box_stats(spark, sf):
 
 
 @register("distinct_customers", R + """
-SELECT year(review_date) AS year, monthname(review_date) AS month_name,
+SELECT CAST(year(review_date) AS INTEGER) AS year, monthname(review_date) AS month_name,
        count(DISTINCT reviewer_id) AS distinct_customers
 FROM reviews GROUP BY 1, 2""")
 def q_distinct_customers(spark, sf):
@@ -160,3 +163,32 @@ SELECT reviewer_id, avg(overall) AS avg_rating FROM reviews GROUP BY reviewer_id
 ORDER BY avg_rating DESC, reviewer_id LIMIT 20""")
 def q_order_desc_limit(spark, sf):
     return ag.avg_by_key(reviews(spark, sf), "reviewer_id", "overall", k=20)
+
+
+@register("distinct_customers_approx")
+def q_distinct_customers_approx(spark, sf):
+    """AG15 with the HyperLogLog++ sketch (approx_count_distinct); rows-only check."""
+    return ag.distinct_customers(reviews(spark, sf), approx=True)
+
+
+@register("date_parts", R + f"""
+SELECT reviewer_id, asin, review_date,
+       CAST(year(review_date) AS INTEGER) AS year, CAST(quarter(review_date) AS INTEGER) AS quarter,
+       CAST(month(review_date) AS INTEGER) AS month, CAST(day(review_date) AS INTEGER) AS day,
+       {WEEK_PART.format(d='review_date')} AS week, monthname(review_date) AS month_name,
+       dayname(review_date) AS weekday, CAST(date_trunc('month', review_date) AS DATE) AS month_start,
+       CAST(epoch(CAST(review_date AS TIMESTAMP)) AS BIGINT) AS epoch_seconds,
+       review_date AS epoch_round_trip,
+       review_date AS parsed_review_time
+FROM reviews""")
+def q_date_parts(spark, sf):
+    d = F.col("review_date")
+    epoch = F.unix_timestamp(d.cast("timestamp"))
+    text = F.date_format(d, "MM d, yyyy")
+    return reviews(spark, sf).select(
+        "reviewer_id", "asin", "review_date",
+        F.year(d).alias("year"), F.quarter(d).alias("quarter"), F.month(d).alias("month"),
+        F.dayofmonth(d).alias("day"), week_part(d).alias("week"), month_name(d).alias("month_name"),
+        weekday_name(d).alias("weekday"), month_start(d).alias("month_start"),
+        epoch.alias("epoch_seconds"), epoch_date(epoch).alias("epoch_round_trip"),
+        parse_review_time(text).alias("parsed_review_time"))

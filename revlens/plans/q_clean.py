@@ -102,7 +102,7 @@ def q_set_filter(spark, sf):
 
 
 @register("review_length", """
-SELECT doc_id, length(text) AS review_length FROM documents""")
+SELECT doc_id, CAST(length(text) AS INTEGER) AS review_length FROM documents""")
 def q_review_length(spark, sf):
     return clean.review_length(table(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")
 

@@ -92,13 +92,13 @@ _RAW_COLS = ["reviewer_id", "asin", "review_text", "overall", "summary", "review
 
 
 @register("null_counts", with_(RAW_REVIEWS) + "SELECT "
-          + ", ".join(f"count_if({c} IS NULL) AS {c}" for c in _RAW_COLS) + " FROM raw_reviews")
+          + ", ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS {c}" for c in _RAW_COLS) + " FROM raw_reviews")
 def q_null_counts(spark, sf):
     return pr.null_counts(raw_reviews(spark, sf))
 
 
 @register("null_counts_long", with_(RAW_REVIEWS) + " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, count_if({c} IS NULL) AS null_count FROM raw_reviews" for c in _RAW_COLS))
+    f"SELECT '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS null_count FROM raw_reviews" for c in _RAW_COLS))
 def q_null_counts_long(spark, sf):
     return pr.null_counts_long(raw_reviews(spark, sf))
 

@@ -14,8 +14,8 @@ R = with_(REVIEWS)
 
 @register("lod_daily", R.rstrip() + """
 , fixed AS (SELECT review_date, count(reviewer_id) AS _fixed FROM reviews GROUP BY review_date),
-view AS (SELECT DISTINCT year(review_date) AS year, quarter(review_date) AS quarter,
-                month(review_date) AS month, day(review_date) AS day, review_date
+view AS (SELECT DISTINCT CAST(year(review_date) AS INTEGER) AS year, CAST(quarter(review_date) AS INTEGER) AS quarter,
+                CAST(month(review_date) AS INTEGER) AS month, CAST(day(review_date) AS INTEGER) AS day, review_date
          FROM reviews WHERE overall = 5)
 SELECT year, quarter, month, day, CAST(sum(_fixed) AS BIGINT) AS value
 FROM view JOIN fixed USING (review_date) GROUP BY 1, 2, 3, 4

@@ -23,14 +23,14 @@ def _filtered_sql() -> str:
 
 
 @register("tokenize", f"""
-SELECT doc_id, len({TOK}) AS n_tokens, array_to_string({TOK}, ' ') AS tokens FROM documents""")
+SELECT doc_id, CAST(len({TOK}) AS INTEGER) AS n_tokens, array_to_string({TOK}, ' ') AS tokens FROM documents""")
 def q_tokenize(spark, sf):
     d = tx.tokenize(table(spark, sf, "documents").select("doc_id", "text"), "text")
     return d.select("doc_id", F.size("words").alias("n_tokens"), F.array_join("words", " ").alias("tokens"))
 
 
 @register("remove_stopwords", f"""
-SELECT doc_id, len(f) AS n_tokens, array_to_string(f, ' ') AS tokens
+SELECT doc_id, CAST(len(f) AS INTEGER) AS n_tokens, array_to_string(f, ' ') AS tokens
 FROM (SELECT doc_id, {_filtered_sql()} AS f FROM documents)""")
 def q_remove_stopwords(spark, sf):
     d = tx.tokenize(table(spark, sf, "documents").select("doc_id", "text"), "text")
@@ -54,7 +54,8 @@ def q_cloud_words(spark, sf):
 
 
 @register("word_repetition", """
-SELECT doc_id, len(string_split(text, ' ')) AS word_count, len(list_distinct(string_split(text, ' '))) AS unique_word_count,
+SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS word_count,
+       CAST(len(list_distinct(string_split(text, ' '))) AS INTEGER) AS unique_word_count,
        len(string_split(text, ' ')) / len(list_distinct(string_split(text, ' '))) AS word_repetition_ratio
 FROM documents WHERE text IS NOT NULL ORDER BY word_repetition_ratio DESC, doc_id LIMIT 5""")
 def q_word_repetition(spark, sf):

@@ -83,8 +83,15 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review_v1-shaped rows with nulls injected, for the null-handling operators.
 
     The testdata has no nulls; each review field is nulled under a fixed rule
-    on another column so that the same rule can be written in SQL.
+    on another column so that the same rule can be written in SQL.  Written
+    once per application when materialisation is on.
     """
+    if derived.enabled(spark):
+        return derived.stored(spark, "raw_reviews", sf_dir, lambda: _raw_review_plan(spark, sf_dir))
+    return _raw_review_plan(spark, sf_dir)
+
+
+def _raw_review_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
     od = table(spark, sf_dir, "orders").select(

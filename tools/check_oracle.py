@@ -42,6 +42,22 @@ def norm(v, digits=6):
     return v
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT",
+                 "smallint": "SMALLINT", "tinyint": "TINYINT", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                 "array<string>": "VARCHAR[]"}
+
+
+def type_diff(sdtypes, con, sql):
+    dtypes = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    out = []
+    for c, t in sdtypes:
+        want = SPARK_TO_DUCK.get(t, t.upper())
+        if dtypes.get(c) != want:
+            out.append(f"{c}: spark {t} vs duckdb {dtypes.get(c)}")
+    return out
+
+
 def rows_of(cols, rows, digits):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = [tuple(norm(r[i], digits) for i in order) for r in rows]
@@ -91,8 +107,10 @@ def main():
             continue
         exact = rows_of(scols, srows, 15) == rows_of(dcols, drows, 15)
         loose = rows_of(scols, srows, 6) == rows_of(dcols, drows, 6)
+        tdiff = type_diff(df.dtypes, con, sqls[name])
         if loose:
-            print(f"OK   {name}: {len(srows)} rows{'' if exact else ' (float-rounded)'} {ts:.1f}s")
+            print(f"OK   {name}: {len(srows)} rows{'' if exact else ' (float-rounded)'} {ts:.1f}s"
+                  + (f" TYPES {tdiff}" if tdiff else ""))
         else:
             a, b = rows_of(scols, srows, 6), rows_of(dcols, drows, 6)
             diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
