@@ -48,11 +48,13 @@ def tokenize(df: DataFrame, text_col: str, out: str = "words") -> DataFrame:
     return df.withColumn(out, tokens(text_col))
 
 
-def without_stop_words(words: str | Column, stop_words=None) -> Column:
-    """Drop stop words, keep order and repeats (case-insensitive like StopWordsRemover)."""
+def without_stop_words(words: str | Column, stop_words=None, lowercase: bool = True) -> Column:
+    """Drop stop words, keep order and repeats (case-insensitive like
+    StopWordsRemover; ``lowercase=False`` skips the case fold for tokens that
+    are lower-cased already)."""
     w = F.col(words) if isinstance(words, str) else words
     stop = list(stop_words) if stop_words is not None else list(default_stop_words())
-    return F.filter(w, lambda x: ~F.lower(x).isin(stop))
+    return F.filter(w, (lambda x: ~F.lower(x).isin(stop)) if lowercase else (lambda x: ~x.isin(stop)))
 
 
 def remove_stopwords(df: DataFrame, words_col: str = "words", out: str = "filtered_words",
@@ -60,13 +62,25 @@ def remove_stopwords(df: DataFrame, words_col: str = "words", out: str = "filter
     return df.withColumn(out, without_stop_words(words_col, stop_words))
 
 
-def word_freq(df: DataFrame, text_col: str, k: int | None = 100, stop_words=None) -> DataFrame:
-    """Most frequent non-stop-word tokens, ties by word."""
-    w = df.select(F.explode(without_stop_words(tokens(text_col), stop_words)).alias("word"))
+def word_counts(df: DataFrame, words_col: str, k: int | None = 100) -> DataFrame:
+    """Top-k occurrence counts of the words of an array column, ties by word."""
+    w = df.select(F.explode(words_col).alias("word"))
     agg = w.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
     return order_desc_limit(agg, "count", "word", k)
 
 
+def word_freq(df: DataFrame, text_col: str, k: int | None = 100, stop_words=None) -> DataFrame:
+    """Most frequent non-stop-word tokens, ties by word."""
+    words = df.select(without_stop_words(tokens(text_col), stop_words, lowercase=False).alias("_w"))
+    return word_counts(words, "_w", k)
+
+
+def cloud_weights(top: DataFrame) -> DataFrame:
+    """N6 on top-k counts: weight = count / largest count (k rows, a scalar subquery)."""
+    peak = top.agg(F.max("count")).scalar()
+    return top.select("word", "count", (F.col("count") / peak).alias("weight"))
+
+
 def cloud_words(df: DataFrame, text_col: str, k: int = 100, stop_words=None) -> DataFrame:
     """Word-cloud weights, count relative to the most frequent word."""
     top = word_freq(df, text_col, k, stop_words)

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import ml
-from ..operators import text as tx
-from ..sources.tables import table
+from ..sources.tables import doc_tokens, table
 from .catalog import register
 
 
 def _docs_words(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "text")
-    return d.withColumn("words", tx.without_stop_words(tx.tokens("text")))
+    return doc_tokens(spark, sf).select("doc_id", F.col("filtered").alias("words"))
 
 
 @register("count_vectors")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregate as ag
 from ..operators import text as tx
-from ..sources.tables import table, text_reviews
+from ..sources.tables import doc_tokens, table, text_reviews
 from .catalog import register
 from .sql import TEXT_REVIEWS, TOKENS, with_
 
@@ -25,7 +25,7 @@ def _filtered_sql() -> str:
 @register("tokenize", f"""
 SELECT doc_id, CAST(len({TOK}) AS INTEGER) AS n_tokens, array_to_string({TOK}, ' ') AS tokens FROM documents""")
 def q_tokenize(spark, sf):
-    d = tx.tokenize(table(spark, sf, "documents").select("doc_id", "text"), "text")
+    d = doc_tokens(spark, sf)
     return d.select("doc_id", F.size("words").alias("n_tokens"), F.array_join("words", " ").alias("tokens"))
 
 
@@ -33,8 +33,7 @@ def q_tokenize(spark, sf):
 SELECT doc_id, CAST(len(f) AS INTEGER) AS n_tokens, array_to_string(f, ' ') AS tokens
 FROM (SELECT doc_id, {_filtered_sql()} AS f FROM documents)""")
 def q_remove_stopwords(spark, sf):
-    d = tx.tokenize(table(spark, sf, "documents").select("doc_id", "text"), "text")
-    d = tx.remove_stopwords(d, "words", "filtered")
+    d = doc_tokens(spark, sf)
     return d.select("doc_id", F.size("filtered").alias("n_tokens"), F.array_join("filtered", " ").alias("tokens"))
 
 
@@ -42,7 +41,7 @@ def q_remove_stopwords(spark, sf):
 SELECT word, count(*) AS count FROM (SELECT unnest({_filtered_sql()}) AS word FROM documents)
 GROUP BY word ORDER BY count DESC, word LIMIT 100""")
 def q_word_freq(spark, sf):
-    return tx.word_freq(table(spark, sf, "documents"), "text", 100)
+    return tx.word_counts(doc_tokens(spark, sf), "filtered", 100)
 
 
 @register("cloud_words", f"""
@@ -50,7 +49,7 @@ WITH top AS (SELECT word, count(*) AS count FROM (SELECT unnest({_filtered_sql()
              GROUP BY word ORDER BY count DESC, word LIMIT 100)
 SELECT word, count, count / (SELECT max(count) FROM top) AS weight FROM top""")
 def q_cloud_words(spark, sf):
-    return tx.cloud_words(table(spark, sf, "documents"), "text", 100)
+    return tx.cloud_weights(tx.word_counts(doc_tokens(spark, sf), "filtered", 100))
 
 
 @register("word_repetition", """
@@ -76,8 +75,8 @@ SELECT keyword, quality, count(keyword) AS count
 FROM (SELECT quality, unnest({_filtered_sql()}) AS keyword FROM text_reviews WHERE quality IS NOT NULL)
 GROUP BY keyword, quality""")
 def q_keyword_sentiment(spark, sf):
-    df = text_reviews(spark, sf).filter(F.col("quality").isNotNull())
-    kw = df.select("quality", F.explode(tx.without_stop_words(tx.tokens("text"))).alias("keyword"))
+    df = doc_tokens(spark, sf).filter(F.col("quality").isNotNull())
+    kw = df.select("quality", F.explode("filtered").alias("keyword"))
     return ag.keyword_sentiment(kw, "keyword", "quality")
 
 
