@@ -19,8 +19,13 @@ def parse_review_time(c, fmt: str = REVIEW_TIME_FORMAT) -> Column:
 
 
 def epoch_date(c) -> Column:
-    """Epoch seconds (unixReviewTime) -> date in the session time zone."""
-    return F.to_date(F.timestamp_seconds(_c(c)))
+    """Epoch seconds (unixReviewTime) -> UTC calendar date (independent of the session time zone)."""
+    return F.date_from_unix_date(F.floor(_c(c) / F.lit(86400)).cast("int"))
+
+
+def date_epoch_seconds(c) -> Column:
+    """Date -> epoch seconds of its UTC midnight (independent of the session time zone)."""
+    return F.unix_date(_c(c)).cast("bigint") * F.lit(86400)
 
 
 def week_part(c) -> Column:

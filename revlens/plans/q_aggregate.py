@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.dates import epoch_date, month_name, month_start, parse_review_time, week_part, weekday_name
+from ..functions.dates import date_epoch_seconds, epoch_date, month_name, month_start, parse_review_time, week_part, weekday_name
 from ..operators import aggregate as ag
 from ..sources.tables import reviews
 from .catalog import register
@@ -183,7 +183,7 @@ SELECT reviewer_id, asin, review_date,
 FROM reviews""")
 def q_date_parts(spark, sf):
     d = F.col("review_date")
-    epoch = F.unix_timestamp(d.cast("timestamp"))
+    epoch = date_epoch_seconds(d)
     text = F.date_format(d, "MM d, yyyy")
     return reviews(spark, sf).select(
         "reviewer_id", "asin", "review_date",

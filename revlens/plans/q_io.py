@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.dates import date_epoch_seconds
 from ..functions.scalar import split_category
 from ..operators.aggregate import sentiment_counts
 from ..operators.hints import repartition_by
@@ -111,7 +112,7 @@ def _review_json_lines(spark, sf):
         F.col("overall").cast("double").alias("overall"),
         F.col("verified").cast("string").alias("verified"),
         F.format_number(v, 0).alias("vote"),
-        F.unix_timestamp(F.col("review_date").cast("timestamp")).alias("unixReviewTime"),
+        date_epoch_seconds("review_date").alias("unixReviewTime"),
         F.date_format("review_date", "MM d, yyyy").alias("reviewTime")))
     line = F.when((F.col("helpful") == 0) & (F.col("overall") == 1) & (F.col("votes") % 7 == 0),
                   F.concat(F.lit("{broken "), obj)).otherwise(obj)
