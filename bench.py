@@ -59,7 +59,7 @@ def main() -> None:
     # the derived review / flow tables are written once and counted once
     if derived.enabled(spark):
         for label, build in (("derive_reviews", tables.reviews), ("derive_flows", tables.flows),
-                             ("derive_doc_tokens", tables.doc_tokens)):
+                             ("derive_text_docs", tables.doc_tokens)):
             t0 = time.perf_counter()
             build(spark, sf)
             times[label] = round(time.perf_counter() - t0, 3)

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_epoch_seconds, epoch_date, month_name, month_start, parse_review_time, week_part, weekday_name
 from ..operators import aggregate as ag
-from ..sources.tables import reviews
+from ..sources.tables import raw_reviews, reviews
 from .catalog import register
-from .sql import REVIEWS, REVIEWS_CAT, WEEK_PART, with_
+from .sql import RAW_REVIEWS, REVIEWS, REVIEWS_CAT, WEEK_PART, with_
 
 R = with_(REVIEWS)
 RC = with_(REVIEWS_CAT)
@@ -192,3 +192,27 @@ def q_date_parts(spark, sf):
         weekday_name(d).alias("weekday"), month_start(d).alias("month_start"),
         epoch.alias("epoch_seconds"), epoch_date(epoch).alias("epoch_round_trip"),
         parse_review_time(text).alias("parsed_review_time"))
+
+
+@register("top_reviewed_text", with_(RAW_REVIEWS) + """
+SELECT asin, count(review_text) AS review_count FROM raw_reviews
+GROUP BY asin ORDER BY review_count DESC, asin NULLS FIRST LIMIT 10""")
+def q_top_reviewed_text(spark, sf):
+    """AG1 as written: count of non-null review text per product (null product is a group)."""
+    return ag.top_reviewed(raw_reviews(spark, sf), "asin", text_col="review_text", k=10)
+
+
+@register("trend_daily_text", with_(RAW_REVIEWS) + """
+SELECT review_date, count(review_text) AS review_count FROM raw_reviews GROUP BY review_date""")
+def q_trend_daily_text(spark, sf):
+    """AG7 as written: non-null review texts per day."""
+    return ag.trend_daily(raw_reviews(spark, sf), "review_date", text_col="review_text")
+
+
+@register("sentiment_counts_nulls", with_(RAW_REVIEWS) + """
+SELECT CASE WHEN overall >= 4 THEN 'Positive' WHEN overall = 3 THEN 'Neutral' ELSE 'Negative' END
+       AS sentiment, count(*) AS count
+FROM raw_reviews GROUP BY 1""")
+def q_sentiment_counts_nulls(spark, sf):
+    """AG9 over ratings with nulls: a null rating falls to Negative."""
+    return ag.sentiment_counts(raw_reviews(spark, sf), "overall")

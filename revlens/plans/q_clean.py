@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import clean
-from ..sources.tables import raw_reviews, reviews, table
+from ..sources.tables import raw_reviews, reviews, table, text_reviews
 from .catalog import register
 from .sql import NUMERIC_PREFIX, RAW_REVIEWS, REVIEWS, with_
 
@@ -23,7 +23,7 @@ def q_sample_rows(spark, sf):
 SELECT doc_id, CASE WHEN regexp_matches(text, 'refund|return|defective', 'i') THEN 1 ELSE 0 END AS contains_keyword
 FROM documents""")
 def q_keyword_flag(spark, sf):
-    return clean.keyword_flag(table(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")
+    return clean.keyword_flag(text_reviews(spark, sf).select("doc_id", "text"), "text").drop("text")
 
 
 @register("malformed_rows", RAW + """
@@ -104,7 +104,7 @@ def q_set_filter(spark, sf):
 @register("review_length", """
 SELECT doc_id, CAST(length(text) AS INTEGER) AS review_length FROM documents""")
 def q_review_length(spark, sf):
-    return clean.review_length(table(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")
+    return clean.review_length(text_reviews(spark, sf).select("doc_id", "text"), "text").drop("text")
 
 
 @register("dedup_keys", R + """

@@ -103,7 +103,8 @@ def q_split_category(spark, sf):
 def _review_json_lines(spark, sf):
     """Review rows written as JSON text the way the dumps look: rating 3.0,
     flag as the string "false"/"true", votes with a thousands comma, dates as
-    'MM d, yyyy'; one malformed line per order with linenumber 1 and status 'P'."""
+    'MM d, yyyy'; unverified one-star rows without helpful votes are written
+    as malformed lines."""
     r = reviews(spark, sf)
     v = F.col("votes") * F.lit(100)
     obj = F.to_json(F.struct(
@@ -114,7 +115,7 @@ def _review_json_lines(spark, sf):
         F.format_number(v, 0).alias("vote"),
         date_epoch_seconds("review_date").alias("unixReviewTime"),
         F.date_format("review_date", "MM d, yyyy").alias("reviewTime")))
-    line = F.when((F.col("helpful") == 0) & (F.col("overall") == 1) & (F.col("votes") % 7 == 0),
+    line = F.when((F.col("helpful") == 0) & (F.col("overall") == 1) & ~F.col("verified"),
                   F.concat(F.lit("{broken "), obj)).otherwise(obj)
     path = scratch_path(spark, "reviews-json")
     r.select(line.alias("value")).write.mode("overwrite").text(path)
@@ -130,7 +131,7 @@ SELECT CASE WHEN bad THEN NULL ELSE CAST(reviewer_id AS VARCHAR) END AS reviewer
        CASE WHEN bad THEN NULL ELSE review_date END AS review_date,
        CASE WHEN bad THEN NULL ELSE CAST(epoch(CAST(review_date AS TIMESTAMP)) AS BIGINT) END AS unixReviewTime,
        bad AS corrupt
-FROM (SELECT *, helpful = 0 AND overall = 1 AND votes % 7 = 0 AS bad FROM reviews)""")
+FROM (SELECT *, helpful = 0 AND overall = 1 AND NOT verified AS bad FROM reviews)""")
 def q_review_json_normalize(spark, sf):
     path = _review_json_lines(spark, sf)
     raw = io.scan_json(spark, path, io.REVIEW_RAW_SCHEMA)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregate as ag
 from ..operators import text as tx
-from ..sources.tables import doc_tokens, table, text_reviews
+from ..sources.tables import doc_tokens, text_reviews
 from .catalog import register
 from .sql import TEXT_REVIEWS, TOKENS, with_
 
@@ -58,7 +58,7 @@ SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS word_count,
        len(string_split(text, ' ')) / len(list_distinct(string_split(text, ' '))) AS word_repetition_ratio
 FROM documents WHERE text IS NOT NULL ORDER BY word_repetition_ratio DESC, doc_id LIMIT 5""")
 def q_word_repetition(spark, sf):
-    return tx.word_repetition(table(spark, sf, "documents"), "text", "doc_id", 5)
+    return tx.word_repetition(text_reviews(spark, sf), "text", "doc_id", 5)
 
 
 @register("word_sentiment", TR + """
@@ -84,13 +84,13 @@ def q_keyword_sentiment(spark, sf):
 SELECT coalesce(avg(CASE WHEN regexp_matches(text, 'refund|return|defective', 'i') THEN 1 ELSE 0 END) * 100.0, 0.0)
        AS keyword_pct FROM documents""")
 def q_keyword_share(spark, sf):
-    return ag.keyword_share(table(spark, sf, "documents"), "text")
+    return ag.keyword_share(text_reviews(spark, sf), "text")
 
 
 @register("label_frequency", """
 SELECT source, count(*) AS count FROM documents GROUP BY source ORDER BY count DESC, source LIMIT 5""")
 def q_label_frequency(spark, sf):
-    return ag.label_frequency(table(spark, sf, "documents"), "source", 5)
+    return ag.label_frequency(text_reviews(spark, sf), "source", 5)
 
 
 @register("length_rating_bins", TR + """

@@ -119,32 +119,46 @@ def _raw_review_plan(spark: SparkSession, sf_dir: str, shuffle_join: bool = Fals
     )
 
 
-def text_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as review text, scored by the quality label where one exists."""
+DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def _text_plan(spark: SparkSession, sf_dir: str, shuffle_join: bool = False, with_tokens: bool = False) -> DataFrame:
+    from ..operators.text import tokens, without_stop_words
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    return docs.join(labels, "doc_id", "left")
+    if shuffle_join:
+        labels = labels.hint("merge")
+    t = docs.join(labels, "doc_id", "left")
+    if with_tokens:
+        t = t.withColumn("words", tokens("text"))
+        t = t.withColumn("filtered", without_stop_words("words", lowercase=False))
+    return t
+
+
+def _text_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents ⟕ labels with the word tokens, written once per application.
+
+    Tokenising whole texts is the expensive step of every bag-of-words query;
+    stored once, it is not repeated per query.  The one-off build uses a
+    shuffle join (labels are a large share of the documents at scale), so the
+    tokenising and the write run in every shuffle partition.
+    """
+    return derived.stored(spark, "text_docs", sf_dir, lambda: _text_plan(spark, sf_dir, True, True))
 
 
-def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: quality label, word tokens and tokens without stop words.
+def text_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as review text, scored by the quality label where one exists
+    (labels has one row per document, so the rows are the documents' rows)."""
+    if derived.enabled(spark):
+        return _text_table(spark, sf_dir).select(*DOCUMENT_COLUMNS, "quality", "toxic")
+    return _text_plan(spark, sf_dir)
 
-    Tokenising whole texts is the expensive step of every bag-of-words
-    query, so with materialisation on it runs once per application and the
-    token arrays are stored (doc_id, quality, words, filtered).
-    """
-    from ..operators.text import tokens, without_stop_words
 
-    def build() -> DataFrame:
-        # shuffle join for the one-off build (labels are a large share of the
-        # documents at scale), so tokenising runs in every shuffle partition
-        docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-        labels = table(spark, sf_dir, "labels").select("doc_id", "quality").hint("merge")
-        t = docs.join(labels, "doc_id", "left").select("doc_id", "quality", tokens("text").alias("words"))
-        return t.withColumn("filtered", without_stop_words("words", lowercase=False))
+def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: quality label, word tokens and tokens without stop words."""
     if derived.enabled(spark):
-        return derived.stored(spark, "doc_tokens", sf_dir, build)
-    return build()
+        return _text_table(spark, sf_dir).select("doc_id", "quality", "words", "filtered")
+    return _text_plan(spark, sf_dir, with_tokens=True).select("doc_id", "quality", "words", "filtered")
 
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
