@@ -67,15 +67,10 @@ def brush_highlight(df: DataFrame, selected_rows_key: str, selection,
     target; sunburst: first hierarchy level).  Output: (chart, value).
     """
     rows = brush_rows(df, selected_rows_key, selection)
-    parts = []
-    for chart, cols in roles.items():
-        if chart == source_chart:
-            continue
-        for c in cols:
-            parts.append(rows.select(F.lit(chart).alias("chart"), F.col(c).cast("string").alias("value")))
-    if not parts:
+    cells = [F.struct(F.lit(chart).alias("chart"), F.col(c).cast("string").alias("value"))
+             for chart, cols in roles.items() if chart != source_chart for c in cols]
+    if not cells:
         raise ValueError("no target chart")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
+    # one scan of the selected rows: every (chart, value) pair comes out of one generator
+    out = rows.select(F.inline(F.array(*cells)))
     return out.filter(F.col("value").isNotNull()).distinct()

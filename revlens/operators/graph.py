@@ -54,10 +54,14 @@ def flow_matrix(df: DataFrame, source: str, target: str, value: str) -> DataFram
               .groupBy("source", "target").agg(F.sum("_v").alias("value")))
 
 
+def _both_ends(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """Both edge ends as one column, in a single scan (explode of a 2-array)."""
+    return df.select(F.explode(F.array(F.col(a), F.col(b))).alias(name))
+
+
 def union_entities(df: DataFrame, source: str = "source", target: str = "target") -> DataFrame:
     """Distinct union of both ends, sorted (the matrix row / column order)."""
-    ends = df.select(F.col(source).alias("entity")).union(df.select(F.col(target).alias("entity")))
-    return ends.distinct().orderBy(F.col("entity").asc_nulls_last())
+    return _both_ends(df, source, target, "entity").distinct().orderBy(F.col("entity").asc_nulls_last())
 
 
 def flow_totals(df: DataFrame, source: str, target: str, value: str) -> DataFrame:
@@ -70,8 +74,7 @@ def flow_totals(df: DataFrame, source: str, target: str, value: str) -> DataFram
 
 def union_nodes(df: DataFrame, a: str, b: str) -> DataFrame:
     """D3: distinct node ids from both edge ends, as strings, nulls skipped."""
-    ends = (df.select(F.col(a).cast("string").alias("id"))
-              .union(df.select(F.col(b).cast("string").alias("id"))))
+    ends = df.select(F.explode(F.array(F.col(a).cast("string"), F.col(b).cast("string"))).alias("id"))
     return ends.filter(F.col("id").isNotNull()).distinct()
 
 
@@ -93,9 +96,11 @@ def edge_list(df: DataFrame, a: str, b: str, value: str | None = None) -> DataFr
 
 def neighbors(edges: DataFrame, node: str, source: str = "source", target: str = "target") -> DataFrame:
     """Nodes one hop from ``node`` in either direction."""
-    out = edges.filter(F.col(source) == F.lit(node)).select(F.col(target).alias("id"))
-    inc = edges.filter(F.col(target) == F.lit(node)).select(F.col(source).alias("id"))
-    return out.union(inc).distinct()
+    s, t, n = F.col(source), F.col(target), F.lit(node)
+    touching = edges.filter((s == n) | (t == n))
+    # one scan; a self-loop end counts the node itself, as either direction would
+    other = F.explode(F.array(F.when(s == n, t), F.when(t == n, s)))
+    return touching.select(other.alias("id")).filter(F.col("id").isNotNull()).distinct()
 
 
 def incident_links(edges: DataFrame, selection: Sequence[str], source: str = "source",
