@@ -150,9 +150,9 @@ def box_stats(df: DataFrame, value: str, group: str | None = None, whisker: floa
     if group:
         rows = df.select(group, value).join(q.select(group, "lower_fence", "upper_fence"), group)
     else:
-        lo = q.select("lower_fence").scalar()
-        hi = q.select("upper_fence").scalar()
-        rows = df.select(value).withColumn("lower_fence", lo).withColumn("upper_fence", hi)
+        fences = q.select(F.struct("lower_fence", "upper_fence")).scalar()
+        rows = df.select(value, fences.getField("lower_fence").alias("lower_fence"),
+                         fences.getField("upper_fence").alias("upper_fence"))
     inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
     w = (rows.groupBy(*keys)
              .agg(F.min(F.when(inside, v)).cast("double").alias("lower_whisker"),
@@ -160,7 +160,8 @@ def box_stats(df: DataFrame, value: str, group: str | None = None, whisker: floa
                   F.count_if(v.isNotNull() & ~inside).alias("n_outliers")))
     if group:
         return q.join(w, group, "left")
-    return q.select("*", *[w.select(c).scalar().alias(c) for c in ("lower_whisker", "upper_whisker", "n_outliers")])
+    whiskers = w.select(F.struct("lower_whisker", "upper_whisker", "n_outliers")).scalar()
+    return q.select("*", *[whiskers.getField(c).alias(c) for c in ("lower_whisker", "upper_whisker", "n_outliers")])
 
 
 def length_rating_bins(df: DataFrame, length_col: str, rating_col: str, bin_width: int = 100) -> DataFrame:

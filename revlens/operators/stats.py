@@ -40,14 +40,16 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def global_stats(df: DataFrame, col: str) -> dict[str, Column]:
-    """Mean and sample stddev of a column as scalar-subquery columns."""
-    s = df.agg(F.avg(col).alias("mean"), F.stddev_samp(col).alias("sd"))
-    return {"mean": s.select("mean").scalar(), "sd": s.select("sd").scalar()}
+    """Mean and sample stddev of a column, from one scalar subquery returning a struct."""
+    s = df.agg(F.struct(F.avg(col).alias("mean"), F.stddev_samp(col).alias("sd"))).scalar()
+    return {"mean": s.getField("mean"), "sd": s.getField("sd")}
 
 
 def scalar_broadcast(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Attach every column of a one-row ``stats`` frame to each row of ``df``."""
-    return df.select("*", *[stats.select(c).scalar().alias(c) for c in stats.columns])
+    """Attach every column of a one-row ``stats`` frame to each row of ``df``
+    (one scalar subquery carrying the whole row as a struct)."""
+    row = stats.select(F.struct(*[F.col(c) for c in stats.columns])).scalar()
+    return df.select("*", *[row.getField(c).alias(c) for c in stats.columns])
 
 
 def zscore(col: str, stats: dict[str, Column]) -> Column:
