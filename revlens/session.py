@@ -57,12 +57,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     cluster names).  Only when it is unset *and* the master is local (tests,
     bench) do we create a private temporary folder and register it.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder")
+        return _strip_file(configured)
     configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if configured:
-        if configured.startswith("file:"):
-            configured = configured[len("file:"):]
-        return configured.rstrip("/")
+        return _strip_file(configured)
     app = sc.applicationId
     if app in _LOCAL_ROOTS:
         return _LOCAL_ROOTS[app]
@@ -72,14 +78,21 @@ def checkpoint_root(spark: SparkSession) -> str:
             "(HDFS/S3/ABFS) before running revlens jobs on a cluster")
     root = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("REVLENS_TMP", "/tmp"))
     sc.setCheckpointDir(root)
-    _LOCAL_ROOTS[app] = sc.getCheckpointDir() or root
-    resolved = _LOCAL_ROOTS[app]
-    if resolved.startswith("file:"):
-        resolved = resolved[len("file:"):]
-    _LOCAL_ROOTS[app] = resolved.rstrip("/")
+    _LOCAL_ROOTS[app] = _strip_file(sc.getCheckpointDir() or root)
     return _LOCAL_ROOTS[app]
 
 
+def _strip_file(path: str) -> str:
+    return (path[len("file:"):] if path.startswith("file:") else path).rstrip("/")
+
+
+def application_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect
+        return spark.conf.get("spark.app.id", "connect")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused sub-folder of the checkpoint root."""
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"

@@ -19,7 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import checkpoint_root
+from ..session import application_id, checkpoint_root
 
 _LOCK = threading.Lock()
 _PATHS: dict[tuple[str, str], str] = {}
@@ -31,7 +31,7 @@ def enabled(spark: SparkSession) -> bool:
 
 def stored(spark: SparkSession, name: str, source: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Return ``build()`` as a table written once per (application, name, source)."""
-    app = spark.sparkContext.applicationId
+    app = application_id(spark)
     key = (app, f"{name}|{source}")
     with _LOCK:
         path = _PATHS.get(key)
@@ -45,7 +45,7 @@ def stored(spark: SparkSession, name: str, source: str, build: Callable[[], Data
 
 def forget(spark: SparkSession) -> None:
     """Drop the registry for this application (the files stay for the cleaner)."""
-    app = spark.sparkContext.applicationId
+    app = application_id(spark)
     with _LOCK:
         for k in [k for k in _PATHS if k[0] == app]:
             del _PATHS[k]
