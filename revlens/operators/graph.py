@@ -67,9 +67,11 @@ def union_entities(df: DataFrame, source: str = "source", target: str = "target"
 def flow_totals(df: DataFrame, source: str, target: str, value: str) -> DataFrame:
     """AG26: outgoing total per entity (matrix row sums); target-only entities get 0."""
     cells = flow_matrix(df, source, target, value)
-    out = cells.groupBy(F.col("source").alias("entity")).agg(F.sum("value").alias("total"))
-    ents = union_entities(cells, "source", "target")
-    return ents.join(out, "entity", "left").select("entity", F.coalesce("total", F.lit(0.0)).alias("total"))
+    # one pass over the cells: each cell credits its source and names its target with 0
+    ends = cells.select(F.inline(F.array(
+        F.struct(F.col("source").alias("entity"), F.col("value").alias("v")),
+        F.struct(F.col("target").alias("entity"), F.lit(0.0).alias("v")))))
+    return ends.groupBy("entity").agg(F.sum("v").alias("total"))
 
 
 def union_nodes(df: DataFrame, a: str, b: str) -> DataFrame:

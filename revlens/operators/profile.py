@@ -49,13 +49,19 @@ def _cell(name: str, dt: T.DataType) -> Column:
                     F.when(present & ok, num).alias("num"))
 
 
-def profile_columns(df: DataFrame, max_values: int = 1000, columns: Sequence[str] | None = None) -> DataFrame:
+def profile_columns(df: DataFrame, max_values: int = 1000, columns: Sequence[str] | None = None,
+                    reuse_pairs: bool = True) -> DataFrame:
     """Per column its type ('numeric' / 'categorical'), distinct count,
     numeric min / max and, below ``max_values`` distinct values, the sorted
     distinct values (string form, null written 'null').
 
     A column is numeric when it has at least one present value and every
     present value is a number or a string that starts with one.
+
+    The distinct (column, value) pairs feed both the per-column summary and
+    the value lists; the branches prune differently, so Spark would rebuild
+    them (a full scan and shuffle each).  With ``reuse_pairs`` they are
+    checkpointed once into the checkpoint folder and read twice.
     """
     cols = list(columns) if columns else df.columns
     fields = {f.name: f.dataType for f in df.schema.fields}
@@ -64,6 +70,8 @@ def profile_columns(df: DataFrame, max_values: int = 1000, columns: Sequence[str
                   .agg(F.bool_or("present").alias("present"),
                        F.bool_and(F.when(F.col("present"), F.col("ok"))).alias("ok"),
                        F.min("num").alias("min"), F.max("num").alias("max")))
+    if reuse_pairs:
+        pairs = pairs.checkpoint(eager=True)
     per_col = (pairs.groupBy("column_name")
                     .agg(F.count(F.lit(1)).alias("n_distinct"),
                          F.coalesce(F.bool_or("present"), F.lit(False)).alias("_any"),
