@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -69,16 +69,25 @@ def spike_days_band(df: DataFrame, date_col: str, lo: int, hi: int, count_col: s
 
 def spike_days_z(df: DataFrame, date_col: str, k: float = 2.0, trailing: int = 28,
                  count_col: str | None = None) -> DataFrame:
-    """C6 (z form): flag a day whose count exceeds mean + k·sd of the previous ``trailing`` days.
+    """C6 (z form): flag a day whose count exceeds mean + k·sd of the days with
+    reviews among the previous ``trailing`` calendar days.
 
-    The window runs over the per-day series (one row per calendar day, a few
-    thousand rows at most), not over review rows.
+    No window and no single partition: every day credits its count to each
+    of the ``trailing`` days after it (a fixed fan-out of the per-day series),
+    the credits are summed per target day (n, Σc, Σc²), and the sums are
+    joined back on the day.  Sample sd = sqrt((Σc² - (Σc)²/n) / (n - 1)).
     """
     d = daily_counts(df, date_col, count_col)
-    w = Window.orderBy("day").rowsBetween(-trailing, -1)
-    mean = F.avg("day_count").over(w)
-    sd = F.stddev_samp("day_count").over(w)
-    return (d.withColumn("trailing_mean", mean)
-             .withColumn("trailing_sd", sd)
-             .withColumn("is_spike", F.coalesce(F.col("day_count") > F.col("trailing_mean") + F.lit(k) * F.col("trailing_sd"),
-                                                F.lit(False))))
+    c = F.col("day_count").cast("double")
+    targets = F.sequence(F.date_add(F.col("day"), 1), F.date_add(F.col("day"), trailing))
+    credits = d.select(F.explode(targets).alias("day"), c.alias("c"))
+    sums = credits.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("s"),
+                                      F.sum(F.col("c") * F.col("c")).alias("ss"))
+    n, s, ss = F.col("n").cast("double"), F.col("s"), F.col("ss")
+    var = F.when(n > 1, F.greatest((ss - s * s / n) / (n - F.lit(1.0)), F.lit(0.0)))
+    out = d.join(sums, "day", "left")
+    return out.select(
+        "day", "day_count",
+        (s / n).alias("trailing_mean"),
+        F.sqrt(var).alias("trailing_sd"),
+        F.coalesce(F.col("day_count") > s / n + F.lit(k) * F.sqrt(var), F.lit(False)).alias("is_spike"))

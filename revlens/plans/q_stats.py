@@ -54,7 +54,7 @@ def q_spike_days_band(spark, sf):
 SELECT day, day_count, round(avg(day_count) OVER w, 6) AS trailing_mean,
        round(stddev_samp(day_count) OVER w, 6) AS trailing_sd,
        coalesce(day_count > avg(day_count) OVER w + 2 * stddev_samp(day_count) OVER w, false) AS is_spike
-FROM d WINDOW w AS (ORDER BY day ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)""")
+FROM d WINDOW w AS (ORDER BY day RANGE BETWEEN INTERVAL 28 DAYS PRECEDING AND INTERVAL 1 DAYS PRECEDING)""")
 def q_spike_days(spark, sf):
     out = lod.spike_days_z(reviews(spark, sf), "review_date", k=2.0, trailing=28)
     return (out.withColumn("trailing_mean", F.round("trailing_mean", 6))
