@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_name, month_start, weekday_name, week_part
-from ..functions.scalar import keyword_flag, sentiment_label, COMPLAINT_PATTERN
+from ..functions.scalar import (COMPLAINT_PATTERN, SENTIMENT_NEGATIVE, SENTIMENT_NEUTRAL, SENTIMENT_POSITIVE,
+                                keyword_flag, sentiment_label)
 
 
 def _cols(keys) -> list:
@@ -193,6 +194,19 @@ def verified_sentiment_heat(df: DataFrame, verified: str = "verified", rating: s
               .agg(F.sum(rating).cast("bigint").alias("sum_rating"), F.count(F.lit(1)).alias("count")))
 
 
+def verified_sentiment_pivot(df: DataFrame, verified: str = "verified", rating: str = "overall") -> DataFrame:
+    """AG18 pivoted: one row per verified flag, sum and count columns per sentiment.
+
+    The pivot values are the three fixed labels, so Spark needs no extra job to
+    discover them; the pivot runs on the already aggregated rows.
+    """
+    labels = [SENTIMENT_POSITIVE, SENTIMENT_NEUTRAL, SENTIMENT_NEGATIVE]
+    return (df.withColumn("_sentiment", sentiment_label(rating))
+              .groupBy(F.col(verified))
+              .pivot("_sentiment", labels)
+              .agg(F.sum(rating).cast("bigint").alias("sum_rating"), F.count(F.lit(1)).alias("count")))
+
+
 def helpful_vs_rating(df: DataFrame, title: str = "title", main: str = "main_category",
                       helpful: str = "helpful", rating: str = "overall") -> DataFrame:
     """AG19: sum(helpful) and sum(rating) per title x main category."""

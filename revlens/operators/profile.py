@@ -35,7 +35,8 @@ def _cell(name: str, dt: T.DataType) -> Column:
     kind = _kind(dt)
     present = c.isNotNull() & (s != F.lit("")) if kind == "text" else c.isNotNull()
     if kind == "number":
-        num = c.cast("double")
+        # a NaN is still a number for the type test, but stays out of min / max
+        num = F.when(~F.isnan(c.cast("double")), c.cast("double"))
         ok = F.lit(True)
     elif kind == "boolean":
         num = F.lit(None).cast("double")

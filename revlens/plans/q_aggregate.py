@@ -216,3 +216,16 @@ FROM raw_reviews GROUP BY 1""")
 def q_sentiment_counts_nulls(spark, sf):
     """AG9 over ratings with nulls: a null rating falls to Negative."""
     return ag.sentiment_counts(raw_reviews(spark, sf), "overall")
+
+
+@register("verified_sentiment_pivot", R + """
+SELECT verified, CAST(sum(CASE WHEN overall >= 4 THEN overall END) AS BIGINT) AS Positive_sum_rating,
+       CASE WHEN count_if(overall >= 4) > 0 THEN CAST(count_if(overall >= 4) AS BIGINT) END AS Positive_count,
+       CAST(sum(CASE WHEN overall = 3 THEN overall END) AS BIGINT) AS Neutral_sum_rating,
+       CASE WHEN count_if(overall = 3) > 0 THEN CAST(count_if(overall = 3) AS BIGINT) END AS Neutral_count,
+       CAST(sum(CASE WHEN NOT (coalesce(overall >= 4, false) OR coalesce(overall = 3, false)) THEN overall END) AS BIGINT) AS Negative_sum_rating,
+       CASE WHEN count_if(NOT (coalesce(overall >= 4, false) OR coalesce(overall = 3, false))) > 0 THEN CAST(count_if(NOT (coalesce(overall >= 4, false) OR coalesce(overall = 3, false))) AS BIGINT) END AS Negative_count
+FROM reviews GROUP BY verified""")
+def q_verified_sentiment_pivot(spark, sf):
+    """AG18 in its pivoted (heat-map) form."""
+    return ag.verified_sentiment_pivot(reviews(spark, sf))

@@ -95,6 +95,12 @@ def test_profile_inference(spark):
     assert w["a"] == "range" and w["b"] == "list"
 
 
+def test_profile_nan_is_numeric_but_not_a_bound(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "x double")
+    r = profile.profile_columns(df).first()
+    assert r.type == "numeric" and (r.min, r.max) == (1.0, 3.0) and r.n_distinct == 3
+
+
 def test_profile_value_list_limit(spark):
     df = spark.range(50).select(F.col("id").cast("string").alias("s"))
     r = profile.profile_columns(df, max_values=10).first()
@@ -200,6 +206,12 @@ def test_word_repetition_and_sentiment(spark):
     assert ws["a"] == (4.0, 4) and ws["c"] == (1.0, 1)
 
 
+def test_verified_sentiment_pivot(rv):
+    got = {r.verified: r for r in ag.verified_sentiment_pivot(rv).collect()}
+    assert got[True]["Positive_count"] == 2 and got[True]["Positive_sum_rating"] == 9
+    assert got[True]["Negative_count"] == 1 and got[None]["Neutral_count"] == 1
+
+
 def test_shape_and_estimate(rv):
     assert tuple(profile.shape(rv).first()) == (6, 7)
     assert profile.estimated_size(rv).first().estimated_mb == pytest.approx(600 / 1048576)
