@@ -7,7 +7,7 @@ pruning and filters of the queries that use it reach the parquet scans.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import derived
@@ -26,20 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 BASE_REVIEW_COLUMNS = ["reviewer_id", "asin", "overall", "verified", "votes", "helpful", "review_date"]
 CATEGORY_COLUMNS = ["main_category", "sub_category", "sub_sub_category", "final_category", "title"]
 
+# Raw columns the lineitem-based views are computed from.
+_LINEITEM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+             "l_returnflag", "l_linestatus", "l_shipdate"]
+_ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+_PART = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
 
-def _orders_side(df: DataFrame, shuffle_join: bool) -> DataFrame:
-    """For the one-off derived builds the lineitem-orders join is asked to be a
-    sort-merge join: at scale it is one anyway (orders is far too big to
-    broadcast), and on small inputs it spreads the join and the table write
-    over all shuffle partitions instead of the scan's few tasks."""
-    return df.hint("merge") if shuffle_join else df
 
-
-def _review_plan(spark: SparkSession, sf_dir: str, part_join: str | None, shuffle_join: bool = False) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
-    od = _orders_side(table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"), shuffle_join)
+def _review_cols(categories: bool) -> list[Column]:
     votes = F.col("l_quantity").cast("int") - F.lit(1)
     cols = [
         F.col("o_custkey").alias("reviewer_id"),
@@ -50,19 +44,93 @@ def _review_plan(spark: SparkSession, sf_dir: str, part_join: str | None, shuffl
         F.least(F.col("l_linenumber"), votes).alias("helpful"),
         F.col("o_orderdate").cast("date").alias("review_date"),
     ]
-    joined = li.join(od, li.l_orderkey == od.o_orderkey)
-    if part_join:
-        pt = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-        joined = joined.join(pt, joined.l_partkey == pt.p_partkey, part_join)
+    if categories:
         cols += [
             F.col("p_type").alias("main_category"),
             F.col("p_brand").alias("sub_category"),
             F.col("p_size").alias("sub_sub_category"),
             F.col("p_name").alias("final_category"),
             F.col("p_name").alias("title"),
-            F.col("p_partkey").isNotNull().alias("_has_part"),
         ]
-    return joined.select(*cols)
+    return cols
+
+
+def _raw_review_cols() -> list[Column]:
+    return [
+        F.when(F.col("o_orderstatus") != "P", F.col("o_custkey").cast("string")).alias("reviewer_id"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_partkey").cast("string")).alias("asin"),
+        F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("review_text"),
+        F.when(F.col("l_linestatus") != "O",
+               F.substring("o_orderpriority", 1, 1).cast("int")).alias("overall"),
+        F.nullif(F.col("l_returnflag"), F.lit("A")).alias("summary"),
+        F.col("o_orderdate").cast("date").alias("review_date"),
+        F.col("l_shipdate").alias("review_ts"),
+        F.col("l_orderkey").alias("order_key"),
+        F.col("l_linenumber").alias("line_number"),
+    ]
+
+
+def _flow_cols() -> list[Column]:
+    return [F.col("cn_name").alias("source"), F.col("sn_name").alias("target"),
+            F.col("l_extendedprice").alias("value"), F.col("c_mktsegment").alias("category"),
+            F.col("r_name").alias("region")]
+
+
+def _dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    na = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    return {
+        "part": table(spark, sf_dir, "part").select(*_PART),
+        "customer": table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
+        "supplier": table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"),
+        "cn": na.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cn_name"),
+                        F.col("n_regionkey").alias("cn_region")),
+        "sn": na.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("sn_name")),
+        "region": table(spark, sf_dir, "region").select("r_regionkey", "r_name"),
+    }
+
+
+def _line_orders(spark: SparkSession, sf_dir: str, shuffle_join: bool = False) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select(*_LINEITEM)
+    od = table(spark, sf_dir, "orders").select(*_ORDERS)
+    if shuffle_join:
+        od = od.hint("merge")
+    return li.join(od, li.l_orderkey == od.o_orderkey)
+
+
+def _attach(j: DataFrame, dims: dict[str, DataFrame], how: str, part: bool = True,
+            flow: bool = True) -> DataFrame:
+    if part:
+        j = j.join(dims["part"], F.col("l_partkey") == dims["part"].p_partkey, how)
+    if flow:
+        j = (j.join(dims["customer"], F.col("o_custkey") == dims["customer"].c_custkey, how)
+              .join(dims["supplier"], F.col("l_suppkey") == dims["supplier"].s_suppkey, how)
+              .join(dims["cn"], F.col("c_nationkey") == dims["cn"].cn_key, how)
+              .join(dims["sn"], F.col("s_nationkey") == dims["sn"].sn_key, how)
+              .join(dims["region"], F.col("cn_region") == dims["region"].r_regionkey, how))
+    return j
+
+
+def _fact_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem ⋈ orders with every dimension attached by left joins, plus match flags.
+
+    The lineitem-orders join is asked to be a sort-merge join: at scale it is
+    one anyway (orders is far too big to broadcast), and on small inputs it
+    spreads the build and the files it writes over all shuffle partitions
+    instead of the scan's few tasks.  The dimension joins are left to the
+    planner's size check.
+    """
+    j = _attach(_line_orders(spark, sf_dir, shuffle_join=True), _dimensions(spark, sf_dir), "left")
+    keep = _LINEITEM + _ORDERS[1:] + _PART[1:] + ["c_mktsegment", "cn_name", "sn_name", "r_name"]
+    return j.select(*keep,
+                    F.col("p_partkey").isNotNull().alias("_has_part"),
+                    (F.col("c_custkey").isNotNull() & F.col("s_suppkey").isNotNull() & F.col("cn_key").isNotNull()
+                     & F.col("sn_key").isNotNull() & F.col("r_regionkey").isNotNull()).alias("_has_flow"))
+
+
+def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lineitem fact rows every lineitem-based view is computed from,
+    written once per application (joins done once, lineage cut)."""
+    return derived.stored(spark, "facts", sf_dir, lambda: _fact_plan(spark, sf_dir))
 
 
 def reviews(spark: SparkSession, sf_dir: str, categories: bool = False) -> DataFrame:
@@ -72,51 +140,31 @@ def reviews(spark: SparkSession, sf_dir: str, categories: bool = False) -> DataF
     priority (1-5), verified = status 'F', votes = quantity-1, helpful =
     least(linenumber, votes), review_date = order date.
 
-    With materialisation on (the default) the joins run once per application:
-    lineitem ⋈ orders ⟕ part is written as a table; without categories every
-    row is used (= the inner join of lineitem and orders), with categories
-    only rows that found their part (= the inner three-way join).
+    With materialisation on (the default) the rows come from the stored fact
+    table: every row is used without categories (= the inner join of lineitem
+    and orders), only rows that found their part with them (= the inner
+    three-way join).  Dimension keys are primary keys, so the left joins of
+    the fact table never add rows.
     """
     if derived.enabled(spark):
-        t = derived.stored(spark, "reviews", sf_dir, lambda: _review_plan(spark, sf_dir, "left", True))
+        t = facts(spark, sf_dir)
         if categories:
-            return t.filter(F.col("_has_part")).select(*BASE_REVIEW_COLUMNS, *CATEGORY_COLUMNS)
-        return t.select(*BASE_REVIEW_COLUMNS)
+            t = t.filter(F.col("_has_part"))
+        return t.select(*_review_cols(categories))
+    j = _line_orders(spark, sf_dir)
     if categories:
-        return _review_plan(spark, sf_dir, "inner").drop("_has_part")
-    return _review_plan(spark, sf_dir, None)
+        j = _attach(j, _dimensions(spark, sf_dir), "inner", part=True, flow=False)
+    return j.select(*_review_cols(categories))
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review_v1-shaped rows with nulls injected, for the null-handling operators.
 
     The testdata has no nulls; each review field is nulled under a fixed rule
-    on another column so that the same rule can be written in SQL.  Written
-    once per application when materialisation is on.
+    on another column so that the same rule can be written in SQL.
     """
-    if derived.enabled(spark):
-        return derived.stored(spark, "raw_reviews", sf_dir, lambda: _raw_review_plan(spark, sf_dir, True))
-    return _raw_review_plan(spark, sf_dir)
-
-
-def _raw_review_plan(spark: SparkSession, sf_dir: str, shuffle_join: bool = False) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
-    od = _orders_side(table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"), shuffle_join)
-    j = li.join(od, li.l_orderkey == od.o_orderkey)
-    return j.select(
-        F.when(F.col("o_orderstatus") != "P", F.col("o_custkey").cast("string")).alias("reviewer_id"),
-        F.when(F.col("l_returnflag") != "R", F.col("l_partkey").cast("string")).alias("asin"),
-        F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("review_text"),
-        F.when(F.col("l_linestatus") != "O",
-               F.substring("o_orderpriority", 1, 1).cast("int")).alias("overall"),
-        F.nullif(F.col("l_returnflag"), F.lit("A")).alias("summary"),
-        F.col("o_orderdate").cast("date").alias("review_date"),
-        F.col("l_shipdate").alias("review_ts"),
-        F.col("l_orderkey").alias("order_key"),
-        F.col("l_linenumber").alias("line_number"),
-    )
+    src = facts(spark, sf_dir) if derived.enabled(spark) else _line_orders(spark, sf_dir)
+    return src.select(*_raw_review_cols())
 
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -165,32 +213,14 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trade flows: customer nation -> supplier nation, valued by extended price.
 
     ``category`` (market segment) and ``region`` (customer region) give the
-    extra dimensions the brushing operators need.  Written once per
-    application when materialisation is on.
+    extra dimensions the brushing operators need.  With materialisation on,
+    the rows are the fact rows whose customer, supplier, nations and region
+    all matched (= the inner joins).
     """
     if derived.enabled(spark):
-        return derived.stored(spark, "flows", sf_dir, lambda: _flow_plan(spark, sf_dir, True))
-    return _flow_plan(spark, sf_dir)
-
-
-def _flow_plan(spark: SparkSession, sf_dir: str, shuffle_join: bool = False) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice")
-    od = _orders_side(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), shuffle_join)
-    cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    na = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    rg = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    cn = na.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("source"),
-                   F.col("n_regionkey").alias("cn_region"))
-    sn = na.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("target"))
-    j = (li.join(od, li.l_orderkey == od.o_orderkey)
-           .join(cu, F.col("o_custkey") == cu.c_custkey)
-           .join(su, F.col("l_suppkey") == su.s_suppkey)
-           .join(cn, F.col("c_nationkey") == cn.cn_key)
-           .join(sn, F.col("s_nationkey") == sn.sn_key)
-           .join(rg, F.col("cn_region") == rg.r_regionkey))
-    return j.select("source", "target", F.col("l_extendedprice").alias("value"),
-                    F.col("c_mktsegment").alias("category"), F.col("r_name").alias("region"))
+        return facts(spark, sf_dir).filter(F.col("_has_flow")).select(*_flow_cols())
+    j = _attach(_line_orders(spark, sf_dir), _dimensions(spark, sf_dir), "inner", part=False, flow=True)
+    return j.select(*_flow_cols())
 
 
 def customer_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
