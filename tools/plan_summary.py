@@ -23,7 +23,7 @@ def summary(plan: str) -> dict:
         "single": phys.count("Exchange SinglePartition"),
         "broadcast": phys.count("BroadcastExchange"),
         "subquery": len(re.findall(r"\+- Subquery subquery", phys)),
-        "scans": phys.count("FileScan") + phys.count("Scan parquet"),
+        "scans": phys.count("FileScan"),
         "partial_agg": len(re.findall(r"partial_", phys)) > 0,
     }
 
@@ -32,7 +32,7 @@ if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_spark("local[8]", 16)
     print("| query | shuffles | single-partition | broadcasts | subqueries | scans |")
-    print("| --- | --- | --- | --- | --- | --- |")
+    print("| --- | ---: | ---: | ---: | ---: | ---: |")
     for name, fn in sorted(queries().items()):
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
