@@ -14,7 +14,10 @@ RAW = with_(RAW_REVIEWS)
 
 
 @register("sample_rows", R + """
-SELECT * FROM reviews ORDER BY reviewer_id, asin, overall, verified, votes, helpful, review_date LIMIT 5""")
+SELECT * FROM reviews
+ORDER BY reviewer_id NULLS FIRST, asin NULLS FIRST, overall NULLS FIRST, verified NULLS FIRST, votes NULLS FIRST,
+         helpful NULLS FIRST, review_date NULLS FIRST
+LIMIT 5""")
 def q_sample_rows(spark, sf):
     return clean.sample_rows(reviews(spark, sf), 5)
 
@@ -110,7 +113,8 @@ def q_review_length(spark, sf):
 @register("dedup_keys", R + """
 SELECT reviewer_id, asin, overall, verified, votes, helpful, review_date FROM (
   SELECT *, row_number() OVER (PARTITION BY reviewer_id, asin
-                               ORDER BY review_date, overall, verified, votes, helpful) AS rn
+                               ORDER BY review_date NULLS FIRST, overall NULLS FIRST, verified NULLS FIRST,
+                                        votes NULLS FIRST, helpful NULLS FIRST) AS rn
   FROM reviews) WHERE rn = 1""")
 def q_dedup_keys(spark, sf):
     return clean.dedup_keys(reviews(spark, sf), ["reviewer_id", "asin"], ["review_date"])
