@@ -2,19 +2,19 @@
 
 REVIEWS = """reviews AS (
   SELECT o.o_custkey AS reviewer_id, l.l_partkey AS asin,
-         CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS overall,
+         TRY_CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS overall,
          o.o_orderstatus = 'F' AS verified,
-         CAST(l.l_quantity AS INTEGER) - 1 AS votes,
-         least(l.l_linenumber, CAST(l.l_quantity AS INTEGER) - 1) AS helpful,
+         CAST(trunc(l.l_quantity) AS INTEGER) - 1 AS votes,
+         least(l.l_linenumber, CAST(trunc(l.l_quantity) AS INTEGER) - 1) AS helpful,
          CAST(o.o_orderdate AS DATE) AS review_date
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
 REVIEWS_CAT = """reviews AS (
   SELECT o.o_custkey AS reviewer_id, l.l_partkey AS asin,
-         CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS overall,
+         TRY_CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS overall,
          o.o_orderstatus = 'F' AS verified,
-         CAST(l.l_quantity AS INTEGER) - 1 AS votes,
-         least(l.l_linenumber, CAST(l.l_quantity AS INTEGER) - 1) AS helpful,
+         CAST(trunc(l.l_quantity) AS INTEGER) - 1 AS votes,
+         least(l.l_linenumber, CAST(trunc(l.l_quantity) AS INTEGER) - 1) AS helpful,
          CAST(o.o_orderdate AS DATE) AS review_date,
          p.p_type AS main_category, p.p_brand AS sub_category,
          p.p_size AS sub_sub_category, p.p_name AS final_category, p.p_name AS title
@@ -25,7 +25,7 @@ RAW_REVIEWS = """raw_reviews AS (
   SELECT CASE WHEN o.o_orderstatus <> 'P' THEN CAST(o.o_custkey AS VARCHAR) END AS reviewer_id,
          CASE WHEN l.l_returnflag <> 'R' THEN CAST(l.l_partkey AS VARCHAR) END AS asin,
          nullif(o.o_orderpriority, '5-LOW') AS review_text,
-         CASE WHEN l.l_linestatus <> 'O' THEN CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) END AS overall,
+         CASE WHEN l.l_linestatus <> 'O' THEN TRY_CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) END AS overall,
          nullif(l.l_returnflag, 'A') AS summary,
          CAST(o.o_orderdate AS DATE) AS review_date,
          l.l_shipdate AS review_ts,

@@ -38,7 +38,7 @@ def _review_cols(categories: bool) -> list[Column]:
     cols = [
         F.col("o_custkey").alias("reviewer_id"),
         F.col("l_partkey").alias("asin"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("overall"),
+        F.substring("o_orderpriority", 1, 1).try_cast("int").alias("overall"),
         (F.col("o_orderstatus") == F.lit("F")).alias("verified"),
         votes.alias("votes"),
         F.least(F.col("l_linenumber"), votes).alias("helpful"),
@@ -61,7 +61,7 @@ def _raw_review_cols() -> list[Column]:
         F.when(F.col("l_returnflag") != "R", F.col("l_partkey").cast("string")).alias("asin"),
         F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("review_text"),
         F.when(F.col("l_linestatus") != "O",
-               F.substring("o_orderpriority", 1, 1).cast("int")).alias("overall"),
+               F.substring("o_orderpriority", 1, 1).try_cast("int")).alias("overall"),
         F.nullif(F.col("l_returnflag"), F.lit("A")).alias("summary"),
         F.col("o_orderdate").cast("date").alias("review_date"),
         F.col("l_shipdate").alias("review_ts"),
