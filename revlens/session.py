@@ -25,17 +25,33 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # AQE merges small shuffle partitions towards this size; it never splits
+    # beyond the initial count, so that count must be sized to the data.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 * 1024, minimum: int = 8) -> int:
+    """Initial shuffle partition count for an input of ``input_bytes``.
+
+    AQE coalesces partitions that turn out small, so start from one partition
+    per ``target_bytes`` of input (100 TB -> ~400k) rather than Spark's 200,
+    which would put ~500 GB in each at that size.
+    """
+    return max(minimum, -(-int(input_bytes) // int(target_bytes)))
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app: str = "revlens", extra: dict | None = None) -> SparkSession:
+              app: str = "revlens", extra: dict | None = None,
+              input_bytes: int | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if shuffle_partitions is None and input_bytes:
+        shuffle_partitions = shuffle_partitions_for(input_bytes)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

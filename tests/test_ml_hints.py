@@ -57,3 +57,9 @@ def test_processing_time_run_is_bounded(spark):
                       processing_time="1 second", timeout=8)
     assert not q.isActive
     assert spark.read.parquet(out).count() == 50
+
+
+def test_shuffle_partitions_sizing():
+    from revlens.session import shuffle_partitions_for
+    assert shuffle_partitions_for(100 * 1024 ** 4) == 409600
+    assert shuffle_partitions_for(10 * 1024 ** 2) == 8
