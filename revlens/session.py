@@ -50,8 +50,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    if shuffle_partitions is None and input_bytes:
-        shuffle_partitions = shuffle_partitions_for(input_bytes)
+    if input_bytes:
+        if shuffle_partitions is None:
+            shuffle_partitions = shuffle_partitions_for(input_bytes)
+        # on a shared cluster size partitions by bytes, not by idle cores
+        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
