@@ -25,7 +25,7 @@ def _filtered_sql() -> str:
 @register("tokenize", f"""
 SELECT doc_id, CAST(len({TOK}) AS INTEGER) AS n_tokens, array_to_string({TOK}, ' ') AS tokens FROM documents""")
 def q_tokenize(spark, sf):
-    d = doc_tokens(spark, sf)
+    d = tx.tokenize(text_reviews(spark, sf).select("doc_id", "text"), "text")
     return d.select("doc_id", F.size("words").alias("n_tokens"), F.array_join("words", " ").alias("tokens"))
 
 

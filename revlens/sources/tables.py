@@ -178,8 +178,7 @@ def _text_plan(spark: SparkSession, sf_dir: str, shuffle_join: bool = False, wit
         labels = labels.hint("merge")
     t = docs.join(labels, "doc_id", "left")
     if with_tokens:
-        t = t.withColumn("words", tokens("text"))
-        t = t.withColumn("filtered", without_stop_words("words", lowercase=False))
+        t = t.withColumn("filtered", without_stop_words(tokens("text"), lowercase=False))
     return t
 
 
@@ -203,10 +202,11 @@ def text_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: quality label, word tokens and tokens without stop words."""
+    """Per document: quality label and word tokens without stop words (stored;
+    the full token list is cheap to recompute from the stored text)."""
     if derived.enabled(spark):
-        return _text_table(spark, sf_dir).select("doc_id", "quality", "words", "filtered")
-    return _text_plan(spark, sf_dir, with_tokens=True).select("doc_id", "quality", "words", "filtered")
+        return _text_table(spark, sf_dir).select("doc_id", "quality", "filtered")
+    return _text_plan(spark, sf_dir, with_tokens=True).select("doc_id", "quality", "filtered")
 
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
