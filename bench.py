@@ -3,7 +3,7 @@
 Runs each headline query over ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1)
 on ``local[$BENCH_CPUS]`` and prints one JSON line.  Every query is executed
 in full through the ``noop`` sink (all rows produced, nothing collected);
-the reported time per query is the better of ``$BENCH_REPEAT`` runs (default 2).
+the reported time per query is the best of ``$BENCH_REPEAT`` runs (default 3).
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ def run_once(spark, fn, sf) -> float:
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = get_spark(f"local[{cpus}]", max(8, 2 * int(cpus)), app="revlens-bench",
                       extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     qs = queries()
