@@ -72,6 +72,8 @@ def profile_columns(df: DataFrame, max_values: int = 1000, columns: Sequence[str
                        F.bool_and(F.when(F.col("present"), F.col("ok"))).alias("ok"),
                        F.min("num").alias("min"), F.max("num").alias("max")))
     if reuse_pairs:
+        from ..session import checkpoint_root
+        checkpoint_root(df.sparkSession)  # the shared folder (a private one only for a bare local session)
         pairs = pairs.checkpoint(eager=True)
     per_col = (pairs.groupBy("column_name")
                     .agg(F.count(F.lit(1)).alias("n_distinct"),
