@@ -123,3 +123,19 @@ def test_stream_zscore_matches_batch(spark):
     got = sorted((r.x, r.is_anomaly) for r in spark.read.parquet(out).collect())
     want = sorted((r.x, r.is_anomaly) for r in stats.zscore_flag(df, "x", 2.0).collect())
     assert got == want
+
+
+def test_export_charts(spark):
+    from revlens.operators import charts
+    rows = [(f"B{i % 4}", float(1 + i % 5), "x " * (i % 9 + 1), dt.date(2020, 1 + i % 3, 1), i % 2 == 0)
+            for i in range(60)]
+    df = spark.createDataFrame(rows, "asin string, overall double, reviewText string, review_date date, verified boolean")
+    out = scratch_path(spark, "charts")
+    written = charts.export_charts(df, out)
+    assert set(written) == {"top_reviewed_products", "review_distribution", "sentiment_distribution", "review_trends",
+                            "verified_vs_non_verified", "review_length_vs_rating", "correlation_heatmap"}
+    assert spark.read.json(written["review_trends"]).count() == 3
+    assert spark.read.json(written["top_reviewed_products"]).count() == 4
+    assert spark.read.json(written["correlation_heatmap"]).count() == 4
+    # charts without their columns are skipped
+    assert set(charts.chart_data(df.select("asin"))) == {"top_reviewed_products"}
