@@ -127,3 +127,11 @@ def _describe_sql():
 def q_describe_long(spark, sf):
     out = pr.describe_long(reviews(spark, sf))
     return out.withColumn("mean", F.round("mean", 6)).withColumn("stddev", F.round("stddev", 6))
+
+
+@register("validate_data", with_(RAW_REVIEWS) + "SELECT count(*) AS rows, "
+          + "CAST(count_if(reviewer_id IS NULL AND asin IS NULL AND review_text IS NULL) AS BIGINT) AS malformed_rows, "
+          + ", ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS null_{c}" for c in _RAW_COLS)
+          + ", count(*) * 100 / 1048576.0 AS estimated_mb FROM raw_reviews")
+def q_validate_data(spark, sf):
+    return pr.validate(raw_reviews(spark, sf), ["reviewer_id", "asin", "review_text"])
