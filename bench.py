@@ -21,7 +21,7 @@ from revlens.session import get_spark, scratch_path  # noqa: E402
 
 HEADLINE = [
     # reference loader / validation path
-    "row_count", "null_counts", "describe_long", "dedup_keys", "review_json_normalize",
+    "row_count", "null_counts", "validate_data", "describe_long", "dedup_keys", "review_json_normalize",
     # EDA aggregates
     "top_reviewed", "rating_stats", "polarized", "trend_daily", "sentiment_counts", "box_stats",
     "corr_matrix", "zscore_flag",
