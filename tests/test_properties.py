@@ -77,3 +77,22 @@ def test_flow_matrix_matches_model(spark, rows):
         if v is not None and v > 0:
             model[(s, t)] = model.get((s, t), 0) + v
     assert got == {k: float(v) for k, v in model.items()}
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.just(""), st.sampled_from(["7", "12abc", "-1.5", "x", "3e2", ".5", "null"])),
+                min_size=1, max_size=20))
+def test_profile_inference_matches_model(spark, values):
+    from revlens.operators import profile
+    df = spark.createDataFrame([(v,) for v in values], "c string")
+    r = profile.profile_columns(df).first()
+    present = [v for v in values if v is not None and v != ""]
+    nums = [_prefix_model(v) for v in present]
+    numeric = bool(present) and all(n is not None for n in nums)
+    distinct = sorted({"null" if v is None else v for v in values})
+    assert r.type == ("numeric" if numeric else "categorical")
+    assert r.n_distinct == len(distinct) and r["values"] == distinct
+    if numeric:
+        assert (r.min, r.max) == (min(nums), max(nums))
+    else:
+        assert r.min is None and r.max is None
