@@ -96,3 +96,22 @@ def test_profile_inference_matches_model(spark, values):
         assert (r.min, r.max) == (min(nums), max(nums))
     else:
         assert r.min is None and r.max is None
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1, 4), st.sampled_from(["c1", "c2", "c3"]), st.integers(1, 5)),
+                min_size=1, max_size=30))
+def test_fixed_lod_matches_model(spark, rows):
+    from pyspark.sql import functions as F
+    from revlens.operators import lod
+    df = spark.createDataFrame(rows, "d int, cust string, rating int")
+    out = lod.fixed_lod(df, ["d"], F.count("cust"), [(F.col("d") % 2).alias("parity")],
+                        where=F.col("rating") == 5).collect()
+    fixed = {}
+    for d, _, _ in rows:
+        fixed[d] = fixed.get(d, 0) + 1          # computed on all rows, before the filter
+    marks = {(d % 2, d) for d, _, r in rows if r == 5}  # distinct (view dims, fixed dims) after the filter
+    model = {}
+    for parity, d in marks:
+        model[parity] = model.get(parity, 0) + fixed[d]
+    assert {r.parity: r.value for r in out} == model
