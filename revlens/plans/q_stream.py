@@ -12,16 +12,14 @@ from .catalog import register
 
 
 def _events_stream(spark, sf, fmt="parquet"):
-    """Copy events once into a folder of its own and open it as a file stream."""
+    """The events table as a file stream: the parquet file itself (picked out of the
+    table folder by name), or, for the JSON source, a JSON-lines copy of it."""
     ev = table(spark, sf, "events")
-    src = scratch_path(spark, f"events-{fmt}-src")
     if fmt == "json":
+        src = scratch_path(spark, "events-json-src")
         write_json_lines(ev, src)
-    else:
-        ev.write.mode("overwrite").parquet(src)
-    if fmt == "json":
         return st.stream_json(spark, src, ev.schema), ev
-    return st.stream_parquet(spark, src, ev.schema), ev
+    return st.stream_parquet(spark, sf.rstrip("/"), ev.schema, file_glob="events.parquet"), ev
 
 
 def _run(spark, df, label):

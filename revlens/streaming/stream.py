@@ -29,8 +29,12 @@ def stream_json(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def stream_parquet(spark: SparkSession, path: str, schema: T.StructType,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
+                   max_files_per_trigger: int | None = None, file_glob: str | None = None) -> DataFrame:
+    """Parquet file stream; ``file_glob`` keeps only matching file names of the folder
+    (e.g. one table's file among several)."""
     r = spark.readStream.schema(schema)
+    if file_glob:
+        r = r.option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(path)
