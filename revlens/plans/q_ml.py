@@ -33,3 +33,10 @@ def q_lda_topics(spark, sf):
 def q_kmeans_anomaly(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "value")
     return ml.kmeans_anomaly(ev, ["value"], k=2, seed=1)
+
+
+@register("kmeans_rating_anomaly")
+def q_kmeans_rating_anomaly(spark, sf):
+    """N9 as the reference runs it: [overall] assembled, KMeans k=2 seed=1, smallest cluster flagged."""
+    from ..sources.tables import reviews
+    return ml.kmeans_anomaly(reviews(spark, sf).select("reviewer_id", "asin", "overall"), ["overall"], k=2, seed=1)
