@@ -138,22 +138,26 @@ def decode_block(data: bytes, table: Table, slots: np.ndarray, first_row: int =
     return out[max(0, first_row * lanes - base):]
 
 
-IDS_SCHEMA = "n_tokens long, ids binary"
+def id_type_of(tokenizer_path: str, end_id: int = END_ID) -> str:
+    """The narrowest little-endian type that holds all ids: 16 bits halve what is stored and shuffled."""
+    most = max(tokenizer(tokenizer_path).library.get_vocab_size(with_added_tokens=True), end_id + 1)
+    return "<u2" if most <= 1 << 16 else "<u4"
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian unsigned 32-bit, with the end id) of whole texts."""
-    end = int(end_id).to_bytes(4, "little")
+    """doc_id, n_tokens, ids (of ``id_type_of``, with the end id) of whole texts."""
+    end, width = int(end_id).to_bytes(4, "little"), id_type_of(tokenizer_path, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(tokenizer_path).encode
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = [encode(t) + end for t in part.column(1).to_pylist()]
+                ids = [np.frombuffer(encode(t) + end, "<u4") for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                    [part.column(0), pa.array(map(len, ids), pa.int64()),
+                     pa.array([x.astype(width).tobytes() for x in ids], pa.binary())],
                     ["doc_id", "n_tokens", "ids"])
 
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType),
@@ -162,14 +166,14 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, id_col
         .transform(arrow_map, run, schema)
 
 
-def frequency_table(tokens: DataFrame, scale: int = SCALE) -> Table:
+def frequency_table(tokens: DataFrame, width: str, scale: int = SCALE) -> Table:
     """Counts of all ids of the corpus; each task sends one row for each different id, the driver gets the
     vocabulary (tens of thousands of rows, whatever the corpus)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
         for b in batches:
             for ids in b.column(0).to_pylist():
-                own = np.bincount(np.frombuffer(ids, "<u4").astype(np.int64))
+                own = np.bincount(np.frombuffer(ids, width).astype(np.int64))
                 if len(own) > len(counts):
                     counts, own = own, counts
                 counts[:len(own)] += own
@@ -190,8 +194,9 @@ def write_token_file(docs: DataFrame, path: str, tokenizer_name: str = "word_bpe
     Texts are tokenized once; the ids are dealt by ranges of doc_id, sorted within each range and coded there.
     """
     spark = docs.sparkSession
+    width = id_type_of(public_path(tokenizer_name), end_id)
     tokens = stored(tokenized(docs, public_path(tokenizer_name), end_id, id_col, text_col), "ids")
-    table = frequency_table(tokens)
+    table = frequency_table(tokens, width)
     scale = table.scale
     spark.createDataFrame([(int(i), int(f), scale) for i, f in zip(table.ids, table.freq)],
                           "id long, freq long, scale int").coalesce(1).write.parquet(f"{path}/table")
@@ -203,15 +208,15 @@ def write_token_file(docs: DataFrame, path: str, tokenizer_name: str = "word_bpe
         own = Table(ids, freq, scale)
         position = np.zeros(int(ids.max()) + 1 if len(ids) else 1, np.uint32)
         position[ids] = np.arange(len(ids), dtype=np.uint32)
-        held, n_held, block, start = [], 0, 0, 0
+        held, n_held, block, start, size = [], 0, 0, 0, np.dtype(width).itemsize
 
         def close() -> pa.RecordBatch:
             nonlocal held, n_held, block, start
-            raw = b"".join(x for _, x in held)
-            sizes = [len(x) // 4 for _, x in held]
-            data = encode_block(position[np.frombuffer(raw, "<u4")], own, min(lanes, max(1, n_held)), check_rows)
+            coded = np.frombuffer(b"".join(x for _, x in held), width)
+            sizes = [len(x) // size for _, x in held]
+            data = encode_block(position[coded], own, min(lanes, max(1, n_held)), check_rows)
             row = [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([start], pa.int64()),
-                   pa.array([n_held], pa.int64()), pa.array([zlib.crc32(raw)], pa.int64()),
+                   pa.array([n_held], pa.int64()), pa.array([zlib.crc32(coded.astype("<u4").tobytes())], pa.int64()),
                    pa.array([[d for d, _ in held]], pa.list_(id_type)), pa.array([sizes], pa.list_(pa.int64())),
                    pa.array([data], pa.binary())]
             block, start, held, n_held = block + 1, start + n_held, [], 0
@@ -222,7 +227,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer_name: str = "word_bpe
             id_type = b.schema.field(0).type
             for doc, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 held.append((doc, x))
-                n_held += len(x) // 4
+                n_held += len(x) // size
                 if n_held >= block_ids:
                     yield close()
         if held:
