@@ -37,6 +37,8 @@ WORDS = 800
 MIN_DOCS = 5
 STYLES = 9
 TARGETS = ("quality", "toxic")
+#: A document is toxic from this probability on (a missed one costs about twice a clean one that is lost).
+MAX_TOXIC = 0.35
 
 
 def style(text: str, words: list[str]) -> list[float]:
@@ -68,7 +70,7 @@ class Target:
 def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 300) -> np.ndarray:
     """Weights (the last is the bias) by accelerated gradient steps on the penalised likelihood."""
     n, m = x.shape
-    xb = np.hstack([x, np.ones((n, 1), x.dtype)])
+    xb = np.hstack([x, np.ones((n, 1))])  # all in float64: no copy in a step
     v = np.ones(m + 1)
     for _ in range(20):  # the largest curvature, by power iteration
         v = xb.T @ (xb @ v)
@@ -134,11 +136,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
         got = (sample.filter(F.col(y).isin(0, 1)).select("_text", y).transform(arrow_map, featured, "at binary, style binary, y int")
                .orderBy("style", "at", "y").collect())
-        x = np.zeros((len(got), len(place) + STYLES), np.float32)
+        x = np.zeros((len(got), len(place) + STYLES))
         for k, r in enumerate(got):
             x[k, np.frombuffer(r["at"], np.int32)] = 1
             x[k, len(place):] = np.frombuffer(r["style"])
-        styles = x[:, len(place):].astype(np.float64)
+        styles = x[:, len(place):].copy()
         mean, scale = styles.mean(axis=0), np.maximum(styles.std(axis=0), 1e-3)
         x[:, len(place):] = (styles - mean) / scale
         target = np.array([r["y"] for r in got], np.float64)
@@ -212,7 +214,7 @@ def site_posteriors(found: DataFrame, base_rates: dict[str, float]) -> DataFrame
 
 
 def judge(docs: DataFrame, labels: DataFrame, host_col: str = "source", path_col: str = "path",
-          id_col: str = "doc_id", text_col: str = "text", min_quality: float = 0.5, max_toxic: float = 0.5,
+          id_col: str = "doc_id", text_col: str = "text", min_quality: float = 0.5, max_toxic: float = MAX_TOXIC,
           sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """One row for each document: doc_id, score (probability of good quality), toxic_score, the site priors, and
     kept: good enough and not toxic."""

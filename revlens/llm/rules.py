@@ -37,10 +37,10 @@ RULES = (
     ("too_few_words", "n_words < 10"),
     ("repeated_windows", "100 * n_repeat_words > 20 * n_words"),
     ("symbol_heavy", "n_words >= 10 AND 10 * n_symbols > n_words"),
-    ("repeated_lines", "n_words >= 10 AND 10 * n_dup_lines > 3 * n_lines"),
+    ("repeated_lines", "n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines"),
     ("mostly_upper", "n_letters >= 20 AND 2 * n_upper > n_letters"),
     ("shouted_words", "n_words >= 10 AND 10 * n_shouted > 2 * n_words"),
-    ("digit_heavy", "n_words >= 10 AND 10 * n_digits > 3 * word_chars"),
+    ("digit_heavy", "n_words >= 10 AND 2 * n_digits > word_chars"),
     ("odd_word_length", "n_words >= 10 AND (word_chars < 2 * n_words OR word_chars > 20 * n_words)"),
     ("few_letters", "n_words >= 10 AND 2 * n_letters < word_chars"),
 )
