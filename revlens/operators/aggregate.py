@@ -126,41 +126,43 @@ def rating_stats(df: DataFrame, col: str = "overall") -> DataFrame:
 
 def box_stats(df: DataFrame, value: str, group: str | None = None, whisker: float = 1.5,
               approx_accuracy: int | None = None) -> DataFrame:
-    """AG11: quartiles (linear), min, max and 1.5·IQR fences per group.
-
-    The exact percentile keeps one counter per distinct value and merges
-    partial buffers, so it suits bounded-domain columns (ratings, votes).
-    For a continuous column pass ``approx_accuracy`` (e.g. 10000): quartiles
-    then come from a mergeable quantile sketch of fixed size per group.
-    ``lower_whisker``/``upper_whisker`` are the extreme values inside the
-    fences: a second aggregate joined on the group key.
+    """AG11: quartiles (linear), min, max, 1.5·IQR fences, whiskers and outliers per group (a null
+    group counts as one; a null value only keeps its group).
+
+    The rows are counted by (group, value) once; everything else reads these counts, which
+    are spread over the tasks by group and value.  For a column with very many distinct values
+    pass ``approx_accuracy`` (e.g. 10000): quartiles then come from a quantile sketch of fixed
+    size per group over the rows.
     """
+    from .lod import null_safe_join
     keys = [group] if group else []
-    v = F.col(value)
+    v, n = F.col(value), F.col("_n")
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     if approx_accuracy:
         qs = F.percentile_approx(v.cast("double"), [0.25, 0.5, 0.75], approx_accuracy)
         quart = [qs[0].alias("q1"), qs[1].alias("median"), qs[2].alias("q3")]
+        source = df
     else:
-        quart = [F.percentile(v, 0.25).alias("q1"), F.percentile(v, 0.5).alias("median"),
-                 F.percentile(v, 0.75).alias("q3")]
-    q = (df.groupBy(*keys)
-           .agg(*quart, F.min(v).cast("double").alias("min"), F.max(v).cast("double").alias("max")))
+        quart = [F.percentile(v, p, n).alias(name) for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))]
+        source = counts
+    q = (source.groupBy(*keys)
+               .agg(*quart, F.min(v).cast("double").alias("min"), F.max(v).cast("double").alias("max")))
     iqr = F.col("q3") - F.col("q1")
     q = (q.withColumn("lower_fence", F.col("q1") - F.lit(whisker) * iqr)
           .withColumn("upper_fence", F.col("q3") + F.lit(whisker) * iqr))
     if group:
-        rows = df.select(group, value).join(q.select(group, "lower_fence", "upper_fence"), group)
+        rows = null_safe_join(counts, q.select(group, "lower_fence", "upper_fence"), keys, "inner")
     else:
         fences = q.select(F.struct("lower_fence", "upper_fence")).scalar()
-        rows = df.select(value, fences.getField("lower_fence").alias("lower_fence"),
-                         fences.getField("upper_fence").alias("upper_fence"))
+        rows = counts.select(value, "_n", fences.getField("lower_fence").alias("lower_fence"),
+                             fences.getField("upper_fence").alias("upper_fence"))
     inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
     w = (rows.groupBy(*keys)
              .agg(F.min(F.when(inside, v)).cast("double").alias("lower_whisker"),
                   F.max(F.when(inside, v)).cast("double").alias("upper_whisker"),
-                  F.count_if(v.isNotNull() & ~inside).alias("n_outliers")))
+                  F.sum(F.when(v.isNotNull() & ~inside, n).otherwise(0)).alias("n_outliers")))
     if group:
-        return q.join(w, group, "left")
+        return null_safe_join(q, w, keys, "left")
     whiskers = w.select(F.struct("lower_whisker", "upper_whisker", "n_outliers")).scalar()
     return q.select("*", *[whiskers.getField(c).alias(c) for c in ("lower_whisker", "upper_whisker", "n_outliers")])
 

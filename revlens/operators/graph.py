@@ -143,17 +143,13 @@ def hierarchy_rollup(df: DataFrame, levels: Sequence[str], value: str) -> DataFr
     return rolled.filter((F.col("depth") == 0) | real)
 
 
-def path_labels(nodes: DataFrame, levels: Sequence[str], root: str = "root", max_depth: int = 10,
+def path_labels(nodes: DataFrame, levels: Sequence[str], root: str = "root",
                 sep: str = " > ", id_sep: str = "--") -> DataFrame:
-    """Readable label 'A > B > C' and element id 'root--A--B' for each node.
-
-    The id keeps at most ``max_depth`` names, the deepest ones.
-    """
+    """Readable label 'A > B > C' and element id 'root--A--B--C' (the whole path) for each node."""
     arr = F.filter(F.array(*[F.col(c).cast("string") for c in levels]), lambda x: x.isNotNull())
     full = F.concat(F.array(F.lit(root)), arr)
-    start = F.greatest(F.size(full) - F.lit(max_depth - 1), F.lit(1))
     return nodes.select("*", F.array_join(arr, sep).alias("label"),
-                        F.array_join(F.slice(full, start, F.lit(max_depth)), id_sep).alias("node_id"))
+                        F.array_join(full, id_sep).alias("node_id"))
 
 
 def leaf_members(df: DataFrame, levels: Sequence[str], prefix: Sequence[str]) -> DataFrame:

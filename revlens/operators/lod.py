@@ -15,6 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys where null equals null; the keys of the left side stay."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    on = F.lit(True)
+    for k in keys:
+        on = on & left[k].eqNullSafe(renamed[f"_r_{k}"])
+    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def fixed_lod(df: DataFrame, fixed_dims: Sequence[str], agg: Column, view_dims: Sequence[Column],
               where: Column | None = None, having: tuple | None = None,
               alias: str = "value") -> DataFrame:
@@ -29,7 +38,7 @@ def fixed_lod(df: DataFrame, fixed_dims: Sequence[str], agg: Column, view_dims:
     base = df.filter(where) if where is not None else df
     view = base.select(*view_dims, *fixed_dims).distinct()
     names = [c for c in view.columns if c not in fixed_dims]
-    out = (view.join(fixed, list(fixed_dims))
+    out = (null_safe_join(view, fixed, fixed_dims, "inner")
                .groupBy(*names).agg(F.sum("_fixed").alias(alias)))
     if having is not None:
         lo, hi = having
@@ -53,7 +62,7 @@ def lod_join(df: DataFrame, keys: Sequence[str], agg: Column, alias: str = "fixe
     instead of being sorted whole inside one task.
     """
     fixed = df.groupBy(*keys).agg(agg.alias(alias))
-    return df.join(fixed, list(keys), "left")
+    return null_safe_join(df, fixed, keys, "left")
 
 
 def daily_counts(df: DataFrame, date_col: str, count_col: str | None = None) -> DataFrame:
@@ -74,20 +83,18 @@ def spike_days_z(df: DataFrame, date_col: str, k: float = 2.0, trailing: int = 2
 
     No window and no single partition: every day credits its count to each
     of the ``trailing`` days after it (a fixed fan-out of the per-day series),
-    the credits are summed per target day (n, Σc, Σc²), and the sums are
-    joined back on the day.  Sample sd = sqrt((Σc² - (Σc)²/n) / (n - 1)).
+    mean and sample deviation per target day merge stably (no difference of
+    large squares), and they are joined back on the day.
     """
     d = daily_counts(df, date_col, count_col)
     c = F.col("day_count").cast("double")
     targets = F.sequence(F.date_add(F.col("day"), 1), F.date_add(F.col("day"), trailing))
     credits = d.select(F.explode(targets).alias("day"), c.alias("c"))
-    sums = credits.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("s"),
-                                      F.sum(F.col("c") * F.col("c")).alias("ss"))
-    n, s, ss = F.col("n").cast("double"), F.col("s"), F.col("ss")
-    var = F.when(n > 1, F.greatest((ss - s * s / n) / (n - F.lit(1.0)), F.lit(0.0)))
+    sums = credits.groupBy("day").agg(F.avg("c").alias("trailing_mean"), F.stddev_samp("c").alias("trailing_sd"))
+    limit = F.col("trailing_mean") + F.lit(k) * F.col("trailing_sd")
     out = d.join(sums, "day", "left")
     return out.select(
         "day", "day_count",
-        (s / n).alias("trailing_mean"),
-        F.sqrt(var).alias("trailing_sd"),
-        F.coalesce(F.col("day_count") > s / n + F.lit(k) * F.sqrt(var), F.lit(False)).alias("is_spike"))
+        "trailing_mean",
+        "trailing_sd",
+        F.coalesce(F.col("day_count") > limit, F.lit(False)).alias("is_spike"))

@@ -50,47 +50,41 @@ def _cell(name: str, dt: T.DataType) -> Column:
                     F.when(present & ok, num).alias("num"))
 
 
-def profile_columns(df: DataFrame, max_values: int = 1000, columns: Sequence[str] | None = None,
-                    reuse_pairs: bool = True) -> DataFrame:
-    """Per column its type ('numeric' / 'categorical'), distinct count,
-    numeric min / max and, below ``max_values`` distinct values, the sorted
-    distinct values (string form, null written 'null').
+def _pairs(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
+    """Distinct (column, value) pairs with what the summary needs of each."""
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    cells = df.select(F.inline(F.array(*[_cell(c, fields[c]) for c in (columns or df.columns)])))
+    return (cells.groupBy("column_name", "value")
+                 .agg(F.bool_or("present").alias("present"),
+                      F.bool_and(F.when(F.col("present"), F.col("ok"))).alias("ok"),
+                      F.min("num").alias("min"), F.max("num").alias("max")))
+
+
+def profile_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The distinct values of every column, one row each (string form, null
+    written 'null'); never gathered into a list, so any column may have any number."""
+    return _pairs(df, columns).select("column_name", "value")
+
+
+def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Per column its type ('numeric' / 'categorical'), distinct count and
+    numeric min / max (the values themselves: ``profile_values``).
 
     A column is numeric when it has at least one present value and every
     present value is a number or a string that starts with one.
-
-    The distinct (column, value) pairs feed both the per-column summary and
-    the value lists; the branches prune differently, so Spark would rebuild
-    them (a full scan and shuffle each).  With ``reuse_pairs`` they are
-    checkpointed once into the checkpoint folder and read twice.
     """
-    cols = list(columns) if columns else df.columns
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    cells = df.select(F.inline(F.array(*[_cell(c, fields[c]) for c in cols])))
-    pairs = (cells.groupBy("column_name", "value")
-                  .agg(F.bool_or("present").alias("present"),
-                       F.bool_and(F.when(F.col("present"), F.col("ok"))).alias("ok"),
-                       F.min("num").alias("min"), F.max("num").alias("max")))
-    if reuse_pairs:
-        from ..session import checkpoint_root
-        checkpoint_root(df.sparkSession)  # the shared folder (a private one only for a bare local session)
-        pairs = pairs.checkpoint(eager=True)
-    per_col = (pairs.groupBy("column_name")
+    per_col = (_pairs(df, columns).groupBy("column_name")
                     .agg(F.count(F.lit(1)).alias("n_distinct"),
                          F.coalesce(F.bool_or("present"), F.lit(False)).alias("_any"),
                          F.coalesce(F.bool_and("ok"), F.lit(True)).alias("_all_ok"),
                          F.min("min").alias("min"), F.max("max").alias("max")))
     is_num = F.col("_any") & F.col("_all_ok")
-    per_col = per_col.select(
+    return per_col.select(
         "column_name",
         F.when(is_num, F.lit("numeric")).otherwise(F.lit("categorical")).alias("type"),
         "n_distinct",
         F.when(is_num, F.col("min")).alias("min"),
         F.when(is_num, F.col("max")).alias("max"))
-    small = per_col.filter(F.col("n_distinct") < max_values).select("column_name")
-    lists = (pairs.join(small, "column_name", "left_semi")
-                  .groupBy("column_name").agg(F.sort_array(F.collect_list("value")).alias("values")))
-    return per_col.join(lists, "column_name", "left")
 
 
 def compatible_dims(profile: DataFrame, kind: str) -> DataFrame:
@@ -100,16 +94,16 @@ def compatible_dims(profile: DataFrame, kind: str) -> DataFrame:
 
 def filter_widgets(profile: DataFrame, max_values: int = 1000, steps: int = 100) -> DataFrame:
     """Filter spec per column: a range slider for numeric columns, an option
-    list for categorical columns with 0 < distinct < ``max_values``, else none."""
+    list for categorical columns with 0 < distinct < ``max_values``, else 'none'
+    (the column stays, with its number of values)."""
     rng = (F.col("type") == "numeric") & F.col("min").isNotNull() & F.col("max").isNotNull()
     lst = (F.col("type") == "categorical") & (F.col("n_distinct") > 0) & (F.col("n_distinct") < max_values)
     return (profile
-            .withColumn("widget", F.when(rng, F.lit("range")).when(lst, F.lit("list")))
-            .filter(F.col("widget").isNotNull())
+            .withColumn("widget", F.when(rng, F.lit("range")).when(lst, F.lit("list")).otherwise(F.lit("none")))
             .select("column_name", "widget",
                     F.when(rng, F.col("min")).alias("min"), F.when(rng, F.col("max")).alias("max"),
                     F.when(rng, (F.col("max") - F.col("min")) / F.lit(float(steps))).alias("step"),
-                    F.when(lst, F.col("n_distinct")).alias("n_options")))
+                    F.when(~rng, F.col("n_distinct")).alias("n_options")))
 
 
 def coerce_numeric_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -175,10 +175,8 @@ def q_relate_inner(spark, sf):
 
 
 @register("relate_left", """
-SELECT o.o_orderkey, o.o_custkey AS custkey, o.o_totalprice, c.c_name, c.c_mktsegment
-FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON o.o_custkey = c.c_custkey""")
+SELECT d.doc_id, d.lang, d.source, l.quality, l.toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def q_relate_left(spark, sf):
-    od = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("custkey"), "o_totalprice")
-    cu = (table(spark, sf, "customer").filter(F.col("c_acctbal") > 0)
-          .select(F.col("c_custkey").alias("custkey"), "c_name", "c_mktsegment"))
-    return brush.relate(od, cu, "custkey", "left")
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source")
+    return brush.relate(docs, table(spark, sf, "labels").select("doc_id", "quality", "toxic"), "doc_id", "left")

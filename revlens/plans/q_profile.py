@@ -14,7 +14,7 @@ _CUSTOMER = [("c_custkey", "number"), ("c_name", "text"), ("c_nationkey", "numbe
              ("c_acctbal", "number"), ("c_mktsegment", "text")]
 
 
-def _profile_sql(table_name: str, cols, max_values: int = 1000) -> str:
+def _profile_sql(table_name: str, cols) -> str:
     cells = []
     for c, kind in cols:
         if kind == "number":
@@ -35,9 +35,7 @@ per_col AS (SELECT column_name, count(*) AS n_distinct, coalesce(bool_or(present
             FROM pairs GROUP BY column_name),
 prof AS (
   SELECT p.column_name, CASE WHEN _any AND _all_ok THEN 'numeric' ELSE 'categorical' END AS type, p.n_distinct,
-         CASE WHEN _any AND _all_ok THEN p.min END AS min, CASE WHEN _any AND _all_ok THEN p.max END AS max,
-         CASE WHEN p.n_distinct < {max_values} THEN
-              (SELECT string_agg(value, '|' ORDER BY value) FROM pairs q WHERE q.column_name = p.column_name) END AS "values"
+         CASE WHEN _any AND _all_ok THEN p.min END AS min, CASE WHEN _any AND _all_ok THEN p.max END AS max
   FROM per_col p)
 """
 
@@ -49,7 +47,12 @@ def _profile(spark, sf):
 
 @register("profile_columns", _profile_sql("customer", _CUSTOMER) + "SELECT * FROM prof")
 def q_profile_columns(spark, sf):
-    return _profile(spark, sf).withColumn("values", F.array_join("values", "|"))
+    return _profile(spark, sf)
+
+
+@register("profile_values", _profile_sql("customer", _CUSTOMER) + "SELECT column_name, value FROM pairs")
+def q_profile_values(spark, sf):
+    return pr.profile_values(table(spark, sf, "customer").select(*[c for c, _ in _CUSTOMER]))
 
 
 @register("compatible_dims", _profile_sql("customer", _CUSTOMER) + "SELECT column_name FROM prof WHERE type = 'numeric'")
@@ -60,10 +63,10 @@ def q_compatible_dims(spark, sf):
 @register("filter_widgets", _profile_sql("customer", _CUSTOMER) + """
 SELECT column_name, widget, CASE WHEN widget = 'range' THEN min END AS min, CASE WHEN widget = 'range' THEN max END AS max,
        CASE WHEN widget = 'range' THEN (max - min) / 100.0 END AS step,
-       CASE WHEN widget = 'list' THEN n_distinct END AS n_options
+       CASE WHEN widget <> 'range' THEN n_distinct END AS n_options
 FROM (SELECT *, CASE WHEN type = 'numeric' AND min IS NOT NULL AND max IS NOT NULL THEN 'range'
-                     WHEN type = 'categorical' AND n_distinct > 0 AND n_distinct < 1000 THEN 'list' END AS widget
-      FROM prof) WHERE widget IS NOT NULL""")
+                     WHEN type = 'categorical' AND n_distinct > 0 AND n_distinct < 1000 THEN 'list' ELSE 'none' END AS widget
+      FROM prof)""")
 def q_filter_widgets(spark, sf):
     return pr.filter_widgets(_profile(spark, sf))
 

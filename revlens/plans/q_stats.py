@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import lod, stats
-from ..sources.tables import reviews, table, text_reviews
+from ..operators.aggregate import box_stats
+from ..sources.tables import raw_reviews, reviews, table, text_reviews
 from .catalog import register
-from .sql import REVIEWS, TEXT_REVIEWS, with_
+from .sql import RAW_REVIEWS, REVIEWS, TEXT_REVIEWS, with_
 
 R = with_(REVIEWS)
 
@@ -42,6 +43,42 @@ def q_lod_join(spark, sf):
     return lod.lod_join(reviews(spark, sf), ["review_date"], F.count(F.lit(1)))
 
 
+RAW = with_(RAW_REVIEWS)
+
+
+@register("lod_join_nulls", RAW.rstrip() + """
+, f AS (SELECT asin, count(*) AS fixed_value FROM raw_reviews GROUP BY asin)
+SELECT r.order_key, r.line_number, r.asin, f.fixed_value FROM raw_reviews r LEFT JOIN f ON r.asin IS NOT DISTINCT FROM f.asin""")
+def q_lod_join_nulls(spark, sf):
+    df = raw_reviews(spark, sf).select("order_key", "line_number", "asin")
+    return lod.lod_join(df, ["asin"], F.count(F.lit(1)))
+
+
+@register("lod_daily_nulls", RAW.rstrip() + """
+, fixed AS (SELECT reviewer_id, count(*) AS _fixed FROM raw_reviews GROUP BY reviewer_id),
+view AS (SELECT DISTINCT overall, reviewer_id FROM raw_reviews)
+SELECT overall, CAST(sum(_fixed) AS BIGINT) AS value
+FROM view v JOIN fixed f ON v.reviewer_id IS NOT DISTINCT FROM f.reviewer_id GROUP BY overall""")
+def q_lod_daily_nulls(spark, sf):
+    return lod.fixed_lod(raw_reviews(spark, sf), ["reviewer_id"], F.count(F.lit(1)), [F.col("overall")])
+
+
+@register("box_stats_nulls", RAW.rstrip() + """
+, q AS (
+  SELECT summary, quantile_cont(overall, 0.25) AS q1, quantile_cont(overall, 0.5) AS median,
+         quantile_cont(overall, 0.75) AS q3, CAST(min(overall) AS DOUBLE) AS min, CAST(max(overall) AS DOUBLE) AS max
+  FROM raw_reviews GROUP BY summary),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM q)
+SELECT f.*, CAST(min(CASE WHEN r.overall BETWEEN f.lower_fence AND f.upper_fence THEN r.overall END) AS DOUBLE) AS lower_whisker,
+       CAST(max(CASE WHEN r.overall BETWEEN f.lower_fence AND f.upper_fence THEN r.overall END) AS DOUBLE) AS upper_whisker,
+       CAST(count_if(r.overall IS NOT NULL AND NOT (r.overall BETWEEN f.lower_fence AND f.upper_fence)) AS BIGINT)
+         AS n_outliers
+FROM f JOIN raw_reviews r ON r.summary IS NOT DISTINCT FROM f.summary
+GROUP BY ALL""")
+def q_box_stats_nulls(spark, sf):
+    return box_stats(raw_reviews(spark, sf), "overall", group="summary")
+
+
 @register("spike_days_band", R + """
 SELECT review_date AS day, count(*) AS day_count FROM reviews GROUP BY 1
 HAVING count(*) BETWEEN 40 AND 60""")

@@ -12,14 +12,14 @@ from .catalog import register
 
 
 def _events_stream(spark, sf, fmt="parquet"):
-    """The events table as a file stream: the parquet file itself (picked out of the
-    table folder by name), or, for the JSON source, a JSON-lines copy of it."""
+    """The events table as a file stream: the stored table (one file or a folder of
+    part files), or, for the JSON source, a JSON-lines copy of it."""
     ev = table(spark, sf, "events")
     if fmt == "json":
         src = scratch_path(spark, "events-json-src")
         write_json_lines(ev, src)
         return st.stream_json(spark, src, ev.schema), ev
-    return st.stream_parquet(spark, sf.rstrip("/"), ev.schema, file_glob="events.parquet"), ev
+    return st.stream_table(spark, f"{sf.rstrip('/')}/events.parquet"), ev
 
 
 def _run(spark, df, label):
@@ -45,7 +45,9 @@ SELECT DISTINCT user_id, event_type FROM events
 WHERE user_id IS NOT NULL AND event_type IS NOT NULL AND value IS NOT NULL""")
 def q_stream_clean(spark, sf):
     s, _ = _events_stream(spark, sf)
-    clean = st.stream_clean(s, ["user_id", "event_type"], ["user_id", "event_type", "value"])
+    # state is bounded by a delay longer than the table's span, so every repeated key is seen
+    clean = st.stream_clean(st.event_time(s, "ts"), ["user_id", "event_type"], ["user_id", "event_type", "value"],
+                            "event_time", "36500 days")
     return _run(spark, clean, "stream-clean").select("user_id", "event_type")
 
 
@@ -53,7 +55,7 @@ def q_stream_clean(spark, sf):
 def q_stream_dedup(spark, sf):
     s, _ = _events_stream(spark, sf)
     s = st.event_time(s, "ts")
-    d = st.stream_dedup(s, ["user_id", "event_type"], "event_time", "1 hour")
+    d = st.stream_dedup(s, ["user_id", "event_type"], "event_time", "36500 days")
     return _run(spark, d, "stream-dedup").select("user_id", "event_type")
 
 
@@ -69,6 +71,20 @@ def q_stream_zscore(spark, sf):
     return _run(spark, flagged, "stream-zscore")
 
 
+@register("stream_pipeline", """
+SELECT event_id, value,
+       coalesce((value - (SELECT avg(value) FROM events)) / nullif((SELECT stddev_samp(value) FROM events), 0) > 2, false)
+       AS is_anomaly
+FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL AND value IS NOT NULL""")
+def q_stream_pipeline(spark, sf):
+    """Read, clean, flag, write: one stream (event ids are unique, so the dedup keeps every event)."""
+    s, ev = _events_stream(spark, sf)
+    clean = st.stream_clean(st.event_time(s, "ts"), ["event_id"], ["user_id", "event_type", "value"],
+                            "event_time", "36500 days")
+    flagged = st.stream_zscore(clean, "value", st.fit_zscore(ev, "value"), 2.0)
+    return _run(spark, flagged, "stream-pipeline").select("event_id", "value", "is_anomaly")
+
+
 @register("stream_run", "SELECT event_type, count(*) AS count FROM events GROUP BY event_type")
 def q_stream_run(spark, sf):
     s, _ = _events_stream(spark, sf)

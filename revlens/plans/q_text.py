@@ -63,20 +63,18 @@ def q_word_repetition(spark, sf):
 
 @register("word_sentiment", TR + """
 SELECT word, avg(quality) AS avg_rating, count(word) AS word_count
-FROM (SELECT quality, unnest(string_split(text, ' ')) AS word FROM text_reviews WHERE quality IS NOT NULL)
+FROM (SELECT quality, unnest(string_split(text, ' ')) AS word FROM text_reviews)
 GROUP BY word HAVING count(word) > 50""")
 def q_word_sentiment(spark, sf):
-    df = text_reviews(spark, sf).filter(F.col("quality").isNotNull())
-    return tx.word_sentiment(df, "text", "quality", 50)
+    return tx.word_sentiment(text_reviews(spark, sf), "text", "quality", 50)
 
 
 @register("keyword_sentiment", TR + f"""
 SELECT keyword, quality, count(keyword) AS count
-FROM (SELECT quality, unnest({_filtered_sql()}) AS keyword FROM text_reviews WHERE quality IS NOT NULL)
+FROM (SELECT quality, unnest({_filtered_sql()}) AS keyword FROM text_reviews)
 GROUP BY keyword, quality""")
 def q_keyword_sentiment(spark, sf):
-    df = doc_tokens(spark, sf).filter(F.col("quality").isNotNull())
-    kw = df.select("quality", F.explode("filtered").alias("keyword"))
+    kw = doc_tokens(spark, sf).select("quality", F.explode("filtered").alias("keyword"))
     return ag.keyword_sentiment(kw, "keyword", "quality")
 
 

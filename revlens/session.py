@@ -84,13 +84,13 @@ def checkpoint_root(spark: SparkSession) -> str:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
             raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder")
-        return _strip_file(configured)
+        return configured.rstrip("/")
+    if sc.applicationId in _LOCAL_ROOTS:
+        return _LOCAL_ROOTS[sc.applicationId]
     configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if configured:
-        return _strip_file(configured)
+        return configured.rstrip("/")  # with its scheme: a bare path would go to the default file system
     app = sc.applicationId
-    if app in _LOCAL_ROOTS:
-        return _LOCAL_ROOTS[app]
     if not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: point it at a shared folder "

@@ -144,10 +144,11 @@ def write_partitioned(df: DataFrame, path: str, by: str | Sequence[str] = "overa
 
 
 def table_bytes(spark: SparkSession, path: str) -> DataFrame:
-    """Stored bytes and file count of a parquet table, from the file metadata
-    columns (works on any filesystem Spark can read)."""
-    files = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size").distinct()
-    return files.agg(F.sum("file_size").cast("bigint").alias("bytes"), F.count(F.lit(1)).alias("files"))
+    """Stored bytes and file count of a parquet table, one row read for each file
+    (the content column is pruned; works on any filesystem Spark can read)."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("recursiveFileLookup", "true").load(path).select("path", "length"))
+    return files.agg(F.sum("length").cast("bigint").alias("bytes"), F.count(F.lit(1)).alias("files"))
 
 
 def write_json_arrays(df: DataFrame, path: str, n_files: int) -> None:

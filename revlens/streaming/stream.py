@@ -40,6 +40,17 @@ def stream_parquet(spark: SparkSession, path: str, schema: T.StructType,
     return r.parquet(path)
 
 
+def stream_table(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Parquet table as a stream, whether it is stored as a folder of part files
+    or as one file (then its folder is streamed, that file name only)."""
+    static = spark.read.parquet(path)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    files = static.inputFiles()
+    if len(files) == 1 and files[0].endswith(f"/{name}"):
+        return stream_parquet(spark, folder, static.schema, max_files_per_trigger, file_glob=name)
+    return stream_parquet(spark, path, static.schema, max_files_per_trigger)
+
+
 def event_time(df: DataFrame, col: str, out: str = "event_time") -> DataFrame:
     """Watermarks need TIMESTAMP (not TIMESTAMP_NTZ); with the session in UTC the
     wall-clock value is unchanged."""
@@ -81,21 +92,28 @@ def stream_zscore(df: DataFrame, col: str, fit: dict[str, float | None], thresho
 
 
 def stream_run(df: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
-               processing_time: str | None = None, timeout: float | None = 120.0,
+               processing_time: str | None = None, timeout: float | None = None,
                output_mode: str = "append") -> StreamingQuery:
     """Run a stream into a file sink with a checkpoint.
 
     ``processing_time=None`` uses ``availableNow``: everything present is
-    processed (possibly in several micro-batches) and the query stops.  With a
-    processing-time trigger the run is bounded by ``timeout`` seconds.
+    processed (possibly in several micro-batches) and the query stops; it waits
+    as long as that takes, and a ``timeout`` (seconds) that it does not meet
+    raises, so a caller never reads part of a sink unnoticed.  A
+    processing-time trigger has no end of its own: it is stopped after
+    ``timeout`` seconds (never, if None).
     """
     w = (df.writeStream.format(fmt).outputMode(output_mode)
            .option("checkpointLocation", checkpoint).option("path", sink_path))
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
     q = w.start()
-    finished = q.awaitTermination(timeout) if timeout is not None else q.awaitTermination()
+    if timeout is None:
+        q.awaitTermination()
+    finished = timeout is None or q.awaitTermination(timeout)
     if not finished:
         q.stop()
     if q.exception() is not None:
         raise q.exception()
+    if not finished and not processing_time:
+        raise TimeoutError(f"the stream had more to read after {timeout} s")
     return q

@@ -88,10 +88,10 @@ def test_path_labels_and_leaves(demo):
     assert leaves == {"A", "B", "C"}
 
 
-def test_path_id_capped(spark):
+def test_path_id_keeps_the_whole_path(spark):
     df = spark.createDataFrame([tuple(str(i) for i in range(12))], ",".join(f"l{i} string" for i in range(12)))
     out = graph.path_labels(df, [f"l{i}" for i in range(12)]).first()
-    assert out.node_id.split("--") == [str(i) for i in range(2, 12)]
+    assert out.node_id.split("--") == ["root"] + [str(i) for i in range(12)]
 
 
 def test_edge_list_rules(demo_links, spark):

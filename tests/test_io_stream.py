@@ -139,3 +139,28 @@ def test_export_charts(spark):
     assert spark.read.json(written["correlation_heatmap"]).count() == 4
     # charts without their columns are skipped
     assert set(charts.chart_data(df.select("asin"))) == {"top_reviewed_products"}
+
+
+def test_streams_read_folders_and_single_files_in_several_batches(spark, tmp_path):
+    from revlens.plans import q_stream
+    from revlens.streaming import stream as st
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev.repartition(20).write.parquet(str(tmp_path / "events.parquet"))
+    keys = ev.select("user_id", "event_type").distinct().count()
+    for sf in (str(tmp_path), "/root/testdata/sf0.001"):
+        assert q_stream.q_stream_parquet_sink(spark, sf).count() == ev.count()
+        assert q_stream.q_stream_pipeline(spark, sf).count() == ev.count()
+    s = st.event_time(st.stream_table(spark, str(tmp_path / "events.parquet"), max_files_per_trigger=5), "ts")
+    clean = st.stream_clean(s, ["user_id", "event_type"], ["value"], "event_time", "36500 days")
+    q = st.stream_run(clean, str(tmp_path / "out"), str(tmp_path / "ck"))
+    assert len(q.recentProgress) >= 4 and spark.read.parquet(str(tmp_path / "out")).count() == keys
+
+
+def test_unfinished_available_now_run_raises(spark, tmp_path):
+    import pytest
+    from revlens.streaming import stream as st
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev.repartition(20).write.parquet(str(tmp_path / "events.parquet"))
+    s = st.stream_table(spark, str(tmp_path / "events.parquet"), max_files_per_trigger=1)
+    with pytest.raises(TimeoutError):
+        st.stream_run(s, str(tmp_path / "out"), str(tmp_path / "ck"), timeout=0.2)

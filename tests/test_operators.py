@@ -87,8 +87,10 @@ def test_profile_inference(spark):
         "a string, b boolean, c string, d string, e double")
     prof = {r.column_name: r for r in profile.profile_columns(df).collect()}
     assert prof["a"].type == "numeric" and (prof["a"].min, prof["a"].max) == (7.0, 12.0)
-    assert prof["b"].type == "categorical" and prof["b"]["values"] == ["false", "null", "true"]
-    assert prof["c"].type == "categorical" and prof["c"]["values"] == ["null"]
+    assert prof["b"].type == "categorical" and prof["b"].n_distinct == 3
+    assert prof["c"].type == "categorical" and prof["c"].n_distinct == 1
+    values = {(r.column_name, r.value) for r in profile.profile_values(df, ["b", "c"]).collect()}
+    assert values == {("b", "false"), ("b", "null"), ("b", "true"), ("c", "null")}
     assert prof["d"].type == "categorical" and prof["d"].n_distinct == 3
     assert prof["e"].type == "numeric" and prof["e"].max == 2.5
     w = {r.column_name: r.widget for r in profile.filter_widgets(profile.profile_columns(df)).collect()}
@@ -101,11 +103,35 @@ def test_profile_nan_is_numeric_but_not_a_bound(spark):
     assert r.type == "numeric" and (r.min, r.max) == (1.0, 3.0) and r.n_distinct == 3
 
 
-def test_profile_value_list_limit(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("s"))
-    r = profile.profile_columns(df, max_values=10).first()
-    assert r.n_distinct == 50 and r["values"] is None
-
+def test_profile_keeps_every_value(spark):
+    df = spark.range(3000).select(F.concat(F.lit("v"), "id").alias("s"))
+    prof = profile.profile_columns(df)
+    assert prof.first().n_distinct == 3000 and profile.profile_values(df).count() == 3000
+    w = profile.filter_widgets(prof).first()
+    assert w.widget == "none" and w.n_options == 3000
+
+
+def test_null_keys_keep_their_group(spark):
+    from revlens.operators import aggregate, lod
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), (None, 90)], "k string, v int")
+    rows = lod.lod_join(df, ["k"], F.count(F.lit(1))).collect()
+    assert sorted((r.k or "", r.fixed_value) for r in rows) == [("", 2), ("", 2), ("a", 1), ("b", 1)]
+    total = lod.fixed_lod(df, ["k"], F.count(F.lit(1)), [F.lit(1).alias("one")]).first()
+    assert total.value == 4
+    box = {r.k: r for r in aggregate.box_stats(df, "v", "k").collect()}
+    assert (box[None].lower_whisker, box[None].upper_whisker, box[None].n_outliers) == (3.0, 90.0, 0)
+
+
+def test_spike_deviation_at_large_counts(spark):
+    from revlens.operators import lod
+    counts = [10 ** 9 + x for x in (0, 3, 1, 5, 2, 4, 6)]
+    daily = spark.createDataFrame([(f"2024-01-{d + 1:02d}", c) for d, c in enumerate(counts)], "day string, day_count long")
+    original, lod.daily_counts = lod.daily_counts, lambda *a: daily.withColumn("day", F.to_date("day"))
+    try:
+        out = {str(r.day): r for r in lod.spike_days_z(daily, "day").collect()}
+    finally:
+        lod.daily_counts = original
+    assert abs(out["2024-01-07"].trailing_sd - 1.8708286933869707) < 1e-6
 
 def test_filters(spark):
     df = spark.createDataFrame([(1.0, "a"), (float("nan"), "b"), (None, None), (5.0, "c")], "x double, s string")

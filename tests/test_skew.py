@@ -54,7 +54,7 @@ def test_hot_key_lod_join_whole(skewed):
 
 def test_hot_value_profile_and_rollup(skewed):
     prof = {r.column_name: r for r in profile.profile_columns(skewed.select("asin", "overall")).collect()}
-    assert prof["overall"].n_distinct == 5 and prof["overall"]["values"] == ["1", "2", "3", "4", "5"]
+    assert prof["overall"].n_distinct == 5
     nodes = graph.hierarchy_rollup(skewed.withColumn("one", F.lit(1)), ["overall", "asin"], "one")
     assert nodes.filter("depth = 0").first().value == 30000
 
