@@ -2,8 +2,8 @@
 
 1. Every page becomes a record; its payload digest (base32 SHA-1) and length
    are computed where the page is read.
-2. Only headers (digest, page id) are shuffled: a partial minimum for each
-   digest finds the original response; the headers are joined to it by digest.
+2. Headers (digest, page id) are shuffled: a partial minimum for each digest finds
+   the original response; the headers are joined to it by digest, which leaves the revisits.
 3. Fresh archives are written: originals as ``response`` records with their
    payload, all others as ``revisit`` records that refer to the original and
    carry no payload.
@@ -31,11 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, scratch
+from .common import arrow_map, scratch, stored
 
 VERSION = "WARC/1.1"
 END = "\r\n\r\n"
 RECORDS_PER_FILE = 20_000
+#: Revisits (an id, a digest and an id each) up to this number are broadcast.
+BROADCAST_REVISITS = 500_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID = re.compile(r"^<urn:page:(-?\d+)>$")
 
@@ -69,12 +71,23 @@ def resolve_revisits(headers: DataFrame) -> DataFrame:
     return headers.groupBy("payload_digest").agg(F.min("page_id").alias("original"))
 
 
-def resolved(records: DataFrame, originals: DataFrame) -> DataFrame:
-    """Records with record_type and refers_to."""
-    first = F.col("page_id").eqNullSafe(F.col("original"))
-    return (records.join(originals, "payload_digest")
-            .withColumn("record_type", F.when(first, "response").otherwise("revisit"))
-            .withColumn("refers_to", F.when(~first, F.col("original"))).drop("original"))
+def revisits(headers: DataFrame, originals: DataFrame) -> DataFrame:
+    """(page_id, payload_digest, original) of the pages that are not the original of their payload."""
+    return (headers.join(originals, "payload_digest").filter(~F.col("page_id").eqNullSafe(F.col("original")))
+            .select("page_id", "payload_digest", "original").distinct())
+
+
+def resolved(records: DataFrame, again: DataFrame) -> DataFrame:
+    """Records with record_type and refers_to.  Few enough revisits are broadcast, so that payloads stay where
+    they were read; more are joined by a shuffle."""
+    again = again.select(F.col("page_id").alias("_page"), F.col("payload_digest").alias("_digest"),
+                         F.col("original").alias("refers_to"), F.lit(True).alias("_again"))
+    if again.count() <= BROADCAST_REVISITS:
+        again = F.broadcast(again)
+    on = F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("payload_digest") == F.col("_digest"))
+    return (records.join(again, on, "left")
+            .withColumn("record_type", F.when(F.col("_again"), "revisit").otherwise("response"))
+            .drop("_page", "_digest", "_again"))
 
 
 def _line(name: str, value) -> str:
@@ -206,8 +219,9 @@ def deduplicate_archives(pages: DataFrame, path: str, id_col: str = "page_id", u
                          html_col: str = "html", date: str = "1970-01-01T00:00:00Z") -> None:
     """Pages to archives in which every payload stands once."""
     records = digests(pages, id_col, url_col, html_col)
-    originals = resolve_revisits(records.select("payload_digest", "page_id"))
-    write_warc(resolved(records, originals), path, date)
+    headers = stored(records.select("payload_digest", "page_id"), "headers")
+    again = stored(revisits(headers, resolve_revisits(headers)), "revisits")
+    write_warc(resolved(records, again), path, date)
 
 
 def warc_round_trip(pages: DataFrame, **options) -> DataFrame:
