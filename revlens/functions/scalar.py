@@ -59,13 +59,3 @@ def split_category(path, sep: str = "/", n_levels: int = 4, prefix: str = "level
     cols = [F.try_element_at(parts, F.lit(i + 1)).alias(f"{prefix}_{i + 1}") for i in range(n_levels - 1)]
     cols.append(F.try_element_at(parts, F.lit(-1)).alias(f"{prefix}_final"))
     return cols
-
-
-def path_label(levels, sep: str = " > ") -> Column:
-    """Human-readable path 'A > B > C' (null levels are skipped)."""
-    return F.concat_ws(sep, *[_c(c).cast("string") for c in levels])
-
-
-def path_id(levels, root: str = "root", sep: str = "--") -> Column:
-    """Stable element id 'root--A--B'."""
-    return F.concat_ws(sep, F.lit(root), *[_c(c).cast("string") for c in levels])

@@ -41,9 +41,11 @@ def chart_data(df: DataFrame, key: str = "asin", rating: str = "overall", text_c
 
 def export_charts(df: DataFrame, path: str, fmt: str = "json", **kwargs) -> dict[str, str]:
     """I10 for the whole set: write each chart aggregate under ``path/<chart>``."""
+    fixed = {"review_distribution", "sentiment_distribution", "verified_vs_non_verified", "correlation_heatmap",
+             "top_reviewed_products"}  # their size does not grow with the input
     written = {}
     for name, data in chart_data(df, **kwargs).items():
         target = f"{path.rstrip('/')}/{name}"
-        export_summary(data, target, fmt=fmt)
+        export_summary(data, target, fmt=fmt, single_file=name in fixed)
         written[name] = target
     return written

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def cache(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
@@ -11,11 +12,15 @@ def cache(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) ->
     return df.persist(level)
 
 
-def repartition_by(df: DataFrame, n: int | None, *cols: str) -> DataFrame:
+def repartition_by(df: DataFrame, n: int | None, *cols: str, n_salts: int = 1) -> DataFrame:
     """H2: hash-partition by columns.
 
     On a low-cardinality key (a 5-value rating) at most that many partitions
-    get data; prefer leaving the layout to AQE unless a write or a co-located
-    join needs it.
+    get data, and a hot key fills one task.  ``n_salts`` deals the rows of each
+    key over so many hash buckets (by a hash of the row, so a task that is run
+    again deals them alike); equal rows share a bucket.
     """
-    return df.repartition(n, *cols) if n else df.repartition(*cols)
+    keys = [F.col(c) for c in cols]
+    if n_salts > 1:
+        keys.append(F.pmod(F.xxhash64(*df.columns), F.lit(n_salts)))
+    return df.repartition(n, *keys) if n else df.repartition(*keys)

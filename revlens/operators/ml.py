@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans, KMeansModel, LDA, LDAModel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +16,9 @@ def fit_count_vectors(df: DataFrame, words_col: str, vocab_size: int = 1000, min
 
 def vector_stats(df: DataFrame, key: str, features: str = "features") -> DataFrame:
     """Per row: total term count and distinct vocabulary terms of a count vector."""
-    arr = vector_to_array(F.col(features))
-    return df.select(key, F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).cast("bigint").alias("n_terms"),
-                     F.size(F.filter(arr, lambda x: x > 0)).alias("n_distinct_terms"))
+    stored = F.unwrap_udt(F.col(features)).getField("values")  # of a sparse vector only the terms that occur
+    return df.select(key, F.aggregate(stored, F.lit(0.0), lambda a, x: a + x).cast("bigint").alias("n_terms"),
+                     F.size(F.filter(stored, lambda x: x > 0)).alias("n_distinct_terms"))
 
 
 def fit_lda(vectors: DataFrame, k: int = 5, max_iter: int = 10, seed: int = 11,

@@ -118,8 +118,8 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
 
 
-def approx_count(df: DataFrame, fraction: float = 0.1, seed: int = 7) -> DataFrame:
-    """Q2: row count estimated from a Bernoulli sample, with a ~95% interval.
+def approx_count(df: DataFrame, fraction: float = 0.1, seed: int = 7, z: float = 1.96) -> DataFrame:
+    """Q2: row count estimated from a Bernoulli sample, with an interval of ``z`` standard errors (~95%).
 
     The sampled count c estimates N as c / f, with standard error
     sqrt(c (1 - f)) / f.
@@ -129,8 +129,8 @@ def approx_count(df: DataFrame, fraction: float = 0.1, seed: int = 7) -> DataFra
     est = c / F.lit(fraction)
     return df.sample(False, fraction, seed).agg(
         F.round(est).cast("bigint").alias("approx_rows"),
-        F.greatest(F.lit(0.0), est - F.lit(1.96) * se).alias("low"),
-        (est + F.lit(1.96) * se).alias("high"))
+        F.greatest(F.lit(0.0), est - F.lit(z) * se).alias("low"),
+        (est + F.lit(z) * se).alias("high"))
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -14,7 +14,8 @@ import os
 import zipfile
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import StopWordsRemover
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .aggregate import order_desc_limit
@@ -26,16 +27,17 @@ WORD_RUN = "[A-Za-z0-9_]+"
 
 @lru_cache(maxsize=None)
 def default_stop_words(language: str = "english") -> tuple[str, ...]:
-    """Spark ML's default stop-word list (the list StopWordsRemover uses),
-    read from the Spark ML jar so no JVM round trip is needed."""
+    """Spark ML's default stop-word list (the list StopWordsRemover uses).  Without a session, as when
+    only the SQL of a query is asked for, it is read from the Spark ML jar."""
+    if SparkSession.getActiveSession() is not None:
+        return tuple(StopWordsRemover.loadDefaultStopWords(language))
     import pyspark
     jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if jars:
-        with zipfile.ZipFile(jars[0]) as z:
-            raw = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-        return tuple(w for w in raw.split("\n") if w)
-    from pyspark.ml.feature import StopWordsRemover
-    return tuple(StopWordsRemover.loadDefaultStopWords(language))
+    if not jars:
+        raise RuntimeError("no Spark session and no Spark ML jar to read the stop words from")
+    with zipfile.ZipFile(jars[0]) as z:
+        raw = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
+    return tuple(w for w in raw.split("\n") if w)
 
 
 def tokens(text: str | Column) -> Column:
@@ -62,23 +64,20 @@ def remove_stopwords(df: DataFrame, words_col: str = "words", out: str = "filter
     return df.withColumn(out, without_stop_words(words_col, stop_words))
 
 
-def word_counts(df: DataFrame, words_col: str, k: int | None = 100) -> DataFrame:
-    """Top-k occurrence counts of the words of an array column, ties by word."""
-    w = df.select(F.explode(words_col).alias("word"))
-    agg = w.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
-    return order_desc_limit(agg, "count", "word", k)
+def keywords(df: DataFrame, text_col: str, *carry: str, stop_words=None, out: str = "word") -> DataFrame:
+    """One row per non-stop-word token of the text, with the ``carry`` columns.
+
+    Tokens are exploded first and then filtered, so the stop-word test is compiled (a lambda over the
+    array is not) and no filtered array is built.
+    """
+    stop = list(stop_words) if stop_words is not None else list(default_stop_words())
+    return df.select(*carry, F.explode(tokens(text_col)).alias(out)).filter(~F.col(out).isin(stop))
 
 
 def word_freq(df: DataFrame, text_col: str, k: int | None = 100, stop_words=None) -> DataFrame:
     """Most frequent non-stop-word tokens, ties by word."""
-    words = df.select(without_stop_words(tokens(text_col), stop_words, lowercase=False).alias("_w"))
-    return word_counts(words, "_w", k)
-
-
-def cloud_weights(top: DataFrame) -> DataFrame:
-    """N6 on top-k counts: weight = count / largest count (k rows, a scalar subquery)."""
-    peak = top.agg(F.max("count")).scalar()
-    return top.select("word", "count", (F.col("count") / peak).alias("weight"))
+    agg = keywords(df, text_col, stop_words=stop_words).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    return order_desc_limit(agg, "count", "word", k)
 
 
 def cloud_words(df: DataFrame, text_col: str, k: int = 100, stop_words=None) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_epoch_seconds, epoch_date, month_name, month_start, parse_review_time, week_part, weekday_name
 from ..operators import aggregate as ag
+from ..operators import clean
+from ..operators.lod import null_safe_join
 from ..sources.tables import raw_reviews, reviews
 from .catalog import register
 from .sql import RAW_REVIEWS, REVIEWS, REVIEWS_CAT, WEEK_PART, with_
@@ -165,10 +167,41 @@ def q_order_desc_limit(spark, sf):
     return ag.avg_by_key(reviews(spark, sf), "reviewer_id", "overall", k=20)
 
 
-@register("distinct_customers_approx")
+@register("distinct_customers_approx", R + """
+SELECT CAST(year(review_date) AS INTEGER) AS year, monthname(review_date) AS month_name,
+       count(DISTINCT reviewer_id) AS distinct_customers, true AS within_bound
+FROM reviews GROUP BY 1, 2""")
 def q_distinct_customers_approx(spark, sf):
-    """AG15 with the HyperLogLog++ sketch (approx_count_distinct); rows-only check."""
-    return ag.distinct_customers(reviews(spark, sf), approx=True)
+    """AG15 with the HyperLogLog++ sketch, held against the exact counts: five standard errors (5 % each) at most."""
+    r = reviews(spark, sf)
+    sketch = ag.distinct_customers(r, approx=True).withColumnRenamed("distinct_customers", "estimate")
+    both = null_safe_join(ag.distinct_customers(r), sketch, ["year", "month_name"], "inner")
+    return both.select("year", "month_name", "distinct_customers",
+                       (F.abs(F.col("estimate") - F.col("distinct_customers"))
+                        <= F.lit(0.25) * F.col("distinct_customers")).alias("within_bound"))
+
+
+@register("category_tree_filtered", RC + """
+SELECT main_category, sub_category, sub_sub_category, final_category,
+       avg(overall) AS avg_rating, count(DISTINCT reviewer_id) AS distinct_customers
+FROM reviews GROUP BY 1, 2, 3, 4
+HAVING avg(overall) BETWEEN 2.5 AND 3.5 AND count(DISTINCT reviewer_id) BETWEEN 20 AND 40""")
+def q_category_tree_filtered(spark, sf):
+    """AG17 with the sheet's two measure ranges."""
+    tree = ag.category_tree_avg(reviews(spark, sf, categories=True),
+                                ["main_category", "sub_category", "sub_sub_category", "final_category"])
+    return ag.having_range(ag.having_range(tree, "avg_rating", 2.5, 3.5), "distinct_customers", 20, 40)
+
+
+@register("verified_sentiment_filtered", R + """
+SELECT verified,
+       CASE WHEN overall >= 4 THEN 'Positive' WHEN overall = 3 THEN 'Neutral' ELSE 'Negative' END AS sentiment,
+       CAST(sum(overall) AS BIGINT) AS sum_rating, count(*) AS count
+FROM reviews WHERE overall BETWEEN 2 AND 5 AND verified IN (true) GROUP BY 1, 2""")
+def q_verified_sentiment_filtered(spark, sf):
+    """AG18 with the sheet's rating range and verified set."""
+    kept = clean.set_filter(clean.range_filter(reviews(spark, sf), "overall", 2, 5), "verified", [True])
+    return ag.verified_sentiment_heat(kept)
 
 
 @register("date_parts", R + f"""

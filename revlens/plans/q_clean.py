@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import clean
-from ..sources.tables import raw_reviews, reviews, table, text_reviews
+from ..operators.profile import describe_long
+from ..sources.tables import raw_reviews, reviews, table
 from .catalog import register
 from .sql import NUMERIC_PREFIX, RAW_REVIEWS, REVIEWS, with_
 
@@ -26,7 +27,7 @@ def q_sample_rows(spark, sf):
 SELECT doc_id, CASE WHEN regexp_matches(text, 'refund|return|defective', 'i') THEN 1 ELSE 0 END AS contains_keyword
 FROM documents""")
 def q_keyword_flag(spark, sf):
-    return clean.keyword_flag(text_reviews(spark, sf).select("doc_id", "text"), "text").drop("text")
+    return clean.keyword_flag(table(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")
 
 
 @register("malformed_rows", RAW + """
@@ -107,7 +108,7 @@ def q_set_filter(spark, sf):
 @register("review_length", """
 SELECT doc_id, CAST(length(text) AS INTEGER) AS review_length FROM documents""")
 def q_review_length(spark, sf):
-    return clean.review_length(text_reviews(spark, sf).select("doc_id", "text"), "text").drop("text")
+    return clean.review_length(table(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")
 
 
 @register("dedup_keys", R + """
@@ -134,3 +135,28 @@ def q_manual_order(spark, sf):
     from ..operators.aggregate import manual_order
     agg = table(spark, sf, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("count"))
     return manual_order(agg, "o_orderpriority", ["3-MEDIUM", "1-URGENT"])
+
+
+# What the loader run composes: fill, one row per reviewer and product, normalise, outlier filter, long statistics.
+_PIPE_COLS = ["overall", "overall_normalized", "order_key", "line_number"]
+_PIPE_SQL = RAW.rstrip() + """,
+filled AS (SELECT * REPLACE (coalesce(review_text, 'Unknown') AS review_text, coalesce(summary, 'No Summary') AS summary)
+           FROM raw_reviews),
+firsts AS (SELECT * FROM filled
+           QUALIFY row_number() OVER (PARTITION BY reviewer_id, asin ORDER BY order_key NULLS FIRST, line_number NULLS FIRST,
+           review_text NULLS FIRST, overall NULLS FIRST, summary NULLS FIRST, review_date NULLS FIRST, review_ts NULLS FIRST) = 1),
+normal AS (SELECT *, CAST(overall AS DOUBLE) / 5.0 AS overall_normalized FROM firsts),
+kept AS (SELECT * FROM normal WHERE overall_normalized <=
+         (SELECT avg(overall_normalized) + 3 * stddev_samp(overall_normalized) FROM normal))
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev, "
+    f"CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max FROM kept" for c in _PIPE_COLS)
+
+
+@register("clean_pipeline", _PIPE_SQL)
+def q_clean_pipeline(spark, sf):
+    df = clean.fill_missing(raw_reviews(spark, sf), {"review_text": "Unknown", "summary": "No Summary"})
+    df = clean.dedup_keys(df, ["reviewer_id", "asin"], ["order_key", "line_number"])
+    df = clean.upper_outlier_filter(clean.normalize_rating(df), "overall_normalized", 3.0)
+    out = describe_long(df, _PIPE_COLS)
+    return out.withColumn("mean", F.round("mean", 6)).withColumn("stddev", F.round("stddev", 6))

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import date_epoch_seconds
 from ..functions.scalar import split_category
 from ..operators.aggregate import sentiment_counts
-from ..operators.hints import repartition_by
+from ..operators.charts import export_charts
+from ..operators.hints import cache, repartition_by
 from ..session import scratch_path
 from ..sources import files as io
 from ..sources.tables import customer_tree, reviews, table
 from .catalog import register
-from .sql import CUSTOMER_TREE, REVIEWS, with_
+from .sql import CUSTOMER_TREE, REVIEWS, REVIEWS_CAT, with_
 
 
 def _events_json(spark, sf) -> tuple[str, T.StructType]:
@@ -70,7 +73,7 @@ def q_scan_json_array(spark, sf):
     rg = table(spark, sf, "region")
     rows = na.join(rg, na.n_regionkey == rg.r_regionkey).select("n_nationkey", "n_name", "r_name")
     path = scratch_path(spark, "nations-json-array")
-    io.write_json_arrays(rows, path, n_files=3)
+    io.write_json_arrays(rows, path, rows_per_file=10)
     schema = T.StructType([T.StructField("n_nationkey", T.IntegerType()), T.StructField("n_name", T.StringType()),
                            T.StructField("r_name", T.StringType())])
     return io.scan_json_array(spark, path, schema).select("n_nationkey", "n_name", "r_name")
@@ -82,13 +85,86 @@ SELECT CASE WHEN overall >= 4 THEN 'Positive' WHEN overall = 3 THEN 'Neutral' EL
 FROM reviews GROUP BY 1""")
 def q_export_summary(spark, sf):
     path = scratch_path(spark, "sentiment-csv")
-    io.export_summary(sentiment_counts(reviews(spark, sf)), path, fmt="csv")
+    io.export_summary(sentiment_counts(reviews(spark, sf)), path, fmt="csv", single_file=True)
     return spark.read.schema("sentiment string, count bigint").option("header", True).csv(path)
 
 
 @register("repartition_by", with_(REVIEWS) + "SELECT * FROM reviews")
 def q_repartition_by(spark, sf):
-    return repartition_by(reviews(spark, sf), 8, "overall")
+    return repartition_by(reviews(spark, sf), 8, "overall", n_salts=64)
+
+
+@register("cache", "SELECT * FROM customer")
+def q_cache(spark, sf):
+    return cache(table(spark, sf, "customer"))
+
+
+@register("pragma_labels", """
+SELECT 'label_para' AS label, CAST(count_if(l_quantity > 25) AS BIGINT) AS rows FROM lineitem
+UNION ALL SELECT 'label_reduction', CAST(count_if(l_returnflag = 'R') AS BIGINT) FROM lineitem
+UNION ALL SELECT 'label_simd', CAST(count_if(l_discount > 0.05) AS BIGINT) FROM lineitem""")
+def q_pragma_labels(spark, sf):
+    """Label rows written as JSON lines, read with the fixed schema and counted by label."""
+    flags = {"label_para": F.col("l_quantity") > 25, "label_reduction": F.col("l_returnflag") == "R",
+             "label_simd": F.col("l_discount") > 0.05}
+    path = scratch_path(spark, "pragma-json")
+    io.write_json_lines(table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("ID"), F.col("l_linenumber").cast("string").alias("realId"),
+        F.col("l_linestatus").alias("pragma"), *[c.cast("int").alias(n) for n, c in flags.items()]), path)
+    return io.label_counts(io.scan_json(spark, path, io.BONUS_SCHEMA, keep_corrupt=False), list(flags))
+
+
+@register("review_v0_normalize", with_(REVIEWS) + """
+SELECT CAST(reviewer_id AS VARCHAR) AS "reviewerID", overall, helpful AS helpful_votes, votes AS all_votes, review_date
+FROM reviews""")
+def q_review_v0_normalize(spark, sf):
+    path = scratch_path(spark, "reviews-v0-json")
+    io.write_json_lines(reviews(spark, sf).select(
+        F.col("reviewer_id").cast("string").alias("reviewerID"), F.col("overall").cast("double").alias("overall"),
+        F.format_string("[%d, %d]", "helpful", "votes").alias("helpful"),
+        F.date_format("review_date", "MM d, yyyy").alias("reviewTime")), path)
+    out = io.normalize_reviews(io.scan_json(spark, path, io.REVIEW_V0_SCHEMA, keep_corrupt=False))
+    return out.select("reviewerID", "overall", "helpful_votes", "all_votes", "review_date")
+
+
+# The seven exported charts as (chart, key, value); value rounded so that both engines' last digits agree.
+_CHART_CELLS = {
+    "top_reviewed_products": ("CAST(asin AS STRING)", "review_count"),
+    "review_distribution": ("'median'", "median"),
+    "sentiment_distribution": ("sentiment", "count"),
+    "review_trends": ("CAST(month AS STRING)", "review_count"),
+    "verified_vs_non_verified": ("CAST(verified AS STRING)", "avg_rating"),
+    "review_length_vs_rating": ("concat(length_bin, '/', overall)", "count"),
+    "correlation_heatmap": ("concat(x, '/', y)", "r"),
+}
+
+
+@register("export_charts", with_(REVIEWS_CAT).rstrip() + """,
+t AS (SELECT *, length(title) AS review_length FROM reviews),
+cells AS (
+  SELECT 'top_reviewed_products' AS chart, CAST(asin AS VARCHAR) AS key, CAST(n AS DOUBLE) AS value
+  FROM (SELECT asin, count(*) AS n FROM t GROUP BY asin ORDER BY n DESC, asin LIMIT 10)
+  UNION ALL SELECT 'review_distribution', 'median', quantile_cont(overall, 0.5) FROM t
+  UNION ALL SELECT 'sentiment_distribution', CASE WHEN overall >= 4 THEN 'Positive' WHEN overall = 3 THEN 'Neutral'
+                                             ELSE 'Negative' END AS key, count(*) FROM t GROUP BY 2
+  UNION ALL SELECT 'review_trends', CAST(CAST(date_trunc('month', review_date) AS DATE) AS VARCHAR) AS key, count(*)
+  FROM t WHERE review_date IS NOT NULL GROUP BY 2
+  UNION ALL SELECT 'verified_vs_non_verified', CAST(verified AS VARCHAR) AS key, avg(overall) FROM t GROUP BY 2
+  UNION ALL SELECT 'review_length_vs_rating',
+                   concat(CAST(floor(review_length / 5) * 5 AS BIGINT), '/', overall) AS key, count(*) FROM t GROUP BY 2
+  UNION ALL SELECT 'correlation_heatmap', 'overall/overall', corr(overall, overall) FROM t
+  UNION ALL SELECT 'correlation_heatmap', 'review_length/review_length', corr(review_length, review_length) FROM t
+  UNION ALL SELECT 'correlation_heatmap', 'overall/review_length', corr(overall, review_length) FROM t
+  UNION ALL SELECT 'correlation_heatmap', 'review_length/overall', corr(overall, review_length) FROM t)
+SELECT chart, key, round(value, 6) AS value FROM cells""")
+def q_export_charts(spark, sf):
+    """I10 whole: every chart written by the export and read back."""
+    written = export_charts(reviews(spark, sf, categories=True), scratch_path(spark, "charts"), fmt="parquet",
+                            text_col="title", length_bin=5)
+    cells = [spark.read.parquet(path).select(F.lit(name).alias("chart"), F.expr(_CHART_CELLS[name][0]).alias("key"),
+                                             F.round(F.expr(f"CAST({_CHART_CELLS[name][1]} AS DOUBLE)"), 6).alias("value"))
+             for name, path in written.items()]
+    return reduce(lambda a, b: a.unionByName(b), cells)
 
 
 @register("split_category", with_(CUSTOMER_TREE) + """

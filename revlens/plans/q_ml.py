@@ -1,22 +1,31 @@
-"""Queries: ML fits (rows-only checks; results depend on the fitted model)."""
+"""Queries: ML fits (the topic and cluster models are checked by rows only; their results depend on the fit)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from ..operators import ml
-from ..sources.tables import doc_tokens, table
+from ..operators import text as tx
+from ..sources.tables import table
 from .catalog import register
+from .q_text import filtered_sql
 
 
 def _docs_words(spark, sf):
-    return doc_tokens(spark, sf).select("doc_id", F.col("filtered").alias("words"))
+    return table(spark, sf, "documents").select(
+        "doc_id", tx.without_stop_words(tx.tokens("text"), lowercase=False).alias("words"))
 
 
-@register("count_vectors")
+@register("count_vectors", f"""
+WITH w AS (SELECT doc_id, unnest({filtered_sql()}) AS word FROM documents),
+v AS (SELECT word FROM w GROUP BY word HAVING count(DISTINCT doc_id) >= 5),
+n AS (SELECT doc_id, count(*) AS n_terms, count(DISTINCT word) AS n_distinct FROM w JOIN v USING (word) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_terms, 0) AS n_terms, CAST(coalesce(n_distinct, 0) AS INTEGER) AS n_distinct_terms
+FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id""")
 def q_count_vectors(spark, sf):
+    """The vocabulary holds every word seen in 5 texts or more (Spark's own bound, 2^18 words, is above it)."""
     d = _docs_words(spark, sf)
-    cv = ml.fit_count_vectors(d, "words", 1000, 5)
+    cv = ml.fit_count_vectors(d, "words", 1 << 18, 5)
     return ml.vector_stats(cv.transform(d), "doc_id")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregate as ag
 from ..operators import text as tx
-from ..sources.tables import doc_tokens, text_reviews
+from ..sources.tables import table, text_reviews
 from .catalog import register
 from .sql import TEXT_REVIEWS, TOKENS, with_
 
@@ -18,38 +18,38 @@ def _stop_list_sql() -> str:
     return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in tx.default_stop_words()) + "]"
 
 
-def _filtered_sql() -> str:
+def filtered_sql() -> str:
     return f"list_filter({TOK}, lambda x: NOT list_contains({_stop_list_sql()}, lower(x)))"
 
 
 @register("tokenize", f"""
 SELECT doc_id, CAST(len({TOK}) AS INTEGER) AS n_tokens, array_to_string({TOK}, ' ') AS tokens FROM documents""")
 def q_tokenize(spark, sf):
-    d = tx.tokenize(text_reviews(spark, sf).select("doc_id", "text"), "text")
+    d = tx.tokenize(table(spark, sf, "documents").select("doc_id", "text"), "text")
     return d.select("doc_id", F.size("words").alias("n_tokens"), F.array_join("words", " ").alias("tokens"))
 
 
 @register("remove_stopwords", f"""
 SELECT doc_id, CAST(len(f) AS INTEGER) AS n_tokens, array_to_string(f, ' ') AS tokens
-FROM (SELECT doc_id, {_filtered_sql()} AS f FROM documents)""")
+FROM (SELECT doc_id, {filtered_sql()} AS f FROM documents)""")
 def q_remove_stopwords(spark, sf):
-    d = doc_tokens(spark, sf)
+    d = table(spark, sf, "documents").select("doc_id", tx.without_stop_words(tx.tokens("text"), lowercase=False).alias("filtered"))
     return d.select("doc_id", F.size("filtered").alias("n_tokens"), F.array_join("filtered", " ").alias("tokens"))
 
 
 @register("word_freq", f"""
-SELECT word, count(*) AS count FROM (SELECT unnest({_filtered_sql()}) AS word FROM documents)
+SELECT word, count(*) AS count FROM (SELECT unnest({filtered_sql()}) AS word FROM documents)
 GROUP BY word ORDER BY count DESC, word LIMIT 100""")
 def q_word_freq(spark, sf):
-    return tx.word_counts(doc_tokens(spark, sf), "filtered", 100)
+    return tx.word_freq(table(spark, sf, "documents"), "text", 100)
 
 
 @register("cloud_words", f"""
-WITH top AS (SELECT word, count(*) AS count FROM (SELECT unnest({_filtered_sql()}) AS word FROM documents)
+WITH top AS (SELECT word, count(*) AS count FROM (SELECT unnest({filtered_sql()}) AS word FROM documents)
              GROUP BY word ORDER BY count DESC, word LIMIT 100)
 SELECT word, count, count / (SELECT max(count) FROM top) AS weight FROM top""")
 def q_cloud_words(spark, sf):
-    return tx.cloud_weights(tx.word_counts(doc_tokens(spark, sf), "filtered", 100))
+    return tx.cloud_words(table(spark, sf, "documents"), "text", 100)
 
 
 @register("word_repetition", """
@@ -58,7 +58,7 @@ SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS word_count,
        len(string_split(text, ' ')) / len(list_distinct(string_split(text, ' '))) AS word_repetition_ratio
 FROM documents WHERE text IS NOT NULL ORDER BY word_repetition_ratio DESC, doc_id LIMIT 5""")
 def q_word_repetition(spark, sf):
-    return tx.word_repetition(text_reviews(spark, sf), "text", "doc_id", 5)
+    return tx.word_repetition(table(spark, sf, "documents"), "text", "doc_id", 5)
 
 
 @register("word_sentiment", TR + """
@@ -71,10 +71,10 @@ def q_word_sentiment(spark, sf):
 
 @register("keyword_sentiment", TR + f"""
 SELECT keyword, quality, count(keyword) AS count
-FROM (SELECT quality, unnest({_filtered_sql()}) AS keyword FROM text_reviews)
+FROM (SELECT quality, unnest({filtered_sql()}) AS keyword FROM text_reviews)
 GROUP BY keyword, quality""")
 def q_keyword_sentiment(spark, sf):
-    kw = doc_tokens(spark, sf).select("quality", F.explode("filtered").alias("keyword"))
+    kw = tx.keywords(text_reviews(spark, sf), "text", "quality", out="keyword")
     return ag.keyword_sentiment(kw, "keyword", "quality")
 
 
@@ -82,13 +82,13 @@ def q_keyword_sentiment(spark, sf):
 SELECT coalesce(avg(CASE WHEN regexp_matches(text, 'refund|return|defective', 'i') THEN 1 ELSE 0 END) * 100.0, 0.0)
        AS keyword_pct FROM documents""")
 def q_keyword_share(spark, sf):
-    return ag.keyword_share(text_reviews(spark, sf), "text")
+    return ag.keyword_share(table(spark, sf, "documents"), "text")
 
 
 @register("label_frequency", """
 SELECT source, count(*) AS count FROM documents GROUP BY source ORDER BY count DESC, source LIMIT 5""")
 def q_label_frequency(spark, sf):
-    return ag.label_frequency(text_reviews(spark, sf), "source", 5)
+    return ag.label_frequency(table(spark, sf, "documents"), "source", 5)
 
 
 @register("length_rating_bins", TR + """

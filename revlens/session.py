@@ -97,14 +97,10 @@ def checkpoint_root(spark: SparkSession) -> str:
             "(HDFS/S3/ABFS) before running revlens jobs on a cluster")
     root = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("REVLENS_TMP", "/tmp"))
     sc.setCheckpointDir(root)
-    _LOCAL_ROOTS[app] = _strip_file(sc.getCheckpointDir() or root)
+    _LOCAL_ROOTS[app] = (sc.getCheckpointDir() or root).rstrip("/")
     return _LOCAL_ROOTS[app]
 
 
-def _strip_file(path: str) -> str:
-    return (path[len("file:"):] if path.startswith("file:") else path).rstrip("/")
-
-
 def application_id(spark: SparkSession) -> str:
     try:
         return spark.sparkContext.applicationId

@@ -1,12 +1,13 @@
 """Derived tables written once per application and read back by every query.
 
-The review and flow views are multi-way joins of the largest tables.  Every
+The review and flow views join the largest tables.  Every
 analysis over them would otherwise repeat the same shuffles; instead the
 join result is written as parquet into the shared checkpoint folder the
 first time it is needed (the "convert once, analyse parquet" step of the
 loader) and later queries scan only the columns they use.  A written table
 also cuts lineage: losing an executor after the write never re-runs the
-joins.
+joins.  A table is written anew when the size or time of a source file has
+changed; older copies stay until the checkpoint folder is cleaned.
 
 Set ``spark.revlens.materialize=false`` to always plan the joins inline.
 """
@@ -15,9 +16,10 @@ from __future__ import annotations
 
 import hashlib
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import application_id, checkpoint_root
 
@@ -29,14 +31,21 @@ def enabled(spark: SparkSession) -> bool:
     return spark.conf.get("spark.revlens.materialize", "true").lower() == "true"
 
 
-def stored(spark: SparkSession, name: str, source: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Return ``build()`` as a table written once per (application, name, source)."""
+def fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
+    """Names, sizes and times of the files below ``paths``, as one digest (file contents are not read)."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+             .select(F.concat_ws("|", "path", "length", "modificationTime").alias("f")))
+    return files.agg(F.sha1(F.array_join(F.array_sort(F.collect_list("f")), ",").cast("binary")).alias("d")).first()["d"]
+
+
+def stored(spark: SparkSession, name: str, sources: Sequence[str], build: Callable[[], DataFrame]) -> DataFrame:
+    """Return ``build()`` as a table written once per (application, name, state of the source files)."""
     app = application_id(spark)
-    key = (app, f"{name}|{source}")
+    key = (app, f"{name}|{fingerprint(spark, sources)}")
     with _LOCK:
         path = _PATHS.get(key)
         if path is None:
-            digest = hashlib.sha1(f"{app}|{name}|{source}".encode()).hexdigest()[:16]
+            digest = hashlib.sha1("|".join(key).encode()).hexdigest()[:16]
             path = f"{checkpoint_root(spark)}/derived-{name}-{digest}"
             build().write.mode("overwrite").parquet(path)
             _PATHS[key] = path

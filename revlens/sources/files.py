@@ -38,6 +38,10 @@ REVIEW_RAW_SCHEMA = T.StructType([
     T.StructField("reviewTime", T.StringType()),
 ])
 
+# The older dumps have ``helpful`` ("[2, 3]": helpful votes, all votes) and neither ``verified`` nor ``vote``.
+REVIEW_V0_SCHEMA = T.StructType(
+    [f for f in REVIEW_RAW_SCHEMA.fields if f.name not in ("verified", "vote")] + [T.StructField("helpful", T.StringType())])
+
 # Pragma-label rows (ID, realId, pragma and seven 0/1 labels).
 PRAGMA_LABELS = ("label_para", "label_function_call", "label_nested_loop", "label_reduction",
                  "label_task", "label_simd", "label_target")
@@ -77,7 +81,8 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite", compress
 
 def normalize_reviews(df: DataFrame) -> DataFrame:
     """Type the loose review fields: rating -> int, flag -> boolean, votes ->
-    int (null when not a plain number, e.g. '1,234'), reviewTime -> date."""
+    int (null when not a plain number, e.g. '1,234'), reviewTime -> date,
+    helpful "[2, 3]" -> helpful_votes and all_votes (null when it has another form)."""
     cols = []
     for c in df.columns:
         if c == "overall":
@@ -86,6 +91,10 @@ def normalize_reviews(df: DataFrame) -> DataFrame:
             cols.append(F.col(c).cast("string").try_cast("boolean").alias(c))
         elif c == "vote":
             cols.append(F.col(c).try_cast("int").alias(c))
+        elif c == "helpful":
+            cols.append(F.col(c))
+            cols += [F.regexp_extract(c, r"^\s*\[\s*(\d+)\s*,\s*(\d+)\s*\]\s*$", i).try_cast("int").alias(name)
+                     for i, name in ((1, "helpful_votes"), (2, "all_votes"))]
         elif c == "reviewTime":
             cols.append(F.col(c))
             cols.append(parse_review_time(c).alias("review_date"))
@@ -94,6 +103,12 @@ def normalize_reviews(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def label_counts(df: DataFrame, labels: Sequence[str] = PRAGMA_LABELS) -> DataFrame:
+    """Rows that carry each 0/1 label, long form (label, rows), in one pass."""
+    wide = df.agg(*[F.count_if(F.col(c) == 1).alias(c) for c in labels])
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).alias("rows")) for c in labels])))
+
+
 def load_counted(spark: SparkSession, path, schema: T.StructType) -> tuple[DataFrame, int, float]:
     """Load, count and time.  Raises on failure instead of returning None."""
     t0 = time.time()
@@ -151,14 +166,16 @@ def table_bytes(spark: SparkSession, path: str) -> DataFrame:
     return files.agg(F.sum("length").cast("bigint").alias("bytes"), F.count(F.lit(1)).alias("files"))
 
 
-def write_json_arrays(df: DataFrame, path: str, n_files: int) -> None:
-    """Write rows as ``n_files`` JSON-array documents (one array per file).
+def write_json_arrays(df: DataFrame, path: str, n_files: int | None = None, rows_per_file: int = 100_000) -> None:
+    """Write rows as JSON-array documents (one array per file).
 
     Rows are dealt round-robin by their position (not by content, so a
-    heavily repeated row cannot pile into one file); each bucket becomes one
-    array holding about 1/n_files of the rows.  Pick ``n_files`` so that a
-    file stays well inside one task's memory.
+    heavily repeated row cannot pile into one file).  The number of files
+    follows from the row count (one pass more), so an array stays at about
+    ``rows_per_file`` rows however large the table is; ``n_files`` fixes it.
     """
+    if n_files is None:
+        n_files = max(1, -(-df.count() // rows_per_file))
     b = F.pmod(F.monotonically_increasing_id(), F.lit(n_files))
     docs = (df.select(b.alias("bucket"), F.to_json(F.struct(*df.columns)).alias("_j"))
               .groupBy("bucket")
@@ -190,10 +207,10 @@ def scan_json_array(spark: SparkSession, path: str, schema: T.StructType | None
     return df.drop(CORRUPT) if CORRUPT in df.columns else df
 
 
-def export_summary(df: DataFrame, path: str, fmt: str = "json", single_file: bool = True) -> None:
+def export_summary(df: DataFrame, path: str, fmt: str = "json", single_file: bool = False) -> None:
     """Write a chart-ready aggregate (a few rows per chart) as JSON or CSV.
 
-    ``single_file`` coalesces to one part file; use it for aggregates only.
+    ``single_file`` coalesces to one part file: for aggregates of a fixed size only.
     """
     out = df.coalesce(1) if single_file else df
     w = out.write.mode("overwrite")

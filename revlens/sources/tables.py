@@ -76,10 +76,9 @@ def _flow_cols() -> list[Column]:
             F.col("r_name").alias("region")]
 
 
-def _dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _flow_dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     na = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     return {
-        "part": table(spark, sf_dir, "part").select(*_PART),
         "customer": table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
         "supplier": table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"),
         "cn": na.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cn_name"),
@@ -97,40 +96,20 @@ def _line_orders(spark: SparkSession, sf_dir: str, shuffle_join: bool = False) -
     return li.join(od, li.l_orderkey == od.o_orderkey)
 
 
-def _attach(j: DataFrame, dims: dict[str, DataFrame], how: str, part: bool = True,
-            flow: bool = True) -> DataFrame:
-    if part:
-        j = j.join(dims["part"], F.col("l_partkey") == dims["part"].p_partkey, how)
-    if flow:
-        j = (j.join(dims["customer"], F.col("o_custkey") == dims["customer"].c_custkey, how)
-              .join(dims["supplier"], F.col("l_suppkey") == dims["supplier"].s_suppkey, how)
-              .join(dims["cn"], F.col("c_nationkey") == dims["cn"].cn_key, how)
-              .join(dims["sn"], F.col("s_nationkey") == dims["sn"].sn_key, how)
-              .join(dims["region"], F.col("cn_region") == dims["region"].r_regionkey, how))
-    return j
-
-
-def _fact_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem ⋈ orders with every dimension attached by left joins, plus match flags.
+def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem ⋈ orders, the rows of every lineitem-based view, written once per application (the one big
+    join done once, lineage cut).  Dimensions are attached by the views that ask for them.
 
-    The lineitem-orders join is asked to be a sort-merge join: at scale it is
-    one anyway (orders is far too big to broadcast), and on small inputs it
-    spreads the build and the files it writes over all shuffle partitions
-    instead of the scan's few tasks.  The dimension joins are left to the
-    planner's size check.
+    The join is asked to be a sort-merge join: at scale it is one anyway (orders is far too big to
+    broadcast), and on small inputs it spreads the build and the files it writes over all shuffle
+    partitions instead of the scan's few tasks.
     """
-    j = _attach(_line_orders(spark, sf_dir, shuffle_join=True), _dimensions(spark, sf_dir), "left")
-    keep = _LINEITEM + _ORDERS[1:] + _PART[1:] + ["c_mktsegment", "cn_name", "sn_name", "r_name"]
-    return j.select(*keep,
-                    F.col("p_partkey").isNotNull().alias("_has_part"),
-                    (F.col("c_custkey").isNotNull() & F.col("s_suppkey").isNotNull() & F.col("cn_key").isNotNull()
-                     & F.col("sn_key").isNotNull() & F.col("r_regionkey").isNotNull()).alias("_has_flow"))
+    return derived.stored(spark, "facts", [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders")],
+                          lambda: _line_orders(spark, sf_dir, shuffle_join=True).drop("o_orderkey"))
 
 
-def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lineitem fact rows every lineitem-based view is computed from,
-    written once per application (joins done once, lineage cut)."""
-    return derived.stored(spark, "facts", sf_dir, lambda: _fact_plan(spark, sf_dir))
+def _core(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts(spark, sf_dir) if derived.enabled(spark) else _line_orders(spark, sf_dir)
 
 
 def reviews(spark: SparkSession, sf_dir: str, categories: bool = False) -> DataFrame:
@@ -140,20 +119,12 @@ def reviews(spark: SparkSession, sf_dir: str, categories: bool = False) -> DataF
     priority (1-5), verified = status 'F', votes = quantity-1, helpful =
     least(linenumber, votes), review_date = order date.
 
-    With materialisation on (the default) the rows come from the stored fact
-    table: every row is used without categories (= the inner join of lineitem
-    and orders), only rows that found their part with them (= the inner
-    three-way join).  Dimension keys are primary keys, so the left joins of
-    the fact table never add rows.
+    With materialisation on (the default) lineitem ⋈ orders is read from the stored fact table.
     """
-    if derived.enabled(spark):
-        t = facts(spark, sf_dir)
-        if categories:
-            t = t.filter(F.col("_has_part"))
-        return t.select(*_review_cols(categories))
-    j = _line_orders(spark, sf_dir)
+    j = _core(spark, sf_dir)
     if categories:
-        j = _attach(j, _dimensions(spark, sf_dir), "inner", part=True, flow=False)
+        part = table(spark, sf_dir, "part").select(*_PART)
+        j = j.join(part, j.l_partkey == part.p_partkey)
     return j.select(*_review_cols(categories))
 
 
@@ -163,63 +134,33 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     The testdata has no nulls; each review field is nulled under a fixed rule
     on another column so that the same rule can be written in SQL.
     """
-    src = facts(spark, sf_dir) if derived.enabled(spark) else _line_orders(spark, sf_dir)
-    return src.select(*_raw_review_cols())
-
-
-DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
-
-def _text_plan(spark: SparkSession, sf_dir: str, shuffle_join: bool = False, with_tokens: bool = False) -> DataFrame:
-    from ..operators.text import tokens, without_stop_words
-    docs = table(spark, sf_dir, "documents")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    if shuffle_join:
-        labels = labels.hint("merge")
-    t = docs.join(labels, "doc_id", "left")
-    if with_tokens:
-        t = t.withColumn("filtered", without_stop_words(tokens("text"), lowercase=False))
-    return t
-
-
-def _text_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents ⟕ labels with the word tokens, written once per application.
-
-    Tokenising whole texts is the expensive step of every bag-of-words query;
-    stored once, it is not repeated per query.  The one-off build uses a
-    shuffle join (labels are a large share of the documents at scale), so the
-    tokenising and the write run in every shuffle partition.
-    """
-    return derived.stored(spark, "text_docs", sf_dir, lambda: _text_plan(spark, sf_dir, True, True))
+    return _core(spark, sf_dir).select(*_raw_review_cols())
 
 
 def text_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as review text, scored by the quality label where one exists
-    (labels has one row per document, so the rows are the documents' rows)."""
-    if derived.enabled(spark):
-        return _text_table(spark, sf_dir).select(*DOCUMENT_COLUMNS, "quality", "toxic")
-    return _text_plan(spark, sf_dir)
-
+    (labels has one row per document, so the rows are the documents' rows).
 
-def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: quality label and word tokens without stop words (stored;
-    the full token list is cheap to recompute from the stored text)."""
-    if derived.enabled(spark):
-        return _text_table(spark, sf_dir).select("doc_id", "quality", "filtered")
-    return _text_plan(spark, sf_dir, with_tokens=True).select("doc_id", "quality", "filtered")
+    Queries that use no rating read ``documents`` itself, so texts are shuffled only where a rating is
+    asked for and the labels are too big to broadcast.
+    """
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
 
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trade flows: customer nation -> supplier nation, valued by extended price.
 
     ``category`` (market segment) and ``region`` (customer region) give the
-    extra dimensions the brushing operators need.  With materialisation on,
-    the rows are the fact rows whose customer, supplier, nations and region
-    all matched (= the inner joins).
+    extra dimensions the brushing operators need.
     """
-    if derived.enabled(spark):
-        return facts(spark, sf_dir).filter(F.col("_has_flow")).select(*_flow_cols())
-    j = _attach(_line_orders(spark, sf_dir), _dimensions(spark, sf_dir), "inner", part=False, flow=True)
+    dims = _flow_dimensions(spark, sf_dir)
+    j = (_core(spark, sf_dir)
+         .join(dims["customer"], F.col("o_custkey") == dims["customer"].c_custkey)
+         .join(dims["supplier"], F.col("l_suppkey") == dims["supplier"].s_suppkey)
+         .join(dims["cn"], F.col("c_nationkey") == dims["cn"].cn_key)
+         .join(dims["sn"], F.col("s_nationkey") == dims["sn"].sn_key)
+         .join(dims["region"], F.col("cn_region") == dims["region"].r_regionkey))
     return j.select(*_flow_cols())
 
 

@@ -164,3 +164,28 @@ def test_unfinished_available_now_run_raises(spark, tmp_path):
     s = st.stream_table(spark, str(tmp_path / "events.parquet"), max_files_per_trigger=1)
     with pytest.raises(TimeoutError):
         st.stream_run(s, str(tmp_path / "out"), str(tmp_path / "ck"), timeout=0.2)
+
+
+def test_derived_table_notices_a_changed_source(spark):
+    from revlens.sources import derived
+    src = scratch_path(spark, "derived-src")
+    read = lambda: derived.stored(spark, "probe", [src], lambda: spark.read.parquet(src)).count()
+    spark.range(5).write.parquet(src)
+    assert read() == 5 and read() == 5
+    spark.range(3).write.mode("append").parquet(src)
+    assert read() == 8
+
+
+def test_v0_helpful_field(spark):
+    p = _write_text(spark, ['{"reviewerID": "a", "helpful": "[2, 3]"}', '{"reviewerID": "b", "helpful": [4, 5]}',
+                            '{"reviewerID": "c", "helpful": "many"}', '{"reviewerID": "d"}'], "v0")
+    rows = io.normalize_reviews(io.scan_json(spark, p, io.REVIEW_V0_SCHEMA)).collect()
+    got = {r.reviewerID: (r.helpful_votes, r.all_votes) for r in rows}
+    assert got == {"a": (2, 3), "b": (4, 5), "c": (None, None), "d": (None, None)}
+
+
+def test_json_arrays_follow_the_row_count(spark):
+    p = scratch_path(spark, "arr-auto")
+    io.write_json_arrays(spark.range(95), p, rows_per_file=10)
+    assert spark.read.format("binaryFile").option("recursiveFileLookup", True).load(p).count() == 10
+    io.write_json_arrays(spark.range(0), scratch_path(spark, "arr-none"), rows_per_file=10)

@@ -39,6 +39,8 @@ def test_hints_keep_rows(spark):
     rep = hints.repartition_by(cached, 4, "k")
     assert rep.rdd.getNumPartitions() == 4
     assert sorted(map(tuple, rep.collect())) == sorted(map(tuple, df.collect()))
+    spread = hints.repartition_by(cached.filter("k = 1"), 8, "k", n_salts=32)
+    assert sum(1 for p in spread.rdd.glom().collect() if p) > 3  # one key, several tasks
     cached.unpersist()
 
 
