@@ -50,14 +50,29 @@ def _cell(name: str, dt: T.DataType) -> Column:
                     F.when(present & ok, num).alias("num"))
 
 
+def _cells(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(F.inline(F.array(*[_cell(c, fields[c]) for c in (columns or df.columns)])))
+
+
+def _summary() -> list[Column]:
+    return [F.bool_or("present").alias("present"), F.bool_and(F.when(F.col("present"), F.col("ok"))).alias("ok"),
+            F.min("num").alias("min"), F.max("num").alias("max")]
+
+
+def _typed(per_col: DataFrame, *carry: str) -> DataFrame:
+    is_num = F.coalesce(F.col("present"), F.lit(False)) & F.coalesce(F.col("ok"), F.lit(True))
+    return per_col.select(
+        "column_name",
+        F.when(is_num, F.lit("numeric")).otherwise(F.lit("categorical")).alias("type"),
+        *carry,
+        F.when(is_num, F.col("min")).alias("min"),
+        F.when(is_num, F.col("max")).alias("max"))
+
+
 def _pairs(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
     """Distinct (column, value) pairs with what the summary needs of each."""
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    cells = df.select(F.inline(F.array(*[_cell(c, fields[c]) for c in (columns or df.columns)])))
-    return (cells.groupBy("column_name", "value")
-                 .agg(F.bool_or("present").alias("present"),
-                      F.bool_and(F.when(F.col("present"), F.col("ok"))).alias("ok"),
-                      F.min("num").alias("min"), F.max("num").alias("max")))
+    return _cells(df, columns).groupBy("column_name", "value").agg(*_summary())
 
 
 def profile_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -66,29 +81,28 @@ def profile_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return _pairs(df, columns).select("column_name", "value")
 
 
+def profile_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Type and numeric min / max per column without the values: each task sends one row per column."""
+    return _typed(_cells(df, columns).groupBy("column_name").agg(*_summary()))
+
+
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column its type ('numeric' / 'categorical'), distinct count and
     numeric min / max (the values themselves: ``profile_values``).
 
     A column is numeric when it has at least one present value and every
-    present value is a number or a string that starts with one.
+    present value is a number or a string that starts with one.  The exact
+    distinct count shuffles the distinct values; ``profile_types`` does not.
     """
     per_col = (_pairs(df, columns).groupBy("column_name")
-                    .agg(F.count(F.lit(1)).alias("n_distinct"),
-                         F.coalesce(F.bool_or("present"), F.lit(False)).alias("_any"),
-                         F.coalesce(F.bool_and("ok"), F.lit(True)).alias("_all_ok"),
-                         F.min("min").alias("min"), F.max("max").alias("max")))
-    is_num = F.col("_any") & F.col("_all_ok")
-    return per_col.select(
-        "column_name",
-        F.when(is_num, F.lit("numeric")).otherwise(F.lit("categorical")).alias("type"),
-        "n_distinct",
-        F.when(is_num, F.col("min")).alias("min"),
-        F.when(is_num, F.col("max")).alias("max"))
+                    .agg(F.count(F.lit(1)).alias("n_distinct"), F.bool_or("present").alias("present"),
+                         F.bool_and("ok").alias("ok"), F.min("min").alias("min"), F.max("max").alias("max")))
+    return _typed(per_col, "n_distinct")
 
 
 def compatible_dims(profile: DataFrame, kind: str) -> DataFrame:
-    """Columns of the requested type ('numeric' or 'categorical') for a chart role."""
+    """Columns of the requested type ('numeric' or 'categorical') for a chart role
+    (of ``profile_types`` or ``profile_columns``)."""
     return profile.filter(F.col("type") == F.lit(kind)).select("column_name")
 
 

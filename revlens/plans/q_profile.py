@@ -57,7 +57,8 @@ def q_profile_values(spark, sf):
 
 @register("compatible_dims", _profile_sql("customer", _CUSTOMER) + "SELECT column_name FROM prof WHERE type = 'numeric'")
 def q_compatible_dims(spark, sf):
-    return pr.compatible_dims(_profile(spark, sf), "numeric")
+    cu = table(spark, sf, "customer").select(*[c for c, _ in _CUSTOMER])
+    return pr.compatible_dims(pr.profile_types(cu), "numeric")
 
 
 @register("filter_widgets", _profile_sql("customer", _CUSTOMER) + """

@@ -243,3 +243,13 @@ def test_shape_and_estimate(rv):
     assert profile.estimated_size(rv).first().estimated_mb == pytest.approx(600 / 1048576)
     d = {r.column_name: r for r in profile.describe_long(rv).collect()}
     assert d["overall"]["count"] == 5 and d["overall"]["max"] == "5" and d["review_date"]["mean"] is None
+
+
+def test_profile_types_agree_with_the_profile(spark):
+    from revlens.operators import profile
+    df = spark.createDataFrame([(1, "7", "x", None, ""), (2, "8 kg", "", None, ""), (None, None, "9", None, "3")],
+                               "a int, b string, c string, d string, e string")
+    types = {tuple(r) for r in profile.profile_types(df).collect()}
+    assert types == {tuple(r) for r in profile.profile_columns(df).drop("n_distinct").collect()}
+    assert {r[0]: r[1] for r in types} == {"a": "numeric", "b": "numeric", "c": "categorical", "d": "categorical",
+                                           "e": "numeric"}
