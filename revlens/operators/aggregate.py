@@ -151,20 +151,19 @@ def box_stats(df: DataFrame, value: str, group: str | None = None, whisker: floa
     q = (q.withColumn("lower_fence", F.col("q1") - F.lit(whisker) * iqr)
           .withColumn("upper_fence", F.col("q3") + F.lit(whisker) * iqr))
     if group:
-        rows = null_safe_join(counts, q.select(group, "lower_fence", "upper_fence"), keys, "inner")
+        rows = null_safe_join(counts, q, keys, "inner")
     else:
         fences = q.select(F.struct("lower_fence", "upper_fence")).scalar()
         rows = counts.select(value, "_n", fences.getField("lower_fence").alias("lower_fence"),
                              fences.getField("upper_fence").alias("upper_fence"))
     inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
-    w = (rows.groupBy(*keys)
-             .agg(F.min(F.when(inside, v)).cast("double").alias("lower_whisker"),
-                  F.max(F.when(inside, v)).cast("double").alias("upper_whisker"),
-                  F.sum(F.when(v.isNotNull() & ~inside, n).otherwise(0)).alias("n_outliers")))
-    if group:
-        return null_safe_join(q, w, keys, "left")
-    whiskers = w.select(F.struct("lower_whisker", "upper_whisker", "n_outliers")).scalar()
-    return q.select("*", *[whiskers.getField(c).alias(c) for c in ("lower_whisker", "upper_whisker", "n_outliers")])
+    whiskers = [F.min(F.when(inside, v)).cast("double").alias("lower_whisker"),
+                F.max(F.when(inside, v)).cast("double").alias("upper_whisker"),
+                F.sum(F.when(v.isNotNull() & ~inside, n).otherwise(0)).alias("n_outliers")]
+    if group:  # the quartiles are the same in all rows of a group
+        return rows.groupBy(*keys).agg(*[F.any_value(c).alias(c) for c in q.columns if c not in keys], *whiskers)
+    w = rows.agg(F.struct(*whiskers)).scalar()
+    return q.select("*", *[w.getField(c).alias(c) for c in ("lower_whisker", "upper_whisker", "n_outliers")])
 
 
 def length_rating_bins(df: DataFrame, length_col: str, rating_col: str, bin_width: int = 100) -> DataFrame:
