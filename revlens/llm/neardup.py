@@ -14,6 +14,9 @@
    one whose recall at the threshold reaches the target, and is shortened while the recall estimated
    from the verified links' similarities stays below it.
 5. Links give classes (connected components).
+6. A text's links to the other texts of its class are counted exactly, also those that were no
+   candidates: a class is dealt into blocks of bounded size, each pair of blocks is one small task that
+   intersects gram sets as matrices, and only one number for each text and task comes out.
 
 Words are runs of letters and digits, lower-cased.  Defined results: a text without a word
 (null, empty) is never compared and is alone in its class.  Repeated rows are copies.  A null
@@ -26,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -34,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, stored
+from .common import arrow_map, ship_package, stored
 
 WORD = re.compile(r"[^\W_]+")
 GRAM = 5
@@ -45,6 +49,8 @@ TARGET_RECALL = 0.999
 DEEPEST, SHALLOWEST = 7, 4
 #: Ids below this number are broadcast (8 bytes each) to pick their texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Texts and bytes of grams in a block of a class, and grams of a matrix, when links are counted.
+BLOCK_TEXTS, BLOCK_BYTES, COLUMNS = 512, 16_000_000, 4_096
 
 
 def words_of(text: str | None) -> list[str]:
@@ -258,13 +264,77 @@ def components(links: DataFrame) -> DataFrame:
         label = new.select("rep", "label")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-                    target_recall: float = TARGET_RECALL) -> DataFrame:
-    """One row for each document: doc_id, rep_id (the smallest id with the same grams), class_id (the smallest id of
-    its class) and n_links (verified links of its text to different texts).
-
-    Runs jobs: signatures, sorted tries, candidates, links and classes are written to the shared folder.
-    """
+def _class_blocks(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """class_id, i, j, block, rep, grams: each text of a class of three or more, once for each pair of blocks
+    (i <= j) of which one is its own.  A block holds about BLOCK_TEXTS texts or BLOCK_BYTES of grams."""
+    own = stored(sets.join(classes, "rep").select("class_id", "rep", "grams"), "class_sets")
+    size = (own.groupBy("class_id")
+            .agg(F.count("*").alias("size"), F.sum(F.length("grams")).alias("bytes")).filter("size > 2")
+            .select("class_id", F.greatest(F.ceil(F.col("size") / BLOCK_TEXTS), F.ceil(F.col("bytes") / BLOCK_BYTES))
+                    .alias("n")))
+    dealt = own.join(size, "class_id").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n")))
+    return (dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+            .select("class_id", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                    "block", "rep", "grams"))
+
+
+def shared_grams(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Grams that each set numbered in ``first`` shares with each other one in ``second``, as a matrix."""
+    found, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    often = times > 1  # a gram of one set only is shared by none
+    number = np.cumsum(often) - 1
+    keep = often[column]
+    row, column = row[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(first), len(second)), np.float64)
+    for at in range(0, int(often.sum()), COLUMNS):
+        a, b = np.searchsorted(column, (at, at + COLUMNS))
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[row[a:b], column[a:b] - at] = 1
+        common += has[first] @ has[second].T  # at most COLUMNS, exact in 32 bits
+    return common.astype(np.int64)
+
+
+def link_counts(sets: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """rep, n_links: texts of its class with this Jaccard similarity or more (classes of three or more)."""
+    def run(group: pa.Table) -> pa.Table:
+        block, rep = group.column("block").to_numpy(), group.column("rep").to_numpy()
+        grams_of = [np.frombuffer(g.as_buffer(), np.uint64) for g in group.column("grams")]
+        size = np.array([len(g) for g in grams_of])
+        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        first, second = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        n = np.zeros(len(rep), np.int64)
+        if len(first) and len(second):
+            common = shared_grams(grams_of, first, second)
+            linked = common >= threshold * (size[first][:, None] + size[second][None, :] - common)
+            if i == j:
+                np.fill_diagonal(linked, False)
+                n[first] = linked.sum(axis=1)
+            else:
+                n[first], n[second] = linked.sum(axis=1), linked.sum(axis=0)
+        return pa.table({"rep": pa.array(rep, pa.int64()), "n": pa.array(n, pa.int64())})
+
+    ship_package(sets.sparkSession)
+    return (_class_blocks(sets, classes).groupBy("class_id", "i", "j").applyInArrow(run, "rep long, n long")
+            .groupBy("rep").agg(F.sum("n").alias("n_links")))
+
+
+@dataclass(frozen=True)
+class Joined:
+    """Stored parts of a join: documents with their set_key, a representative for each set, gram sets
+    of the candidates, classes of the linked representatives."""
+
+    signed: DataFrame
+    reps: DataFrame
+    sets: DataFrame
+    classes: DataFrame
+
+
+def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+               target_recall: float = TARGET_RECALL) -> Joined:
+    """Runs the join (steps 1 to 5); signatures, tries, candidates, links and classes are written to the shared folder."""
     texts = _texts(docs, id_col, text_col)
     signed = stored(signatures(docs, id_col, text_col), "signatures")
     copies = (signed.filter("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key")
@@ -275,7 +345,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     fits = [k for k in range(SHALLOWEST, DEEPEST + 1) if recall_at(threshold, k) >= target_recall]
     depth = max(fits, default=SHALLOWEST)
-    links = tried = None
+    links = tried = sets = None
     while True:
         pairs = candidates(members, depth)
         if tried is not None:
@@ -283,28 +353,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pairs = stored(pairs, "pairs")
         ids = stored(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
                      .distinct(), "ids")
-        sets = stored(gram_sets(texts, ids).dropDuplicates(["rep"]), "sets")
-        new = stored(verified(pairs, sets, threshold), "links")
+        own = stored(gram_sets(texts, ids).dropDuplicates(["rep"]), "sets")
+        new = stored(verified(pairs, own, threshold), "links")
         links = new if links is None else links.unionByName(new)
         tried = pairs if tried is None else tried.unionByName(pairs)
+        sets = own if sets is None else sets.unionByName(own.join(sets.select("rep"), "rep", "left_anti"))
         if depth <= SHALLOWEST or estimated_recall(links, depth) >= target_recall:
             break
         depth -= 1
+    return Joined(signed, reps, sets, components(links))
+
 
-    classes = components(links)
-    degree = (links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep")))
-              .groupBy("rep").agg(F.count("*").alias("n_links")))
-    known = reps.select("set_key", "rep").join(classes, "rep", "left").join(degree, "rep", "left")
-    return (signed.select("doc_id", "set_key").join(known, "set_key", "left")
-            .select("doc_id", F.coalesce("rep", "doc_id").alias("rep_id"),
-                    F.coalesce("class_id", "rep", "doc_id").alias("class_id"),
-                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+def _classified(joined: Joined) -> DataFrame:
+    known = joined.reps.select("set_key", "rep").join(joined.classes, "rep", "left")
+    return (joined.signed.select("doc_id", "set_key").join(known, "set_key", "left")
+            .select("doc_id", "rep", F.coalesce("rep", "doc_id").alias("rep_id"),
+                    F.coalesce("class_id", "rep", "doc_id").alias("class_id")))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+                    target_recall: float = TARGET_RECALL) -> DataFrame:
+    """One row for each document: doc_id, rep_id (the smallest id with the same grams), class_id (the smallest id of
+    its class) and n_links (links of its text to different texts).  Runs jobs, see ``ngram_join``.
+    """
+    joined = ngram_join(docs, id_col, text_col, threshold, target_recall)
+    counts = link_counts(joined.sets, joined.classes, threshold)
+    pairs = joined.classes.groupBy("class_id").agg(F.count("*").alias("size")).filter("size = 2").select("class_id")
+    degree = counts.unionByName(joined.classes.join(pairs, "class_id").select("rep", F.lit(1).cast("long").alias("n_links")))
+    return (_classified(joined).join(degree, "rep", "left")
+            .select("doc_id", "rep_id", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents (all their columns) without those whose class has a smaller doc_id; of rows with
     the same doc_id and text one stays.  Documents without an id stay."""
-    found = stored(near_duplicates(docs, threshold=threshold), "classes")
+    found = stored(_classified(ngram_join(docs, threshold=threshold)), "classes")
     gone = found.filter("doc_id != class_id").select("doc_id").distinct()
     twice = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1") \
         .select("doc_id")

@@ -1,9 +1,11 @@
 """Jaccard join (4), decontamination (5), quality (6), pipeline."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -48,19 +50,22 @@ def classes_of(texts):
     return out, links
 
 
+def n_links_of(got):
+    return {r.rep_id: r.n_links for r in got if r.n_links}
+
+
 @pytest.mark.parametrize("sf", [brute.SF, SF])
 def test_classes_match_brute_force(spark, sf):
     texts = {r["doc_id"]: r["text"] for r in brute.rows("documents", sf)}
     want, links = classes_of(texts)
     got = entry.queries()["op4_ngram_jaccard_join"](spark, sf).collect()
     assert {r.doc_id: r.class_id for r in got} == want and len(got) == len(texts)
-    linked = {d for p in links for d in p}
-    assert {r.rep_id for r in got if r.n_links} == linked
+    assert n_links_of(got) == Counter(d for p in links for d in p)
 
 
-def test_crowd_of_edited_copies(spark):
-    """One text, many edited copies of it: everyone that is similar to it is in its class, and what is compared
-    grows with the texts, not with their pairs."""
+def test_crowd_of_edited_copies(spark, monkeypatch):
+    """One text, many edited copies of it: everyone that is similar to it is in its class, candidates grow with
+    the texts, not with their pairs, and every link is counted, over several blocks too."""
     rng = random.Random(3)
     words = [f"w{k}" for k in range(200)]
     texts = {0: " ".join(words)}
@@ -73,7 +78,22 @@ def test_crowd_of_edited_copies(spark):
     got = {r.doc_id: r for r in neardup.near_duplicates(docs).collect()}
     want, links = classes_of(texts)
     assert all(got[a].class_id == got[b].class_id for a, b in links)
-    assert sum(r.n_links for r in got.values()) < 40 * len(texts)
+    assert n_links_of(got.values()) == Counter(d for p in links for d in p)
+    monkeypatch.setattr(neardup, "BLOCK_TEXTS", 64)
+    assert n_links_of(neardup.near_duplicates(docs).collect()) == n_links_of(got.values())
+    reps = neardup.signatures(docs).select(F.col("doc_id").alias("rep"), "sig")
+    assert neardup.candidates(neardup.forest(reps).cache(), 6).count() < 20 * len(texts)
+
+
+def test_shared_grams_over_several_matrices(monkeypatch):
+    monkeypatch.setattr(neardup, "COLUMNS", 7)
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in (1, 5, 20, 40, 40)]
+    first, second = np.array([0, 2]), np.array([1, 3, 4])
+    want = [[len(np.intersect1d(sets[a], sets[b])) for b in second] for a in first]
+    assert neardup.shared_grams(sets, first, second).tolist() == want
+    apart = [np.array([k], np.uint64) for k in range(3)]
+    assert not neardup.shared_grams(apart, np.array([0]), np.array([1, 2])).any()
 
 
 def test_joins_on_odd_rows(spark):
