@@ -317,7 +317,9 @@ def link_counts(sets: DataFrame, classes: DataFrame, threshold: float) -> DataFr
         return pa.table({"rep": pa.array(rep, pa.int64()), "n": pa.array(n, pa.int64())})
 
     ship_package(sets.sparkSession)
-    return (_class_blocks(sets, classes).groupBy("class_id", "i", "j").applyInArrow(run, "rep long, n long")
+    blocks = _class_blocks(sets, classes)
+    # dealt by pairs of blocks: a partitioning by class would do for the groups, but put a large class into one task
+    return (blocks.repartition("class_id", "i", "j").groupBy("class_id", "i", "j").applyInArrow(run, "rep long, n long")
             .groupBy("rep").agg(F.sum("n").alias("n_links")))
 
 
