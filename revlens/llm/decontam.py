@@ -1,13 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
+"""Benchmark decontamination: n-gram seeds, then local alignment.
 
-1. One pass over the corpus counts, for every word n-gram of the benchmark, the
-   documents that hold it (each task sends one number for each n-gram).
-2. In every stretch of an item the rarest n-grams become its seeds.  Rarity is
-   relative to the neighbours within the item, so an item whose wording is
-   common everywhere (or leaked into many documents) still has seeds all along.
-3. A second pass finds seeds in the documents, cuts the passage that each seed
-   points at, and scores it against the item by Smith-Waterman alignment over words.  An item
-   is matched where the best alignment reaches a share of the item's perfect score.
+1. Every word n-gram of every benchmark item is a seed.  None is left out as common or as rare: where a
+   copy is edited, the n-grams that are left intact may be any of them.
+2. One pass finds seeds in the documents, cuts the passages that they point at, and scores them against the
+   item by Smith-Waterman alignment over words.  A passage with too few of the item's words for the least
+   score is not aligned; that bound leaves out no match.  An item is matched where the best alignment
+   reaches a share of the item's perfect score.
 
 The benchmark is the small side: it travels to the tasks in chunks of a bounded number of
 characters (``CHUNK_CHARS``); a larger benchmark takes more passes, chunk by chunk.
@@ -15,7 +13,8 @@ characters (``CHUNK_CHARS``); a larger benchmark takes more passes, chunk by chu
 Words are runs of letters and digits, lower-cased.  Defined results: a null text
 has no match.  Items with fewer words than an n-gram, null items included, match only as a
 whole: their words must stand in the text consecutively; items without a word never match.
-Repeated documents and items give repeated matches.
+Repeated documents and items give repeated matches.  A copy that keeps no n-gram of
+its item whole has no seed and is not found.
 """
 
 from __future__ import annotations
@@ -23,18 +22,16 @@ from __future__ import annotations
 import re
 from collections import OrderedDict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, map_texts
+from .common import map_texts
 
 WORD = re.compile(r"[^\W_]+")
 GRAM = 3
-STRETCH = 4
-SEEDS_PER_STRETCH = 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.6
 CHUNK_CHARS = 8_000_000
@@ -70,10 +67,6 @@ class Items:
             known &= part > 0
         return np.where(known, code, 0)
 
-    def all_grams(self) -> np.ndarray:
-        found = [self.grams(w, n) for w, n in zip(self.words, self.size) if len(w)]
-        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-
     def of(self, text: str | None) -> np.ndarray:
         words = words_of(text)
         return np.fromiter(map(self.number.get, words, [0] * len(words)), np.int64, len(words))
@@ -82,40 +75,26 @@ class Items:
         return sorted({n for n in self.size if n})
 
 
-def gram_counts(docs: DataFrame, items: Items, text_col: str = "text") -> dict[int, int]:
-    """Documents of the whole corpus that hold each n-gram of the chunk."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every = items.all_grams()
-        counts = np.zeros(len(every), np.int64)
-        for b in batches:
-            for text in b.column(0).to_pylist():
-                ids = items.of(text)
-                for size in items.sizes():
-                    codes = np.unique(items.grams(ids, size))
-                    at = np.searchsorted(every, codes)
-                    ok = (at < len(every)) & (codes > 0)
-                    ok[ok] = every[at[ok]] == codes[ok]
-                    counts[at[ok]] += 1
-        hit = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(every[hit]), pa.array(counts[hit])], ["gram", "n"])
-
-    rows = (docs.select(F.col(f"`{text_col}`").cast("string").alias("t")).filter("t IS NOT NULL")
-            .transform(arrow_map, run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect())
-    return {r["gram"]: r["n"] for r in rows}  # at most one row for each n-gram of the chunk
-
-
-def choose_seeds(items: Items, counts: dict[int, int]) -> dict[int, list[tuple[int, int]]]:
-    """Seed code -> [(item, position)]: the rarest n-grams of every stretch of each item."""
-    seeds: dict[int, list[tuple[int, int]]] = {}
-    for k, (words, size) in enumerate(zip(items.words, items.size)):
-        if not size:
-            continue
-        codes = items.grams(words, size).tolist()
-        for a in range(0, len(codes), STRETCH):
-            stretch = sorted(range(a, min(a + STRETCH, len(codes))), key=lambda i: (counts.get(codes[i], 0), i))
-            for i in stretch[:SEEDS_PER_STRETCH]:
-                seeds.setdefault(codes[i], []).append((k, i))
-    return seeds
+@dataclass(frozen=True)
+class Seeds:
+    """Sorted seed codes; those numbered ``start[c]`` to ``start[c + 1]`` of ``item`` and ``position`` hold code ``c``."""
+
+    codes: np.ndarray
+    start: np.ndarray
+    item: np.ndarray
+    position: np.ndarray
+
+
+def all_seeds(items: Items) -> Seeds:
+    """Every n-gram of each item."""
+    grams = [items.grams(w, n) if n else np.zeros(0, np.int64) for w, n in zip(items.words, items.size)]
+    count = [len(g) for g in grams]
+    codes = np.concatenate([np.zeros(0, np.int64), *grams])
+    item = np.repeat(np.arange(len(grams)), count)
+    position = np.concatenate([np.zeros(0, np.int64), *map(np.arange, count)])
+    order = np.argsort(codes, kind="stable")
+    found, start = np.unique(codes[order], return_index=True)
+    return Seeds(found, np.append(start, len(codes)), item[order], position[order])
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -145,28 +124,45 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
 
 
 class Scanner:
-    def __init__(self, items: Items, seeds: dict[int, list[tuple[int, int]]], min_score: float):
+    def __init__(self, items: Items, seeds: Seeds, min_score: float):
         self.items, self.seeds, self.min_score = items, seeds, min_score
-        self.codes = np.array(sorted(seeds), np.int64)
+        self.size = np.array(items.size, np.int64)
+        self.seen = np.zeros(items.base, bool)
         self.known: OrderedDict[tuple, tuple] = OrderedDict()
 
     def hits(self, ids: np.ndarray) -> dict[int, list[tuple[int, int]]]:
-        """item -> [(position in the text, position in the item)]."""
+        """item -> [(position in the text, position in the item)], for items of which the text has words enough."""
         found: dict[int, list[tuple[int, int]]] = {}
         for size in self.items.sizes():
-            codes = self.items.grams(ids, size)
-            for p in self._places(codes):
-                for k, q in self.seeds.get(int(codes[p]), ()):
-                    if self.items.size[k] == size:
-                        found.setdefault(k, []).append((p, q))
-        return found
-
-    def _places(self, codes: np.ndarray) -> list[int]:
-        if not len(self.codes):
-            return []
+            places, code = self._places(self.items.grams(ids, size))
+            first, n = self.seeds.start[code], self.seeds.start[code + 1] - self.seeds.start[code]
+            at = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+            own = self.size[self.seeds.item[at]] == size
+            at, p = at[own], np.repeat(places, n)[own]
+            for k, a, q in zip(self.seeds.item[at].tolist(), p.tolist(), self.seeds.position[at].tolist()):
+                found.setdefault(k, []).append((a, q))
+        return {k: v for k, v in found.items() if self._enough(k, ids)} if found else found
+
+    def _places(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of seeds in the text, and the number of the code at each."""
         known = np.flatnonzero(codes)
-        at = np.minimum(np.searchsorted(self.codes, codes[known]), len(self.codes) - 1)
-        return known[self.codes[at] == codes[known]].tolist()
+        if not len(known) or not len(self.seeds.codes):
+            return known[:0], known[:0]
+        at = np.minimum(np.searchsorted(self.seeds.codes, codes[known]), len(self.seeds.codes) - 1)
+        ok = self.seeds.codes[at] == codes[known]
+        return known[ok], at[ok]
+
+    def least(self, item: np.ndarray) -> float:
+        """Share of the perfect score that an item needs; a short one must match as a whole."""
+        return self.min_score if len(item) > GRAM else 1
+
+    def _enough(self, k: int, passage: np.ndarray) -> bool:
+        """Whether as many of the item's words stand in the passage as the least score takes without any edit."""
+        item = self.items.words[k]
+        self.seen[passage] = True
+        n = int(self.seen[item].sum())
+        self.seen[passage] = False
+        return n / len(item) >= self.least(item)
 
     def windows(self, hits: list[tuple[int, int]], m: int, n: int) -> list[tuple[int, int, int]]:
         """(first, end, seeds) of the passages that the hits point at; overlapping ones become one."""
@@ -188,6 +184,8 @@ class Scanner:
             item = self.items.words[k]
             best = None
             for a, b, seeds in self.windows(hits, len(item), len(ids)):
+                if not self._enough(k, ids[a:b]):
+                    continue
                 key = (k, ids[a:b].tobytes())
                 if key not in self.known:
                     self.known[key] = align(item, ids[a:b])
@@ -195,7 +193,7 @@ class Scanner:
                         self.known.popitem(last=False)
                 score, first, end = self.known[key]
                 score /= MATCH * len(item)
-                if score >= (self.min_score if len(item) > GRAM else 1) and (best is None or score > best[1]):
+                if score >= self.least(item) and (best is None or score > best[1]):
                     best = (self.items.ids[k], score, a + first, a + end, seeds)
             if best:
                 out.append(best)
@@ -221,7 +219,7 @@ def matched(docs: DataFrame, items: list[tuple], id_col: str = "doc_id", text_co
             min_score: float = MIN_SCORE, carry: bool = False) -> DataFrame:
     """Every document with the arrays of its matches against one chunk of the benchmark."""
     chunk = Items(items)
-    seeds = choose_seeds(chunk, gram_counts(docs, chunk, text_col))
+    seeds = all_seeds(chunk)
     scanner: dict[str, Scanner] = {}
 
     def run(texts: list) -> list:

@@ -160,6 +160,25 @@ def test_contamination_of_edited_and_common_passages(spark):
     assert decontam.contamination(docs.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("every", [4, 5])
+def test_contamination_of_evenly_edited_copies(spark, every):
+    """Copies with every 4th or 5th word replaced, in all phases, beside exact copies: each one that scores enough is found."""
+    bench, data, want = [], [], {}
+    for m in (13, 37, 40):
+        for phase in range(every):
+            i = 100 * m + phase  # an item for each phase: no other copy keeps the words that this one changes
+            item = [f"i{i}w{k}" for k in range(m)]
+            copy = [f"z{i}n{k}" if k % every == phase else w for k, w in enumerate(item)]
+            bench.append((i, " ".join(item)))
+            data += [(i, " ".join(["before", "it", *copy, "and", "after"])), (100_000 + i, " ".join(item))]
+            want[100_000 + i, i] = 1.0
+            if (score := brute.smith_waterman(item, copy) / (2 * m)) >= decontam.MIN_SCORE:
+                want[i, i] = score
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    found = decontam.contamination(docs, spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert len(want) > len(bench) and {(r.doc_id, r.item_id): r.score for r in found} == pytest.approx(want)
+
+
 def test_quality_finds_toxic_and_bad_documents(spark):
     got = {r.doc_id: r for r in entry.queries()["op6_quality_bayes"](spark, SF).collect()}
     labels = brute.rows("labels", SF)
