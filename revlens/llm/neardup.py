@@ -6,13 +6,14 @@
 2. A representative's MinHash values give it a key in each of ``TREES`` trees.
    The keys of all trees are range-partitioned and sorted once, which lays out
    every tree as a sorted prefix trie: texts that share a prefix stand side by side.
-3. Candidates at prefix depth k: neighbours in the sorted order that share k values, and
-   each member of a depth-k subtree with the subtree's centre, the text that sits in the largest
-   subtrees over all trees.  So the candidates grow with the number of texts, however large a
-   subtree is, while the text that a crowd of edited copies stems from meets each of them.
+3. Candidates at prefix depth k are all members of a depth-k subtree, in two steps.  First neighbours in the
+   sorted order and each member with the subtree's centre, the text that sits in the largest
+   subtrees over all trees: that links copies of one original with few comparisons.  Then every pair of a
+   subtree whose texts are not in one class yet: where few texts are outside the subtree's largest class,
+   each of them with all others; else the subtree is dealt into blocks of bounded size, compared as in 6.
+   Only links that join classes come out of a block, so rows grow with the number of texts.
 4. Candidates are verified exactly on their gram sets.  The depth starts as the deepest
-   one whose recall at the threshold reaches the target, and is shortened while the recall estimated
-   from the verified links' similarities stays below it.
+   one whose recall at the threshold reaches the target.
 5. Links give classes (connected components).
 6. A text's links to the other texts of its class are counted exactly, also those that were no
    candidates: a class is dealt into blocks of bounded size, each pair of blocks is one small task that
@@ -51,6 +52,8 @@ DEEPEST, SHALLOWEST = 7, 4
 BROADCAST_IDS = 1_000_000
 #: Texts and bytes of grams in a block of a class, and grams of a matrix, when links are counted.
 BLOCK_TEXTS, BLOCK_BYTES, COLUMNS = 512, 16_000_000, 4_096
+#: So many texts outside the largest class of a subtree are paired with all others; more are compared in blocks.
+FEW = 8
 
 
 def words_of(text: str | None) -> list[str]:
@@ -190,6 +193,31 @@ def candidates(members: DataFrame, depth: int) -> DataFrame:
     return side.unionByName(star).distinct()
 
 
+def in_subtrees(members: DataFrame, depth: int) -> DataFrame:
+    """doc_id of each text that shares a prefix of this depth with another one."""
+    own = members.select(F.shiftright("path", 59 - 8 * depth).alias("node"), "rep")
+    shared = own.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1").select("node")
+    return own.join(shared, "node").select(F.col("rep").alias("doc_id")).distinct()
+
+
+def mixed_subtrees(members: DataFrame, classes: DataFrame, depth: int) -> DataFrame:
+    """Members of the subtrees that hold more than one class: node, rep, own (class), main (the node's largest
+    class), rest (texts outside of it)."""
+    named = (members.select(F.shiftright("path", 59 - 8 * depth).alias("node"), "rep").join(classes, "rep", "left")
+             .select("node", "rep", F.coalesce("class_id", "rep").alias("own")))
+    nodes = (named.groupBy("node", "own").agg(F.count("*").alias("n"))
+             .groupBy("node").agg(F.max(F.struct("n", "own")).alias("m"), F.sum("n").alias("size")).filter("size > m.n")
+             .select("node", F.col("m.own").alias("main"), (F.col("size") - F.col("m.n")).alias("rest")))
+    return named.join(nodes, "node")
+
+
+def stray_pairs(mixed: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different classes in the subtrees with few texts outside the largest class."""
+    few = mixed.filter(F.col("rest") <= FEW)
+    strays = few.filter("own != main").select("node", F.col("rep").alias("stray"), F.col("own").alias("other"))
+    return few.join(strays, "node").filter("own != other").select(*_ordered("rep", "stray")).distinct()
+
+
 def _pick(texts: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Texts whose doc_id is (left_semi) or is not (left_anti) among ``ids``; few enough ids are broadcast."""
     if ids.count() <= BROADCAST_IDS:
@@ -297,6 +325,60 @@ def shared_grams(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray)
     return common.astype(np.int64)
 
 
+def joining(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Links (row, column) of a matrix that join all classes its links lead to; no more than there are classes."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    out = []
+    rows, columns = np.nonzero(linked & (left[:, None] != right[None, :]))
+    for r, c, x, y in zip(rows.tolist(), columns.tolist(), left[rows].tolist(), right[columns].tolist()):
+        if (x := find(x)) != (y := find(y)):
+            parent[x] = y
+            out.append((r, c))
+    return out
+
+
+def block_links(mixed: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b, similarity) that join the classes of subtrees with many texts outside the largest class.
+
+    Texts of the largest class have blocks of their own, which are not compared with each other.
+    """
+    def run(group: pa.Table) -> pa.Table:
+        block, rep, own = (group.column(c).to_numpy() for c in ("block", "rep", "own"))
+        grams_of = [np.frombuffer(g.as_buffer(), np.uint64) for g in group.column("grams")]
+        size = np.array([len(g) for g in grams_of])
+        first, second = (np.flatnonzero(block == group.column(c)[0].as_py()) for c in ("i", "j"))
+        a, b, sims = [], [], []
+        if len(first) and len(second):
+            common = shared_grams(grams_of, first, second)
+            both = size[first][:, None] + size[second][None, :] - common
+            for r, c in joining(common >= threshold * both, own[first], own[second]):
+                x, y = int(rep[first[r]]), int(rep[second[c]])
+                a.append(min(x, y))
+                b.append(max(x, y))
+                sims.append(common[r, c] / both[r, c])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "similarity": pa.array(sims, pa.float64())})
+
+    ship_package(sets.sparkSession)
+    main = F.col("own") == F.col("main")
+    many = mixed.filter(F.col("rest") > FEW).join(sets.select("rep", F.length("grams").alias("bytes")), "rep")
+    blocks_of = lambda c: F.greatest(F.ceil(F.count(F.when(c, 1)) / BLOCK_TEXTS),
+                                     F.ceil(F.sum(F.when(c, F.col("bytes"))) / BLOCK_BYTES))
+    size = many.groupBy("node").agg(blocks_of(~main).alias("n_rest"), blocks_of(main).alias("n_main"))
+    number = F.xxhash64("rep")
+    dealt = (many.join(size, "node")
+             .withColumn("block", F.when(main, F.col("n_rest") + F.pmod(number, F.col("n_main"))).otherwise(F.pmod(number, F.col("n_rest"))))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_rest") - 1 + F.when(main, 0).otherwise(F.col("n_main")))))
+             .select("node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "own"))
+    return (dealt.join(sets, "rep").repartition("node", "i", "j").groupBy("node", "i", "j")
+            .applyInArrow(run, "a long, b long, similarity double"))
+
+
 def link_counts(sets: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     """rep, n_links: texts of its class with this Jaccard similarity or more (classes of three or more)."""
     def run(group: pa.Table) -> pa.Table:
@@ -349,21 +431,30 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     depth = max(fits, default=SHALLOWEST)
     links = tried = sets = None
     while True:
+        ids = in_subtrees(members, depth)
+        if sets is not None:
+            ids = ids.join(sets.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti")
+        own = stored(gram_sets(texts, stored(ids, "ids")).dropDuplicates(["rep"]), "sets")
+        sets = own if sets is None else sets.unionByName(own)
         pairs = candidates(members, depth)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        ids = stored(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
-                     .distinct(), "ids")
-        own = stored(gram_sets(texts, ids).dropDuplicates(["rep"]), "sets")
-        new = stored(verified(pairs, own, threshold), "links")
-        links = new if links is None else links.unionByName(new)
         tried = pairs if tried is None else tried.unionByName(pairs)
-        sets = own if sets is None else sets.unionByName(own.join(sets.select("rep"), "rep", "left_anti"))
+        new = stored(verified(pairs, sets, threshold), "links")
+        links = new if links is None else links.unionByName(new)
+        classes = components(links)
+        mixed = stored(mixed_subtrees(members, classes, depth), "mixed")
+        pairs = stored(stray_pairs(mixed).join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = tried.unionByName(pairs)
+        new = stored(verified(pairs, sets, threshold).unionByName(block_links(mixed, sets, threshold)), "links")
+        if new.limit(1).count():
+            links = links.unionByName(new)
+            classes = components(links)
         if depth <= SHALLOWEST or estimated_recall(links, depth) >= target_recall:
             break
         depth -= 1
-    return Joined(signed, reps, sets, components(links))
+    return Joined(signed, reps, sets, classes)
 
 
 def _classified(joined: Joined) -> DataFrame:

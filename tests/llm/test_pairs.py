@@ -85,6 +85,25 @@ def test_crowd_of_edited_copies(spark, monkeypatch):
     assert neardup.candidates(neardup.forest(reps).cache(), 6).count() < 20 * len(texts)
 
 
+def test_pairs_within_a_template_crowd(spark, monkeypatch):
+    """A crowd on one template, 0.75 alike pairwise, that holds pairs of 0.81: no pair is lost between the others."""
+    template = [f"t{k}" for k in range(244)]
+    texts = {d: " ".join(template + [f"p{d // 2}s{k}" for k in range(10)] + [f"o{d}n{k}" for k in range(30)]) for d in range(500)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(6)
+    want, links = classes_of(texts)
+    assert len(links) == 250
+    for block in (512, 100):
+        monkeypatch.setattr(neardup, "BLOCK_TEXTS", block)
+        got = neardup.near_duplicates(docs).collect()
+        assert {r.doc_id: r.class_id for r in got} == want
+        assert n_links_of(got) == Counter(d for p in links for d in p)
+
+
+def test_joining_links():
+    linked = np.array([[1, 1, 0], [0, 1, 0], [0, 0, 1]], bool)
+    assert neardup.joining(linked, np.array([1, 2, 3]), np.array([1, 5, 3])) == [(0, 1), (1, 1)]
+
+
 def test_shared_grams_over_several_matrices(monkeypatch):
     monkeypatch.setattr(neardup, "COLUMNS", 7)
     rng = np.random.default_rng(1)
