@@ -13,7 +13,9 @@
    each of them with all others; else the subtree is dealt into blocks of bounded size, compared as in 6.
    Only links that join classes come out of a block, so rows grow with the number of texts.
 4. Candidates are verified exactly on their gram sets.  The depth starts as the deepest
-   one whose recall at the threshold reaches the target.
+   one whose recall at the threshold reaches the target, and is shortened while the measured recall stays below
+   it: a sample of texts is compared with every text, and recall is the share of the links found so that have
+   both ends in one class.  Links of the sample that no depth proposed are taken in as well.
 5. Links give classes (connected components).
 6. A text's links to the other texts of its class are counted exactly, also those that were no
    candidates: a class is dealt into blocks of bounded size, each pair of blocks is one small task that
@@ -52,6 +54,8 @@ DEEPEST, SHALLOWEST = 7, 4
 BROADCAST_IDS = 1_000_000
 #: Texts and bytes of grams in a block of a class, and grams of a matrix, when links are counted.
 BLOCK_TEXTS, BLOCK_BYTES, COLUMNS = 512, 16_000_000, 4_096
+#: Texts, and bytes of their grams, that are compared with every text to measure recall.
+SAMPLE_TEXTS, SAMPLE_BYTES = 128, 16_000_000
 #: So many texts outside the largest class of a subtree are paired with all others; more are compared in blocks.
 FEW = 8
 
@@ -268,11 +272,52 @@ def recall_at(similarity: float, depth: int) -> float:
     return 1 - (1 - similarity ** depth) ** TREES
 
 
-def estimated_recall(links: DataFrame, depth: int) -> float:
-    """Each found link stands for 1/p links of its similarity, p being its chance to be found."""
-    p = F.lit(1.0) - F.pow(F.lit(1.0) - F.pow(F.col("similarity"), F.lit(float(depth))), F.lit(float(TREES)))
-    row = links.agg(F.count("*").alias("n"), F.sum(1 / p).alias("all")).first()
-    return row["n"] / row["all"] if row["n"] else 1.0
+def sample_links(texts: DataFrame, reps: DataFrame, members: DataFrame, threshold: float) -> tuple[list[int], DataFrame]:
+    """A sample of the texts that share a prefix with another, and (rep, near): every other text with the numbers
+    of the sampled ones that have this Jaccard similarity or more with it."""
+    ids = members.select(F.col("rep").alias("doc_id")).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_TEXTS)
+    chosen, own, room = [], [], SAMPLE_BYTES
+    for r in gram_sets(texts, stored(ids, "sample")).dropDuplicates(["rep"]).orderBy("rep").toLocalIterator():
+        if (room := room - len(r["grams"])) >= 0 or not chosen:
+            chosen.append(r["rep"])
+            own.append(np.frombuffer(bytes(r["grams"]), np.uint64))
+    size = np.array([len(x) for x in own], np.int64)
+    every = np.concatenate([np.zeros(0, np.uint64), *own])
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], np.repeat(np.arange(len(own)), size)[order]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found, near = [], []
+            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                x = grams(text)
+                at, end = np.searchsorted(every, x), np.searchsorted(every, x, "right")
+                n = end - at
+                if doc_id is None or not n.any():
+                    continue
+                hit = np.arange(n.sum()) + np.repeat(at - (np.cumsum(n) - n), n)
+                common = np.bincount(owner[hit], minlength=len(size))
+                like = [k for k in np.flatnonzero(common >= threshold * (size + len(x) - common)).tolist() if chosen[k] != doc_id]
+                if like:
+                    found.append(doc_id)
+                    near.append(like)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(near, pa.list_(pa.int32()))], ["rep", "near"])
+
+    near = texts.transform(arrow_map, run, "rep long, near array<int>").dropDuplicates(["rep"])
+    return chosen, stored(near.join(reps.select("rep"), "rep"), "sample_links")
+
+
+def measured_recall(chosen: list[int], near: DataFrame, classes: DataFrame) -> tuple[float, DataFrame]:
+    """Share of the sample's links with both ends in one class, and the links (a, b) of the others."""
+    own = {r["rep"]: r["class_id"] for r in classes.filter(F.col("rep").isin(chosen)).collect()}
+    label = F.array(*[F.lit(own.get(c, c)).cast("long") for c in chosen])
+    ends = near.join(classes, "rep", "left").select("rep", "near", F.coalesce("class_id", "rep").alias("own"))
+    apart = ends.select("rep", F.size("near").alias("n"),
+                        F.filter("near", lambda k: F.get(label, k) != F.col("own")).alias("near"))
+    row = apart.agg(F.sum("n").alias("all"), F.sum(F.size("near")).alias("lost")).first()
+    name = F.array(*[F.lit(c).cast("long") for c in chosen])
+    lost = apart.select("rep", F.explode("near").alias("k")).select("rep", F.get(name, F.col("k")).alias("other"))
+    return 1 - row["lost"] / row["all"] if row["all"] else 1.0, lost.select(*_ordered("rep", "other")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -429,6 +474,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     fits = [k for k in range(SHALLOWEST, DEEPEST + 1) if recall_at(threshold, k) >= target_recall]
     depth = max(fits, default=SHALLOWEST)
+    chosen, near = sample_links(texts, reps, members, threshold)
     links = tried = sets = None
     while True:
         ids = in_subtrees(members, depth)
@@ -451,9 +497,16 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if new.limit(1).count():
             links = links.unionByName(new)
             classes = components(links)
-        if depth <= SHALLOWEST or estimated_recall(links, depth) >= target_recall:
+        recall, lost = measured_recall(chosen, near, classes)
+        if depth <= SHALLOWEST or recall >= target_recall:
             break
         depth -= 1
+    if recall < 1:
+        lost = stored(lost, "lost")
+        ids = (lost.select(F.col("a").alias("doc_id")).unionByName(lost.select(F.col("b").alias("doc_id"))).distinct()
+               .join(sets.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti"))
+        sets = sets.unionByName(stored(gram_sets(texts, stored(ids, "ids")).dropDuplicates(["rep"]), "sets"))
+        classes = components(links.select("a", "b").unionByName(lost))
     return Joined(signed, reps, sets, classes)
 
 

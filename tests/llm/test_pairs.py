@@ -99,6 +99,38 @@ def test_pairs_within_a_template_crowd(spark, monkeypatch):
         assert n_links_of(got) == Counter(d for p in links for d in p)
 
 
+def test_depth_is_shortened_while_links_are_lost(spark, monkeypatch):
+    """A first round that proposes nothing is measured as such, and a second one at a smaller depth finds the links."""
+    texts = {}
+    for d in range(20):
+        words = [f"d{d}n{k}" for k in range(100)]
+        texts |= {2 * d: " ".join(words), 2 * d + 1: " ".join(words[:-6])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    depths, propose, strays = [], neardup.candidates, getattr(neardup, "stray_pairs", None)
+
+    def first_is_empty(members, depth):
+        depths.append(depth)
+        return propose(members, depth).limit(0 if len(depths) == 1 else 10 ** 6)
+
+    monkeypatch.setattr(neardup, "candidates", first_is_empty)
+    monkeypatch.setattr(neardup, "stray_pairs", lambda mixed: strays(mixed).limit(0 if len(depths) == 1 else 10 ** 6))
+    got = neardup.near_duplicates(docs).collect()
+    want, links = classes_of(texts)
+    assert len(links) == 20 and depths == [6, 5]
+    assert {r.doc_id: r.class_id for r in got} == want
+
+
+def test_links_of_the_sample_are_kept(spark, monkeypatch):
+    """Where no depth proposes a link, the sample's comparison with every text still gives it, with its count."""
+    words = [f"n{k}" for k in range(100)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:-6])), (3, " ".join(words[6:])), (4, "else")],
+                                 "doc_id long, text string")
+    propose, strays = neardup.candidates, neardup.stray_pairs
+    monkeypatch.setattr(neardup, "candidates", lambda members, depth: propose(members, depth).limit(0))
+    monkeypatch.setattr(neardup, "stray_pairs", lambda mixed: strays(mixed).limit(0))
+    assert sorted(tuple(r) for r in neardup.near_duplicates(docs).collect()) == [(1, 1, 1, 2), (2, 2, 1, 2), (3, 3, 1, 2), (4, 4, 4, 0)]
+
+
 def test_joining_links():
     linked = np.array([[1, 1, 0], [0, 1, 0], [0, 0, 1]], bool)
     assert neardup.joining(linked, np.array([1, 2, 3]), np.array([1, 5, 3])) == [(0, 1), (1, 1)]
