@@ -189,7 +189,7 @@ def candidates(members: DataFrame, depth: int) -> DataFrame:
     size = own.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
     sized = own.join(size, "node")
     weight = sized.groupBy("rep").agg(F.sum("size").alias("weight"))
-    centre = (sized.filter("size > 2").join(weight, "rep").groupBy("node")
+    centre = (sized.join(weight, "rep").groupBy("node")
               .agg(F.max(F.struct("weight", (-F.col("rep")).alias("least"))).alias("m"))
               .select("node", (-F.col("m.least")).alias("centre")))
     star = own.join(centre, "node").filter("rep != centre").select(*_ordered("rep", "centre"))

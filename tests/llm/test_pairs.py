@@ -131,6 +131,11 @@ def test_links_of_the_sample_are_kept(spark, monkeypatch):
     assert sorted(tuple(r) for r in neardup.near_duplicates(docs).collect()) == [(1, 1, 1, 2), (2, 2, 1, 2), (3, 3, 1, 2), (4, 4, 4, 0)]
 
 
+def test_two_texts_apart_by_a_range_border_are_candidates(spark):
+    members = spark.createDataFrame([(5 << 20, 7, None, 0), (5 << 20, 3, None, 0)], "path long, rep long, prev long, depth int")
+    assert [tuple(r) for r in neardup.candidates(members, 6).collect()] == [(3, 7)]
+
+
 def test_joining_links():
     linked = np.array([[1, 1, 0], [0, 1, 0], [0, 0, 1]], bool)
     assert neardup.joining(linked, np.array([1, 2, 3]), np.array([1, 5, 3])) == [(0, 1), (1, 1)]
