@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, language, license, neardup, packing, pii, quality, rans, rules, warc
+from . import decontam, language, license, neardup, packing, pii, prefix_bpe, quality, rans, rules, warc
 from .common import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -68,10 +68,14 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "fail_mask", "policy")
 
 
+def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bpe.round_trip(documents(spark, sf_dir), "byte_bpe_50k.tiktoken")
+
+
 def queries() -> dict[str, Builder]:
     return {f.__name__: f for f in (
         op1_license_templates, op2_warc_revisits, op3_rans_tokens, op4_ngram_jaccard_join, op5_decontamination,
-        op6_quality_bayes, op7_pii_deobfuscation, op8_best_fit_packing, op9_language_hypervectors, op10_rule_ledger)}
+        op6_quality_bayes, op7_pii_deobfuscation, op8_best_fit_packing, op9_language_hypervectors, op10_rule_ledger, op12_prefix_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
