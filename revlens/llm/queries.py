@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, language, license, neardup, packing, pii, prefix_bpe, quality, rans, rules, warc
+from . import decontam, hard_negatives, language, license, neardup, packing, pii, prefix_bpe, quality, rans, rules, warc
 from .common import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -72,11 +72,41 @@ def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_bpe.round_trip(documents(spark, sf_dir), "byte_bpe_50k.tiktoken")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.relabelled(hard_negatives.quantised(table(spark, sf_dir, "embeddings")), every=7, n_labels=10)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+#: Every anchor with every row; fit for small tables.
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+         list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+anchored AS (SELECT vec_id AS anchor_id, label AS anchor_label, q AS a FROM v WHERE vec_id % 100 = 0),
+scored AS (
+  SELECT anchor_id, vec_id, label = anchor_label AS same,
+         coalesce(list_sum(list_transform(range(1, least(len(a), len(q)) + 1), i -> a[i] * q[i])), 0)::BIGINT AS score
+  FROM anchored, v WHERE vec_id <> anchor_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 def queries() -> dict[str, Builder]:
     return {f.__name__: f for f in (
         op1_license_templates, op2_warc_revisits, op3_rans_tokens, op4_ngram_jaccard_join, op5_decontamination,
-        op6_quality_bayes, op7_pii_deobfuscation, op8_best_fit_packing, op9_language_hypervectors, op10_rule_ledger, op12_prefix_bpe)}
+        op6_quality_bayes, op7_pii_deobfuscation, op8_best_fit_packing, op9_language_hypervectors, op10_rule_ledger, op12_prefix_bpe, op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op13_hard_negatives": OP13_SQL}
