@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, hard_negatives, language, license, neardup, packing, pii, prefix_bpe, quality, rans, rules, warc
+from . import ball_tree, decontam, hard_negatives, language, license, neardup, packing, pii, prefix_bpe, quality, rans, rules, warc
 from .common import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,34 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "fail_mask", "policy")
 
 
+def op11_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+#: Every document with every item that shares a term.
+OP11_SQL = """
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM documents),
+counted AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT doc_id, count(*) AS n FROM words GROUP BY ALL),
+corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM lengths),
+rarity AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+           FROM counted, corpus GROUP BY term),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total))))::BIGINT AS score
+  FROM asked JOIN counted USING (term) JOIN rarity USING (term) JOIN lengths USING (doc_id), corpus
+  GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
 def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_bpe.round_trip(documents(spark, sf_dir), "byte_bpe_50k.tiktoken")
 
@@ -105,8 +133,9 @@ QUALIFY rank <= 10
 def queries() -> dict[str, Builder]:
     return {f.__name__: f for f in (
         op1_license_templates, op2_warc_revisits, op3_rans_tokens, op4_ngram_jaccard_join, op5_decontamination,
-        op6_quality_bayes, op7_pii_deobfuscation, op8_best_fit_packing, op9_language_hypervectors, op10_rule_ledger, op12_prefix_bpe, op13_hard_negatives)}
+        op6_quality_bayes, op7_pii_deobfuscation, op8_best_fit_packing, op9_language_hypervectors, op10_rule_ledger, op11_ball_tree_search,
+        op12_prefix_bpe, op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op13_hard_negatives": OP13_SQL}
+    return {"op11_ball_tree_search": OP11_SQL, "op13_hard_negatives": OP13_SQL}
