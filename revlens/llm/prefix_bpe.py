@@ -41,8 +41,8 @@ from pyspark.sql import DataFrame
 from .common import map_texts
 from .tokens import public_path
 
-#: Chunks and pairs that a worker keeps; longer chunks are not kept.
-CACHE_CHUNKS, CACHE_PAIRS, CACHE_LENGTH = 400_000, 4_000_000, 48
+#: Chunks, pieces and pairs that a worker keeps; longer chunks and pieces are not kept.
+CACHE_CHUNKS, CACHE_PIECES, CACHE_PAIRS, CACHE_LENGTH = 600_000, 600_000, 4_000_000, 48
 #: Control characters that `str.isspace` takes for white space and Unicode's White_Space does not.
 NOT_SPACES = re.compile("[\x1c-\x1f]")
 SPACES = r"\t-\r\x20\x85\xa0  -     　"
@@ -51,6 +51,11 @@ CHUNK = re.compile(rf"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
 PLAIN_BREAKS = re.compile(r"  | \n|\n |\n\n|[ \n]\Z|[^\S \n]")
 
 
+def public_pattern() -> str:
+    from public_tokenizers import PATTERN
+    return PATTERN
+
+
 class Vocabulary:
     """Tokens by rank, with the pair each one was merged from."""
 
@@ -202,14 +207,24 @@ class Encoder(dict):
         super().__init__()
         self.vocabulary = Vocabulary(ranks)
         self.pattern = regex.compile(pattern)
+        self.pieces: dict[str, bytes] = {}
+        #: the public pattern cuts before white space that follows other characters; of another one nothing is known
+        self.public = pattern == public_pattern()
         self.bytes_of = [self.vocabulary.tokens.get(k, b"") for k in range(max(self.vocabulary.tokens) + 1)]
 
-    def _cut(self, text: str) -> bytes:
-        out = []
-        for piece in self.pattern.findall(text):
+    def _piece(self, piece: str) -> bytes:
+        made = self.pieces.get(piece)
+        if made is None:
             ids = self.vocabulary.ids(piece.encode("utf-8", "replace"))
-            out.append(struct.pack(f"<{len(ids)}I", *ids))
-        return b"".join(out)
+            made = struct.pack(f"<{len(ids)}I", *ids)
+            if len(self.pieces) < CACHE_PIECES and len(piece) <= CACHE_LENGTH:
+                self.pieces[piece] = made
+        return made
+
+    def _cut(self, text: str) -> bytes:
+        if self.public and text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
+            return self._piece(text)  # letters are one piece, with the blank before them
+        return b"".join(map(self._piece, self.pattern.findall(text)))
 
     def __missing__(self, chunk: str) -> bytes:
         made = self._cut(chunk)
@@ -221,7 +236,7 @@ class Encoder(dict):
         """Ids of a whole text."""
         if not text:
             return b""
-        if NOT_SPACES.search(text):
+        if not self.public or NOT_SPACES.search(text):
             return self._cut(text)
         if PLAIN_BREAKS.search(text):
             return b"".join(map(self.__getitem__, CHUNK.findall(text)))
@@ -262,7 +277,7 @@ class PrefixText:
         text = old[:start] + new + old[end:]
         self.worked, shift = 0, len(new) - (end - start)
         # white space before a word belongs to the word's chunk; control characters are left to the pattern as they are
-        exact = not NOT_SPACES.search(text) and not NOT_SPACES.search(old)
+        exact = self.encoder.public and not NOT_SPACES.search(text) and not NOT_SPACES.search(old)
         begin = self._chunk_start(old, start) if exact else 0
         first = bisect_right(self.starts, begin - 1) if begin else 0
         known = dict(zip(self.starts[first:], self.tables[first:]))  # each table goes on in one place at most
@@ -321,8 +336,7 @@ _LOCK = threading.Lock()
 
 def encoder(path: str, pattern: str | None = None) -> Encoder:
     """The worker's encoder for a rank file (loaded once in a worker); the pattern is that of the public files."""
-    if pattern is None:
-        from public_tokenizers import PATTERN as pattern
+    pattern = pattern or public_pattern()
     with _LOCK:
         if (path, pattern) not in _LOADED:
             with open(path, "rb") as f:
