@@ -6,13 +6,15 @@ block interleaves many coder states (lanes): symbol ``i`` belongs to lane
 ``i mod lanes``, so a step of the coder handles a whole row of lanes at once.
 A block holds whole documents, its counts, the final states, checkpoints
 (states and stream position before every so-many rows, from which decoding
-may start) and a CRC-32 of the decoded ids, which the reader compares.
+may start), a CRC-32 for the span of each checkpoint, which every decoder compares,
+and a CRC-32 of all its ids, which the reader compares.
 
 The container is a Parquet table with one row for each block (range of
 documents, counts, CRC-32 and the coded bytes), which Spark commits, splits and prunes;
 the frequency table is a second small one.  The coded bytes are:
 
     magic "RANS", version, lanes, rows between checkpoints, symbols, words, checkpoints   (u32 each but the magic)
+    CRC-32 of the symbols of each span of rows between checkpoints (u32 each)
     checkpoints: stream position (u32), states (u64 for each lane)
     states of all lanes (u64), stream (u32 words)
 
@@ -95,7 +97,9 @@ def encode_block(symbols: np.ndarray, table: Table, lanes: int = LANES, check_ro
         if row % check_rows == 0 and row:
             checks[row] = (n_words, state.copy())
     stream = np.concatenate(words[::-1]) if words else np.zeros(0, np.uint32)
-    out = [HEAD.pack(b"RANS", 1, lanes, check_rows, n, n_words, len(checks))]
+    step, coded = check_rows * lanes, symbols.astype("<u4")
+    spans = [zlib.crc32(coded[at:at + step].tobytes()) for at in range(0, n, step)]
+    out = [HEAD.pack(b"RANS", 2, lanes, check_rows, n, n_words, len(checks)), struct.pack(f"<{len(spans)}I", *spans)]
     for row in sorted(checks):
         at, states = checks[row]
         out += [struct.pack("<I", n_words - at), states.astype("<u8").tobytes()]
@@ -104,25 +108,29 @@ def encode_block(symbols: np.ndarray, table: Table, lanes: int = LANES, check_ro
 
 def decode_block(data: bytes, table: Table, slots: np.ndarray, first_row: int = 0,
                  last_row: int | None = None) -> np.ndarray:
-    """Positions in the table of rows first_row..last_row (exclusive), starting at the checkpoint at or before them."""
+    """Positions in the table of rows first_row..last_row (exclusive).  Decoding runs over whole spans, from the
+    checkpoint at or before the first row, and compares each span's CRC-32."""
     magic, version, lanes, check_rows, n, n_words, n_checks = HEAD.unpack_from(data)
-    if magic != b"RANS" or version != 1:
+    if magic != b"RANS" or version != 2:
         raise ValueError("not a block of token ids")
-    size = 4 + 8 * lanes
-    at = HEAD.size + n_checks * size
+    rows = -(-n // lanes)
+    n_spans, size = -(-rows // check_rows), 4 + 8 * lanes
+    spans = struct.unpack_from(f"<{n_spans}I", data, HEAD.size)
+    checks = HEAD.size + 4 * n_spans
+    at = checks + n_checks * size
     state = np.frombuffer(data, "<u8", lanes, at).astype(np.uint64)
     stream = np.frombuffer(data, "<u4", n_words, at + 8 * lanes).astype(np.uint64)
-    rows = -(-n // lanes)
     last_row = rows if last_row is None else min(rows, last_row)
+    end = min(rows, -(-last_row // check_rows) * check_rows)
     row = pos = 0
     if k := min(first_row // check_rows, n_checks):
-        at = HEAD.size + (k - 1) * size
+        at = checks + (k - 1) * size
         pos, row = struct.unpack_from("<I", data, at)[0], k * check_rows
         state = np.frombuffer(data, "<u8", lanes, at + 4).astype(np.uint64)
-    out = np.empty(max(0, min(n, last_row * lanes) - row * lanes), np.uint32)
-    base = row * lanes
+    out = np.empty(max(0, min(n, end * lanes) - row * lanes), "<u4")
+    begin, base = row, row * lanes
     mask, scale, shift = np.uint64((1 << table.scale) - 1), np.uint64(table.scale), np.uint64(32)
-    while row < last_row:
+    while row < end:
         width = min(lanes, n - row * lanes)
         s = state[:width]
         slot = s & mask
@@ -135,7 +143,11 @@ def decode_block(data: bytes, table: Table, slots: np.ndarray, first_row: int =
             pos += k
         state[:width] = s
         row += 1
-    return out[max(0, first_row * lanes - base):]
+    for k in range(begin // check_rows, n_spans if end == rows else end // check_rows):
+        at = k * check_rows * lanes - base
+        if zlib.crc32(out[at:at + check_rows * lanes].tobytes()) != spans[k]:
+            raise ValueError("a block of token ids is damaged")
+    return out[max(0, first_row * lanes - base):max(0, last_row * lanes - base)]
 
 
 def id_type_of(tokenizer_path: str, end_id: int = END_ID) -> str:
@@ -146,42 +158,50 @@ def id_type_of(tokenizer_path: str, end_id: int = END_ID) -> str:
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids (of ``id_type_of``, with the end id) of whole texts."""
+    """doc_id, n_tokens, ids (of ``id_type_of``, with the end id) of whole texts.  Each task ends with a row that has only
+    ``counts``: how often each id occurs in its rows (64 bits each)."""
     end, width = int(end_id).to_bytes(4, "little"), id_type_of(tokenizer_path, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(tokenizer_path).encode
+        encode, counts, id_type = tokenizer(tokenizer_path).encode, np.zeros(0, np.int64), None
         for batch in batches:
+            id_type = batch.schema.field(0).type
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = [np.frombuffer(encode(t) + end, "<u4") for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(map(len, ids), pa.int64()),
-                     pa.array([x.astype(width).tobytes() for x in ids], pa.binary())],
-                    ["doc_id", "n_tokens", "ids"])
-
-    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType),
-                           T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
+                ids = [encode(t) + end for t in part.column(1).to_pylist()]
+                whole = np.frombuffer(b"".join(ids), "<u4")
+                own = np.bincount(whole, minlength=len(counts))
+                own[:len(counts)] += counts
+                counts = own
+                ends = np.cumsum([len(x) // 4 for x in ids])
+                small = np.dtype(width).itemsize
+                offsets = pa.array(np.concatenate([[0], ends]) * small, pa.int32())  # a slice is bounded by its batch
+                coded = pa.Array.from_buffers(pa.binary(), len(ids), [None, offsets.buffers()[1], pa.py_buffer(whole.astype(width).tobytes())])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(ends, prepend=0)), coded,
+                                                  pa.nulls(len(ids), pa.binary())], names)
+        if id_type is not None:
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                                              pa.array([counts.astype("<i8").tobytes()], pa.binary())], names)
+
+    names = ["doc_id", "n_tokens", "ids", "counts"]
+    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()),
+                           T.StructField("ids", T.BinaryType()), T.StructField("counts", T.BinaryType())])
     return docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text")) \
         .transform(arrow_map, run, schema)
 
 
-def frequency_table(tokens: DataFrame, width: str, scale: int = SCALE) -> Table:
-    """Counts of all ids of the corpus; each task sends one row for each different id, the driver gets the
-    vocabulary (tens of thousands of rows, whatever the corpus)."""
+def frequency_table(tokens: DataFrame, scale: int = SCALE) -> Table:
+    """Table of all ids of the corpus from the tasks' counts; the driver gets the vocabulary (tens of thousands of
+    rows, whatever the corpus)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(0, np.int64)
         for b in batches:
-            for ids in b.column(0).to_pylist():
-                own = np.bincount(np.frombuffer(ids, width).astype(np.int64))
-                if len(own) > len(counts):
-                    counts, own = own, counts
-                counts[:len(own)] += own
-        found = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], ["id", "n"])
-
-    rows = tokens.select("ids").transform(arrow_map, run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-    rows = rows.sort_values("id")
+            for x in b.column(0).to_pylist():
+                own = np.frombuffer(x, "<i8")
+                some = np.flatnonzero(own)
+                yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(own[some])], ["id", "n"])
+
+    rows = (tokens.filter("counts IS NOT NULL").select("counts").transform(arrow_map, run, "id long, n long")
+            .groupBy("id").agg(F.sum("n").alias("n")).toPandas().sort_values("id"))
     ids, counts = rows["id"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
     return Table(ids, quantized(ids, counts, scale) if len(ids) else np.zeros(0, np.int64), scale)
 
@@ -196,7 +216,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer_name: str = "word_bpe
     spark = docs.sparkSession
     width = id_type_of(public_path(tokenizer_name), end_id)
     tokens = stored(tokenized(docs, public_path(tokenizer_name), end_id, id_col, text_col), "ids")
-    table = frequency_table(tokens, width)
+    table = frequency_table(tokens)
     scale = table.scale
     spark.createDataFrame([(int(i), int(f), scale) for i, f in zip(table.ids, table.freq)],
                           "id long, freq long, scale int").coalesce(1).write.parquet(f"{path}/table")
@@ -238,7 +258,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer_name: str = "word_bpe
     schema = (f"part int, block int, start_in_part long, n_tokens long, crc32 long, doc_ids array<{id_sql}>, "
               "sizes array<bigint>, data binary")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (tokens.select("doc_id", "ids").repartitionByRange(n, F.col("doc_id").asc_nulls_first())
+    (tokens.filter("ids IS NOT NULL").select("doc_id", "ids").repartitionByRange(n, F.col("doc_id").asc_nulls_first())
      .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids").transform(arrow_map, run, schema)
      .write.option("compression", "uncompressed").parquet(f"{path}/blocks"))
 

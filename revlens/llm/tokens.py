@@ -31,6 +31,8 @@ PIECES = {
     "word": re.compile(rf"{_LETTERS}|{_SIGNS}|[^ \t\n\r]+"),
 }
 PLAIN_WORD = re.compile(r"[ ]?[A-Za-zÀ-ÖØ-öø-ÿ]+\Z")
+#: What stands between blanks most often: a word, with a sign behind it or without.
+WORD_AND_SIGN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)\Z")
 
 #: Entries that a worker's two caches hold; the first ones stay, which are mostly the frequent ones.
 CACHE_PIECES, CACHE_CHUNKS = 600_000, 300_000
@@ -55,20 +57,35 @@ def _byte_letters() -> list[str]:
 BYTE_LETTERS = dict(enumerate(_byte_letters()))
 
 
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(64)]
+
+
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    return _PACK[len(ids)](*ids) if len(ids) < 64 else struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Pieces(dict):
     """Plain piece to its ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, library: Tokenizer, lower: bool):
         super().__init__()
-        self.library, self.model, self.lower = library, library.model, lower
+        self.library, self.lower, self.split = library, lower, library.model.tokenize
+
+    def word(self, letters: str) -> bytes:
+        """Ids of a run of plain letters, after a blank if the tokenizer keeps blanks."""
+        if self.lower:
+            letters = letters.lower()
+        if not letters.isascii():  # ASCII letters stand for themselves
+            letters = letters.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return _packed([t.id for t in self.split(letters if self.lower else BYTE_LETTERS[32] + letters)])
 
     def __missing__(self, piece: str) -> bytes:
         if PLAIN_WORD.match(piece):
             word = piece.lower() if self.lower else piece
-            ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(BYTE_LETTERS))]
+            made = _packed([t.id for t in self.split(word.encode().decode("latin-1").translate(BYTE_LETTERS))])
         else:
-            ids = self.library.encode(piece, add_special_tokens=False).ids
-        made = struct.pack(f"<{len(ids)}I", *ids)
+            made = _packed(self.library.encode(piece, add_special_tokens=False).ids)
         if len(self) < CACHE_PIECES and len(piece) <= CACHE_LENGTH:
             self[piece] = made
         return made
@@ -92,7 +109,10 @@ class WordTokenizer(dict):
         return b"".join(map(self.pieces.__getitem__, self.find(text)))
 
     def __missing__(self, chunk: str) -> bytes:
-        made = self._by_pieces(" " + chunk if self.blanks else chunk)
+        if m := WORD_AND_SIGN.match(chunk):
+            made = self[m[1]] + self.pieces[m[2]] if m[2] else self.pieces.word(chunk)
+        else:
+            made = self._by_pieces(" " + chunk if self.blanks else chunk)
         if len(self) < CACHE_CHUNKS and len(chunk) <= CACHE_LENGTH:
             self[chunk] = made
         return made
@@ -102,7 +122,7 @@ class WordTokenizer(dict):
         text = text or ""
         if any(c in text for c in OTHER_SPACES) or any(a in text for a in self.added):
             ids = self.library.encode(text, add_special_tokens=False).ids
-            return struct.pack(f"<{len(ids)}I", *ids)
+            return _packed(ids)
         if not self.blanks:
             return b"".join(map(self.__getitem__, text.split()))
         if "  " in text or text[-1:] == " ":  # white space of several characters is one piece

@@ -1,5 +1,7 @@
 """Archives (2), token files (3), packing (8)."""
 
+import struct
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -88,6 +90,25 @@ def test_rans_round_trip(ids, lanes, every):
         assert (table.ids[got] == ids[first * lanes:(first + 2) * lanes]).all()
 
 
+def test_rans_notices_a_damaged_span():
+    ids = np.random.default_rng(3).integers(0, 50, 400)
+    table = _table(ids)
+    data = rans.encode_block(np.searchsorted(table.ids, ids), table, 4, 10)
+    hurt = bytearray(data)
+    hurt[-1] ^= 1  # the last word of the stream: read in the last rows
+    want = rans.decode_block(data, table, table.symbols(), 20, 25)
+    assert (rans.decode_block(bytes(hurt), table, table.symbols(), 20, 25) == want).all()
+    with pytest.raises(ValueError, match="damaged"):
+        rans.decode_block(bytes(hurt), table, table.symbols(), 99)
+    for k in range(10, len(data)):  # whatever is hurt, no part is given out wrong
+        hurt = bytearray(data)
+        hurt[k] ^= 4
+        try:
+            assert (rans.decode_block(bytes(hurt), table, table.symbols(), 20, 25) == want).all()
+        except (ValueError, IndexError, struct.error, OverflowError, MemoryError):
+            pass
+
+
 def test_rans_one_symbol_and_size():
     ids = np.zeros(10_000, np.int64)
     table = _table(ids)
