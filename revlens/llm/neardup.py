@@ -6,16 +6,18 @@
 2. A representative's MinHash values give it a key in each of ``TREES`` trees.
    The keys of all trees are range-partitioned and sorted once, which lays out
    every tree as a sorted prefix trie: texts that share a prefix stand side by side.
-3. Candidates at prefix depth k are all members of a depth-k subtree, in two steps.  First neighbours in the
-   sorted order and each member with the subtree's centre, the text that sits in the largest
-   subtrees over all trees: that links copies of one original with few comparisons.  Then every pair of a
-   subtree whose texts are not in one class yet: where few texts are outside the subtree's largest class,
-   each of them with all others; else the subtree is dealt into blocks of bounded size, compared as in 6.
+3. Candidates at prefix depth k are all members of a depth-k subtree, in two steps.  First each text with one other:
+   the centre of its largest subtree, which is the text that sits in the largest subtrees over all trees.  That
+   links the copies of one original with one comparison each.  Then every pair of a subtree whose texts are not in one class
+   yet: the subtree is dealt into blocks of bounded size, and each pair of blocks compares the texts' MinHash values (a
+   pair of the threshold's similarity has fewer equal ones than asked with a chance of less than one in a million).  What is left
+   goes on as pairs, or, where pairs outnumber the texts many times, as texts to compare in blocks as in 6.
    Only links that join classes come out of a block, so rows grow with the number of texts.
 4. Candidates are verified exactly on their gram sets.  The depth starts as the deepest
    one whose recall at the threshold reaches the target, and is shortened while the measured recall stays below
-   it: a sample of texts is compared with every text, and recall is the share of the links found so that have
-   both ends in one class.  Links of the sample that no depth proposed are taken in as well.
+   it: a sample of texts, chosen by hash of doc_id, is compared with every text while signatures are made, and recall is the share
+   of the links found so that have both ends in one class.  Links of the sample that no depth proposed are taken in as
+   well.  If the shallowest depth stays below the target, the caller is warned and finds the figure in ``Joined.recall``.
 5. Links give classes (connected components).
 6. A text's links to the other texts of its class are counted exactly, also those that were no
    candidates: a class is dealt into blocks of bounded size, each pair of blocks is one small task that
@@ -31,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -53,10 +56,12 @@ DEEPEST, SHALLOWEST = 7, 4
 #: Ids below this number are broadcast (8 bytes each) to pick their texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Texts and bytes of grams in a block of a class, and grams of a matrix, when links are counted.
-BLOCK_TEXTS, BLOCK_BYTES, COLUMNS = 512, 16_000_000, 4_096
+BLOCK_TEXTS, BLOCK_BYTES, COLUMNS = 2_048, 16_000_000, 4_096
 #: Texts, and bytes of their grams, that are compared with every text to measure recall.
-SAMPLE_TEXTS, SAMPLE_BYTES = 128, 16_000_000
-#: So many texts outside the largest class of a subtree are paired with all others; more are compared in blocks.
+SAMPLE_TEXTS, SAMPLE_BYTES = 512, 16_000_000
+#: Texts of a subtree's block when MinHash values are compared, and pairs of values that are compared at once.
+COMPARED_TEXTS, AT_ONCE = 1_024, 32_000_000
+#: Up to so many pairs for each text of a block are verified as pairs; where there are more, the texts are compared in blocks.
 FEW = 8
 
 
@@ -102,25 +107,66 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
-def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, set_key (digest of the gram set; null without words), sig."""
+def set_digest(found: np.ndarray) -> bytes:
+    return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
+
+
+class Sample:
+    """Gram sets that every text is compared with."""
+
+    def __init__(self, sets: list[np.ndarray], threshold: float = THRESHOLD):
+        self.threshold, self.keys = threshold, [set_digest(x) for x in sets]
+        self.size = np.array([len(x) for x in sets], np.int64)
+        every = np.concatenate([np.zeros(0, np.uint64), *sets])
+        order = np.argsort(every, kind="stable")
+        self.grams, self.owner = every[order], np.repeat(np.arange(len(sets)), self.size)[order]
+        self.bits = np.zeros(1 << 20, bool)  # of the grams' last 20 bits: most grams of most texts are in no set
+        self.bits[(self.grams & np.uint64(len(self.bits) - 1)).astype(np.int64)] = True
+
+    def near(self, found: np.ndarray) -> list[int]:
+        """Numbers of the sets that differ from this one and have the threshold's similarity with it."""
+        some = found[self.bits[(found & np.uint64(len(self.bits) - 1)).astype(np.int64)]]
+        at, end = np.searchsorted(self.grams, some), np.searchsorted(self.grams, some, "right")
+        n = end - at
+        if not n.any():
+            return []
+        hit = np.arange(n.sum()) + np.repeat(at - (np.cumsum(n) - n), n)
+        common = np.bincount(self.owner[hit], minlength=len(self.size))
+        both = self.size + len(found) - common
+        return np.flatnonzero((common >= self.threshold * both) & (common < both)).tolist()
+
+
+def choose_sample(texts: DataFrame, threshold: float = THRESHOLD) -> Sample:
+    """Texts with the smallest hashes of their doc_id, up to ``SAMPLE_TEXTS`` and ``SAMPLE_BYTES``."""
+    ids = [r["doc_id"] for r in texts.select("doc_id").dropna().distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_TEXTS).collect()]
+    own, room = {}, SAMPLE_BYTES
+    chosen = texts.filter(F.col("doc_id").isin(ids)).transform(arrow_map, _gram_batches, "rep long, grams binary")
+    for r in chosen.dropDuplicates(["rep"]).orderBy(F.xxhash64("rep"), "rep").toLocalIterator():
+        found = np.frombuffer(bytes(r["grams"]), np.uint64)
+        if len(found) and ((room := room - found.nbytes) >= 0 or not own):
+            own.setdefault(set_digest(found), found)
+    return Sample(list(own.values()), threshold)
+
+
+def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: Sample | None = None) -> DataFrame:
+    """doc_id, set_key (digest of the gram set; null without words), sig, near (numbers of the sample's sets that are linked)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, sigs = [], []
+            keys, sigs, near = [], [], []
             for text in b.column(1).to_pylist():
                 found = grams(text)
                 some = len(found) > 0
-                keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if some else None)
+                keys.append(set_digest(found) if some else None)
                 sigs.append(signature(found) if some else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
-                                             ["doc_id", "set_key", "sig"])
+                near.append(sample.near(found) if some and sample else [])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()),
+                                              pa.array(near, pa.list_(pa.int32()))], ["doc_id", "set_key", "sig", "near"])
 
-    return _texts(docs, id_col, text_col).transform(arrow_map, run, "doc_id long, set_key binary, sig binary")
+    return _texts(docs, id_col, text_col).transform(arrow_map, run, "doc_id long, set_key binary, sig binary, near array<int>")
 
 
 def forest(reps: DataFrame) -> DataFrame:
-    """Sorted tries of all trees: rows (path, rep, prev, depth) for texts that share a prefix with a
-    neighbour; ``prev`` is the neighbour before and ``depth`` the values shared with it.
+    """Sorted tries of all trees: rows (path, rep) for texts that share a prefix with a neighbour.
 
     ``path`` holds 5 bits of tree and 7 values of 8 bits, so a prefix is a shift.
     """
@@ -142,41 +188,29 @@ def forest(reps: DataFrame) -> DataFrame:
                 ["path", "rest", "rep"])
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple | None = None  # the row before: path, rep, prev, depth (not yet given out)
+        shift = 59 - 8 * SHALLOWEST
+        last: tuple | None = None  # the row before, not yet given out: path, rep, whether it stays
         for b in batches:
             if not b.num_rows:
                 continue
-            path = b.column(0).to_numpy()
-            rep = b.column(1).to_numpy()
+            path, rep = b.column(0).to_numpy(), b.column(1).to_numpy()
+            # a task's first and last row may share with a row of another task, so both stay
+            first = True
             if last is not None:
-                path, rep = np.concatenate([[last[0]], path]), np.concatenate([[last[1]], rep])
-            n = len(path)
-            depth = np.zeros(n, np.int32)  # with the row before
-            for k in range(1, DEEPEST + 1):
-                depth[1:] += (path[1:] >> (59 - 8 * k)) == (path[:-1] >> (59 - 8 * k))
-            prev = np.concatenate([[0], rep[:-1]])
-            # a task's first row may share with the last one of another task, so both stay
-            depth[0], prev[0] = (last[3], last[2]) if last is not None else (DEEPEST + 1, 0)
-            keep = depth >= SHALLOWEST
-            keep[:-1] |= depth[1:] >= SHALLOWEST
-            last = (path[-1], rep[-1], prev[-1], depth[-1])
-            keep[-1] = False
-            at = np.flatnonzero(keep)
-            yield _member_batch(path[at], rep[at], prev[at], depth[at])
+                path, rep, first = np.concatenate([[last[0]], path]), np.concatenate([[last[1]], rep]), last[2]
+            same = (path[1:] >> shift) == (path[:-1] >> shift)
+            keep = np.concatenate([[first], same])
+            keep[:-1] |= same
+            last = (path[-1], rep[-1], keep[-1])
+            at = np.flatnonzero(keep[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(path[at]), pa.array(rep[at])], ["path", "rep"])
         if last is not None:
-            yield _member_batch(*(np.array([x]) for x in last))
+            yield pa.RecordBatch.from_arrays([pa.array(last[:1], pa.int64()), pa.array(last[1:2], pa.int64())], ["path", "rep"])
 
     n = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (reps.select("rep", "sig").transform(arrow_map, keys, "path long, rest long, rep long")
             .repartitionByRange(n, "path", "rest").sortWithinPartitions("path", "rest").select("path", "rep")
-            .transform(arrow_map, runs, "path long, rep long, prev long, depth int"))
-
-
-def _member_batch(path, rep, prev, depth) -> pa.RecordBatch:
-    none = (depth < SHALLOWEST) | (depth > DEEPEST)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(path, pa.int64()), pa.array(rep, pa.int64()), pa.array(prev, pa.int64(), mask=none),
-         pa.array(np.where(none, 0, depth), pa.int32())], ["path", "rep", "prev", "depth"])
+            .transform(arrow_map, runs, "path long, rep long"))
 
 
 def _ordered(a: str, b: str):
@@ -184,7 +218,7 @@ def _ordered(a: str, b: str):
 
 
 def candidates(members: DataFrame, depth: int) -> DataFrame:
-    """Pairs (a, b), a < b: neighbours that share the prefix, and members with their subtree's centre."""
+    """Pairs (a, b), a < b: each text with the centre of its largest subtree, or of the next one where it is the centre itself."""
     own = members.select(F.shiftright("path", 59 - 8 * depth).alias("node"), "rep")
     size = own.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
     sized = own.join(size, "node")
@@ -192,9 +226,15 @@ def candidates(members: DataFrame, depth: int) -> DataFrame:
     centre = (sized.join(weight, "rep").groupBy("node")
               .agg(F.max(F.struct("weight", (-F.col("rep")).alias("least"))).alias("m"))
               .select("node", (-F.col("m.least")).alias("centre")))
-    star = own.join(centre, "node").filter("rep != centre").select(*_ordered("rep", "centre"))
-    side = members.filter((F.col("depth") >= depth) & (F.col("rep") != F.col("prev"))).select(*_ordered("rep", "prev"))
-    return side.unionByName(star).distinct()
+    return (sized.join(centre, "node").filter("rep != centre").groupBy("rep")
+            .agg(F.max(F.struct("size", "centre")).alias("m")).select("rep", "m.centre").select(*_ordered("rep", "centre")).distinct())
+
+
+def apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs whose texts are in different classes."""
+    own = lambda c: classes.select(F.col("rep").alias(c), F.col("class_id").alias(f"class_{c}"))
+    return (pairs.join(own("a"), "a", "left").join(own("b"), "b", "left")
+            .filter(~F.coalesce("class_a", "a").eqNullSafe(F.coalesce("class_b", "b"))).select("a", "b"))
 
 
 def in_subtrees(members: DataFrame, depth: int) -> DataFrame:
@@ -206,20 +246,81 @@ def in_subtrees(members: DataFrame, depth: int) -> DataFrame:
 
 def mixed_subtrees(members: DataFrame, classes: DataFrame, depth: int) -> DataFrame:
     """Members of the subtrees that hold more than one class: node, rep, own (class), main (the node's largest
-    class), rest (texts outside of it)."""
+    class), rest (texts outside of it), size (texts)."""
     named = (members.select(F.shiftright("path", 59 - 8 * depth).alias("node"), "rep").join(classes, "rep", "left")
              .select("node", "rep", F.coalesce("class_id", "rep").alias("own")))
     nodes = (named.groupBy("node", "own").agg(F.count("*").alias("n"))
              .groupBy("node").agg(F.max(F.struct("n", "own")).alias("m"), F.sum("n").alias("size")).filter("size > m.n")
-             .select("node", F.col("m.own").alias("main"), (F.col("size") - F.col("m.n")).alias("rest")))
+             .select("node", F.col("m.own").alias("main"), (F.col("size") - F.col("m.n")).alias("rest"), "size"))
     return named.join(nodes, "node")
 
 
-def stray_pairs(mixed: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different classes in the subtrees with few texts outside the largest class."""
-    few = mixed.filter(F.col("rest") <= FEW)
-    strays = few.filter("own != main").select("node", F.col("rep").alias("stray"), F.col("own").alias("other"))
-    return few.join(strays, "node").filter("own != other").select(*_ordered("rep", "stray")).distinct()
+def least_equal(threshold: float, n: int = TREES * VALUES) -> int:
+    """Equal MinHash values of a pair with the threshold's similarity: five standard deviations below the mean."""
+    return int(np.floor(n * threshold - 5 * np.sqrt(n * threshold * (1 - threshold))))
+
+
+def suspects(mixed: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
+    """Texts of different classes in a subtree that may be linked by their MinHash values: pairs (a, b), or texts a without b
+    that have such partners in the pair of blocks (node, i, j); block is the text's own, own its class.
+
+    Texts of the subtree's largest class have blocks of their own, which are not compared with each other.
+    """
+    at_least = least_equal(threshold)
+
+    def compare(node, i, j, block, rep, own, sig) -> pa.RecordBatch:
+        first, second = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        step = max(1, AT_ONCE // (sig.shape[1] * max(1, len(second))))
+        for at in range(0, len(first), step):
+            part = first[at:at + step]
+            alike = (sig[part][:, None, :] == sig[second][None, :, :]).sum(axis=2) >= at_least
+            alike &= own[part][:, None] != own[second][None, :]
+            if i == j:
+                alike &= part[:, None] < second[None, :]
+            x, y = np.nonzero(alike)
+            a.append(part[x])
+            b.append(second[y])
+        a, b = np.concatenate(a), np.concatenate(b)
+        if len(a) <= FEW * len(rep):
+            return _suspect_batch(rep[a], rep[b], len(a), None, None, None, None, None)
+        k = np.unique(np.concatenate([a, b]))
+        return _suspect_batch(rep[k], None, len(k), node, i, j, block[k], own[k])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = [batch.column(c).to_numpy() for c in ("node", "i", "j", "block", "rep", "own")]
+            now.append(np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8).reshape(batch.num_rows, -1))
+            if held is not None:
+                now = [np.concatenate(x) for x in zip(held, now)]
+            new = np.any([x[1:] != x[:-1] for x in now[:3]], axis=0)
+            cuts = [0, *(np.flatnonzero(new) + 1).tolist()]
+            for at, end in zip(cuts, cuts[1:]):
+                part = [x[at:end] for x in now]
+                yield compare(*(x[0] for x in part[:3]), *part[3:])
+            held = [x[cuts[-1]:] for x in now]
+        if held is not None:
+            yield compare(*(x[0] for x in held[:3]), *held[3:])
+
+    main, one = F.col("own") == F.col("main"), F.col("size") <= COMPARED_TEXTS
+    n_rest, n_main = F.ceil(F.col("rest") / COMPARED_TEXTS), F.ceil((F.col("size") - F.col("rest")) / COMPARED_TEXTS)
+    zero, number = F.lit(0).cast("long"), F.xxhash64("rep")
+    dealt = (mixed.join(reps.select("rep", "sig"), "rep")
+             .withColumn("block", F.when(one, zero).when(main, n_rest + F.pmod(number, n_main)).otherwise(F.pmod(number, n_rest)))
+             .withColumn("other", F.explode(F.sequence(zero, F.when(one, zero).otherwise(n_rest - 1 + F.when(main, zero).otherwise(n_main)))))
+             .select("node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "own", "sig"))
+    n = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (dealt.repartition(n, "node", "i", "j").sortWithinPartitions("node", "i", "j")
+            .transform(arrow_map, run, "a long, b long, node long, i long, j long, block long, own long"))
+
+
+def _suspect_batch(a, b, n, node, i, j, block, own) -> pa.RecordBatch:
+    none = pa.nulls(n, pa.int64())
+    full = lambda x: none if x is None else pa.array(np.broadcast_to(x, n).astype(np.int64))
+    return pa.RecordBatch.from_arrays([full(x) for x in (a, b, node, i, j, block, own)], ["a", "b", "node", "i", "j", "block", "own"])
 
 
 def _pick(texts: DataFrame, ids: DataFrame, how: str) -> DataFrame:
@@ -229,17 +330,18 @@ def _pick(texts: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return texts.join(ids, "doc_id", how)
 
 
+def _gram_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, 256):
+            part = b.slice(at, 256)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array([grams(t).tobytes() for t in part.column(1).to_pylist()], pa.binary())],
+                ["rep", "grams"])
+
+
 def gram_sets(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """rep, grams (sorted distinct 64-bit hashes) of the given representatives."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([grams(t).tobytes() for t in part.column(1).to_pylist()], pa.binary())],
-                    ["rep", "grams"])
-
-    return _pick(texts, ids, "left_semi").transform(arrow_map, run, "rep long, grams binary")
+    return _pick(texts, ids, "left_semi").transform(arrow_map, _gram_batches, "rep long, grams binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -272,50 +374,19 @@ def recall_at(similarity: float, depth: int) -> float:
     return 1 - (1 - similarity ** depth) ** TREES
 
 
-def sample_links(texts: DataFrame, reps: DataFrame, members: DataFrame, threshold: float) -> tuple[list[int], DataFrame]:
-    """A sample of the texts that share a prefix with another, and (rep, near): every other text with the numbers
-    of the sampled ones that have this Jaccard similarity or more with it."""
-    ids = members.select(F.col("rep").alias("doc_id")).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_TEXTS)
-    chosen, own, room = [], [], SAMPLE_BYTES
-    for r in gram_sets(texts, stored(ids, "sample")).dropDuplicates(["rep"]).orderBy("rep").toLocalIterator():
-        if (room := room - len(r["grams"])) >= 0 or not chosen:
-            chosen.append(r["rep"])
-            own.append(np.frombuffer(bytes(r["grams"]), np.uint64))
-    size = np.array([len(x) for x in own], np.int64)
-    every = np.concatenate([np.zeros(0, np.uint64), *own])
-    order = np.argsort(every, kind="stable")
-    every, owner = every[order], np.repeat(np.arange(len(own)), size)[order]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found, near = [], []
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                x = grams(text)
-                at, end = np.searchsorted(every, x), np.searchsorted(every, x, "right")
-                n = end - at
-                if doc_id is None or not n.any():
-                    continue
-                hit = np.arange(n.sum()) + np.repeat(at - (np.cumsum(n) - n), n)
-                common = np.bincount(owner[hit], minlength=len(size))
-                like = [k for k in np.flatnonzero(common >= threshold * (size + len(x) - common)).tolist() if chosen[k] != doc_id]
-                if like:
-                    found.append(doc_id)
-                    near.append(like)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(near, pa.list_(pa.int32()))], ["rep", "near"])
-
-    near = texts.transform(arrow_map, run, "rep long, near array<int>").dropDuplicates(["rep"])
-    return chosen, stored(near.join(reps.select("rep"), "rep"), "sample_links")
-
-
-def measured_recall(chosen: list[int], near: DataFrame, classes: DataFrame) -> tuple[float, DataFrame]:
+def measured_recall(sample: Sample, reps: DataFrame, classes: DataFrame) -> tuple[float, DataFrame]:
     """Share of the sample's links with both ends in one class, and the links (a, b) of the others."""
-    own = {r["rep"]: r["class_id"] for r in classes.filter(F.col("rep").isin(chosen)).collect()}
-    label = F.array(*[F.lit(own.get(c, c)).cast("long") for c in chosen])
-    ends = near.join(classes, "rep", "left").select("rep", "near", F.coalesce("class_id", "rep").alias("own"))
-    apart = ends.select("rep", F.size("near").alias("n"),
-                        F.filter("near", lambda k: F.get(label, k) != F.col("own")).alias("near"))
+    place = {k: n for n, k in enumerate(sample.keys)}
+    chosen = {place[bytes(r["set_key"])]: r["rep"] for r in reps.filter(F.col("set_key").isin(sample.keys)).select("set_key", "rep").collect()}
+    own = {r["rep"]: r["class_id"] for r in classes.filter(F.col("rep").isin(list(chosen.values()))).collect()}
+    names = [chosen.get(k, -1) for k in range(len(place))]
+    label = F.array(*[F.lit(own.get(c, c)).cast("long") for c in names])
+    ends = (reps.filter(F.size("near") > 0).join(classes, "rep", "left")
+            .select("rep", "near", F.coalesce("class_id", "rep").alias("own")))
+    apart = stored(ends.select("rep", F.size("near").alias("n"),
+                               F.filter("near", lambda k: F.get(label, k) != F.col("own")).alias("near")), "sample_links")
     row = apart.agg(F.sum("n").alias("all"), F.sum(F.size("near")).alias("lost")).first()
-    name = F.array(*[F.lit(c).cast("long") for c in chosen])
+    name = F.array(*[F.lit(c).cast("long") for c in names])
     lost = apart.select("rep", F.explode("near").alias("k")).select("rep", F.get(name, F.col("k")).alias("other"))
     return 1 - row["lost"] / row["all"] if row["all"] else 1.0, lost.select(*_ordered("rep", "other")).distinct()
 
@@ -388,11 +459,8 @@ def joining(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tup
     return out
 
 
-def block_links(mixed: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b, similarity) that join the classes of subtrees with many texts outside the largest class.
-
-    Texts of the largest class have blocks of their own, which are not compared with each other.
-    """
+def block_links(crowded: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b, similarity) that join classes, of the texts (node, i, j, block, rep, own) of each pair of blocks."""
     def run(group: pa.Table) -> pa.Table:
         block, rep, own = (group.column(c).to_numpy() for c in ("block", "rep", "own"))
         grams_of = [np.frombuffer(g.as_buffer(), np.uint64) for g in group.column("grams")]
@@ -410,17 +478,7 @@ def block_links(mixed: DataFrame, sets: DataFrame, threshold: float) -> DataFram
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "similarity": pa.array(sims, pa.float64())})
 
     ship_package(sets.sparkSession)
-    main = F.col("own") == F.col("main")
-    many = mixed.filter(F.col("rest") > FEW).join(sets.select("rep", F.length("grams").alias("bytes")), "rep")
-    blocks_of = lambda c: F.greatest(F.ceil(F.count(F.when(c, 1)) / BLOCK_TEXTS),
-                                     F.ceil(F.sum(F.when(c, F.col("bytes"))) / BLOCK_BYTES))
-    size = many.groupBy("node").agg(blocks_of(~main).alias("n_rest"), blocks_of(main).alias("n_main"))
-    number = F.xxhash64("rep")
-    dealt = (many.join(size, "node")
-             .withColumn("block", F.when(main, F.col("n_rest") + F.pmod(number, F.col("n_main"))).otherwise(F.pmod(number, F.col("n_rest"))))
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_rest") - 1 + F.when(main, 0).otherwise(F.col("n_main")))))
-             .select("node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "own"))
-    return (dealt.join(sets, "rep").repartition("node", "i", "j").groupBy("node", "i", "j")
+    return (crowded.join(sets, "rep").repartition("node", "i", "j").groupBy("node", "i", "j")
             .applyInArrow(run, "a long, b long, similarity double"))
 
 
@@ -453,61 +511,68 @@ def link_counts(sets: DataFrame, classes: DataFrame, threshold: float) -> DataFr
 @dataclass(frozen=True)
 class Joined:
     """Stored parts of a join: documents with their set_key, a representative for each set, gram sets
-    of the candidates, classes of the linked representatives."""
+    of the candidates, classes of the linked representatives; the measured recall before the sample's own links."""
 
     signed: DataFrame
     reps: DataFrame
     sets: DataFrame
     classes: DataFrame
+    recall: float
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                target_recall: float = TARGET_RECALL) -> Joined:
     """Runs the join (steps 1 to 5); signatures, tries, candidates, links and classes are written to the shared folder."""
     texts = _texts(docs, id_col, text_col)
-    signed = stored(signatures(docs, id_col, text_col), "signatures")
+    sample = choose_sample(texts, threshold)
+    signed = stored(signatures(docs, id_col, text_col, sample), "signatures")
     copies = (signed.filter("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key")
-              .agg(F.min(F.struct("doc_id", "sig")).alias("m"))
-              .select("set_key", F.col("m.doc_id").alias("rep"), F.col("m.sig").alias("sig")))
+              .agg(F.min(F.struct("doc_id", "sig", "near")).alias("m"))
+              .select("set_key", F.col("m.doc_id").alias("rep"), F.col("m.sig").alias("sig"), F.col("m.near").alias("near")))
     reps = stored(copies, "representatives")
     members = stored(forest(reps), "members")
 
     fits = [k for k in range(SHALLOWEST, DEEPEST + 1) if recall_at(threshold, k) >= target_recall]
     depth = max(fits, default=SHALLOWEST)
-    chosen, near = sample_links(texts, reps, members, threshold)
     links = tried = sets = None
+    classes = docs.sparkSession.createDataFrame([], "rep long, class_id long")
     while True:
         ids = in_subtrees(members, depth)
         if sets is not None:
             ids = ids.join(sets.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti")
         own = stored(gram_sets(texts, stored(ids, "ids")).dropDuplicates(["rep"]), "sets")
         sets = own if sets is None else sets.unionByName(own)
-        pairs = candidates(members, depth)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        new = stored(verified(pairs, sets, threshold), "links")
-        links = new if links is None else links.unionByName(new)
-        classes = components(links)
-        mixed = stored(mixed_subtrees(members, classes, depth), "mixed")
-        pairs = stored(stray_pairs(mixed).join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = tried.unionByName(pairs)
-        new = stored(verified(pairs, sets, threshold).unionByName(block_links(mixed, sets, threshold)), "links")
-        if new.limit(1).count():
-            links = links.unionByName(new)
-            classes = components(links)
-        recall, lost = measured_recall(chosen, near, classes)
+        for step in ("centres", "subtrees"):
+            if step == "centres":
+                pairs, blocks = candidates(members, depth), None
+            else:
+                found = stored(suspects(mixed_subtrees(members, classes, depth), reps, threshold), "suspects")
+                pairs = found.filter("b IS NOT NULL").select(*_ordered("a", "b")).distinct()
+                blocks = found.filter("b IS NULL").withColumnRenamed("a", "rep").drop("b")
+            if tried is not None:
+                pairs = apart(pairs.join(tried, ["a", "b"], "left_anti"), classes)
+            pairs = stored(pairs, "pairs")
+            tried = pairs if tried is None else tried.unionByName(pairs)
+            new = verified(pairs, sets, threshold)
+            if blocks is not None and blocks.limit(1).count():
+                new = new.unionByName(block_links(blocks, sets, threshold))
+            new = stored(new, "links")
+            if links is None or new.limit(1).count():
+                links = new if links is None else links.unionByName(new)
+                classes = components(links)
+        recall, lost = measured_recall(sample, reps, classes)
         if depth <= SHALLOWEST or recall >= target_recall:
             break
         depth -= 1
+    if recall < target_recall:
+        warnings.warn(f"recall {recall:.4f} of the sampled links at the shallowest depth, asked for {target_recall}", stacklevel=2)
     if recall < 1:
         lost = stored(lost, "lost")
         ids = (lost.select(F.col("a").alias("doc_id")).unionByName(lost.select(F.col("b").alias("doc_id"))).distinct()
                .join(sets.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti"))
         sets = sets.unionByName(stored(gram_sets(texts, stored(ids, "ids")).dropDuplicates(["rep"]), "sets"))
         classes = components(links.select("a", "b").unionByName(lost))
-    return Joined(signed, reps, sets, classes)
+    return Joined(signed, reps, sets, classes, recall)
 
 
 def _classified(joined: Joined) -> DataFrame:

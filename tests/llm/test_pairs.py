@@ -82,7 +82,7 @@ def test_crowd_of_edited_copies(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK_TEXTS", 64)
     assert n_links_of(neardup.near_duplicates(docs).collect()) == n_links_of(got.values())
     reps = neardup.signatures(docs).select(F.col("doc_id").alias("rep"), "sig")
-    assert neardup.candidates(neardup.forest(reps).cache(), 6).count() < 20 * len(texts)
+    assert neardup.candidates(neardup.forest(reps).cache(), 6).count() <= len(texts)
 
 
 def test_pairs_within_a_template_crowd(spark, monkeypatch):
@@ -92,8 +92,9 @@ def test_pairs_within_a_template_crowd(spark, monkeypatch):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(6)
     want, links = classes_of(texts)
     assert len(links) == 250
-    for block in (512, 100):
-        monkeypatch.setattr(neardup, "BLOCK_TEXTS", block)
+    for block, few in ((512, 8), (100, 8), (512, 1000)):  # in one block, in several, as pairs
+        monkeypatch.setattr(neardup, "COMPARED_TEXTS", block)
+        monkeypatch.setattr(neardup, "FEW", few)
         got = neardup.near_duplicates(docs).collect()
         assert {r.doc_id: r.class_id for r in got} == want
         assert n_links_of(got) == Counter(d for p in links for d in p)
@@ -106,14 +107,14 @@ def test_depth_is_shortened_while_links_are_lost(spark, monkeypatch):
         words = [f"d{d}n{k}" for k in range(100)]
         texts |= {2 * d: " ".join(words), 2 * d + 1: " ".join(words[:-6])}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    depths, propose, strays = [], neardup.candidates, getattr(neardup, "stray_pairs", None)
+    depths, propose, compare = [], neardup.candidates, neardup.suspects
 
     def first_is_empty(members, depth):
         depths.append(depth)
         return propose(members, depth).limit(0 if len(depths) == 1 else 10 ** 6)
 
     monkeypatch.setattr(neardup, "candidates", first_is_empty)
-    monkeypatch.setattr(neardup, "stray_pairs", lambda mixed: strays(mixed).limit(0 if len(depths) == 1 else 10 ** 6))
+    monkeypatch.setattr(neardup, "suspects", lambda *x: compare(*x).limit(0 if len(depths) == 1 else 10 ** 6))
     got = neardup.near_duplicates(docs).collect()
     want, links = classes_of(texts)
     assert len(links) == 20 and depths == [6, 5]
@@ -125,14 +126,16 @@ def test_links_of_the_sample_are_kept(spark, monkeypatch):
     words = [f"n{k}" for k in range(100)]
     docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:-6])), (3, " ".join(words[6:])), (4, "else")],
                                  "doc_id long, text string")
-    propose, strays = neardup.candidates, neardup.stray_pairs
+    propose, compare = neardup.candidates, neardup.suspects
     monkeypatch.setattr(neardup, "candidates", lambda members, depth: propose(members, depth).limit(0))
-    monkeypatch.setattr(neardup, "stray_pairs", lambda mixed: strays(mixed).limit(0))
+    monkeypatch.setattr(neardup, "suspects", lambda *x: compare(*x).limit(0))
+    with pytest.warns(UserWarning, match="recall 0"):
+        assert neardup.ngram_join(docs).recall == 0
     assert sorted(tuple(r) for r in neardup.near_duplicates(docs).collect()) == [(1, 1, 1, 2), (2, 2, 1, 2), (3, 3, 1, 2), (4, 4, 4, 0)]
 
 
 def test_two_texts_apart_by_a_range_border_are_candidates(spark):
-    members = spark.createDataFrame([(5 << 20, 7, None, 0), (5 << 20, 3, None, 0)], "path long, rep long, prev long, depth int")
+    members = spark.createDataFrame([(5 << 20, 7), (5 << 20, 3)], "path long, rep long")
     assert [tuple(r) for r in neardup.candidates(members, 6).collect()] == [(3, 7)]
 
 
