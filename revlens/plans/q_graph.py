@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import brush, graph
+from ..operators.relationship import Measure, Relationship
 from ..sources.tables import customer_tree, flows, table
 from .catalog import register
 from .sql import CUSTOMER_TREE, FLOWS, with_
@@ -180,3 +181,51 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def q_relate_left(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source")
     return brush.relate(docs, table(spark, sf, "labels").select("doc_id", "quality", "toxic"), "doc_id", "left")
+@register("relate_measures", """WITH b AS (SELECT DISTINCT user_id, event_type FROM events WHERE user_id IS NOT NULL),
+c AS (SELECT DISTINCT o_custkey, o_orderpriority FROM orders WHERE o_custkey IS NOT NULL),
+l AS (SELECT o_orderpriority, event_type, count(*) AS orders, round(sum(o_totalprice), 2) AS price, max(o_totalprice) AS dearest
+      FROM orders LEFT JOIN b ON o_custkey = user_id GROUP BY ALL),
+r AS (SELECT o_orderpriority, event_type, count(*) AS events, round(avg(value), 6) AS avg_value, count(DISTINCT user_id) AS users
+      FROM events LEFT JOIN c ON o_custkey = user_id GROUP BY ALL)
+SELECT coalesce(l.o_orderpriority, r.o_orderpriority) AS o_orderpriority, coalesce(l.event_type, r.event_type) AS event_type,
+       CAST(orders AS BIGINT) AS orders, price, dearest, CAST(events AS BIGINT) AS events, avg_value, CAST(users AS BIGINT) AS users
+FROM l FULL JOIN r ON l.o_orderpriority IS NOT DISTINCT FROM r.o_orderpriority AND l.event_type IS NOT DISTINCT FROM r.event_type""")
+def q_relate_measures(spark, sf):
+    """Many orders and many events a customer: neither table's sums are multiplied by the other's rows."""
+    out = _orders_events(spark, sf).measures(
+        [("left", "o_orderpriority"), ("right", "event_type")],
+        {"orders": Measure("left", "rows"), "price": Measure("left", "sum", "o_totalprice"),
+         "dearest": Measure("left", "max", "o_totalprice"), "events": Measure("right", "rows"),
+         "avg_value": Measure("right", "avg", "value"), "users": Measure("right", "distinct", "user_id")})
+    return out.withColumns({"price": F.round("price", 2), "avg_value": F.round("avg_value", 6)})
+
+
+@register("relate_measures_one_side", """
+SELECT o_orderpriority, count(*) AS orders, round(avg(o_totalprice), 4) AS avg_price, count(DISTINCT o_custkey) AS customers
+FROM orders GROUP BY o_orderpriority""")
+def q_relate_measures_one_side(spark, sf):
+    """Only orders are asked for, so events are not read."""
+    out = _orders_events(spark, sf).measures(
+        [("left", "o_orderpriority")], {"orders": Measure("left", "rows"), "avg_price": Measure("left", "avg", "o_totalprice"),
+                                        "customers": Measure("left", "distinct", "o_custkey")})
+    return out.withColumn("avg_price", F.round("avg_price", 4))
+
+
+@register("relate_measures_filtered", """WITH big AS (SELECT DISTINCT o_custkey, o_orderpriority FROM orders WHERE o_totalprice > 200000)
+SELECT coalesce(l.o_orderpriority, r.o_orderpriority) AS o_orderpriority, orders, events, clicks_or_views
+FROM (SELECT o_orderpriority, count(*) AS orders FROM orders WHERE o_totalprice > 200000
+      AND o_custkey IN (SELECT user_id FROM events WHERE event_type IN ('click', 'view')) GROUP BY 1) l
+FULL JOIN (SELECT o_orderpriority, count(*) AS events, max(value) AS clicks_or_views FROM events JOIN big ON o_custkey = user_id
+           WHERE event_type IN ('click', 'view') GROUP BY 1) r ON l.o_orderpriority IS NOT DISTINCT FROM r.o_orderpriority""")
+def q_relate_measures_filtered(spark, sf):
+    """A filter on either table leaves the other's related rows only."""
+    return _orders_events(spark, sf).measures(
+        [("left", "o_orderpriority")], {"orders": Measure("left", "rows"), "events": Measure("right", "rows"),
+                                        "clicks_or_views": Measure("right", "max", "value")},
+        where={"left": F.col("o_totalprice") > 200000, "right": F.col("event_type").isin("click", "view")})
+
+
+def _orders_events(spark, sf) -> Relationship:
+    return Relationship(table(spark, sf, "orders"), table(spark, sf, "events"), [("o_custkey", "user_id")])
+
+
