@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from itertools import accumulate
+
 from pyspark.ml.clustering import KMeans, KMeansModel, LDA, LDAModel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 
 def fit_count_vectors(df: DataFrame, words_col: str, vocab_size: int = 1000, min_df: float = 5,
                       out: str = "features") -> CountVectorizerModel:
@@ -58,3 +63,64 @@ def kmeans_anomaly(df: DataFrame, cols: list[str], k: int = 2, seed: int = 1) ->
     smallest = min(range(len(sizes)), key=lambda i: (sizes[i], i))
     out = model.transform(asm.transform(df)).drop("_features")
     return out.withColumn("is_anomaly", F.col("cluster") == F.lit(smallest))
+
+
+@dataclass(frozen=True)
+class TwoMeans:
+    """The best two clusters of one column: values up to ``split`` and the others, with rows, means and the sum of
+    squared distances.  With fewer than two different values there is no split."""
+
+    split: float | None
+    sizes: tuple[int, int]
+    centres: tuple[float | None, float | None]
+    cost: float
+
+    @property
+    def smallest(self) -> int | None:
+        return None if self.split is None else int(self.sizes[1] < self.sizes[0])
+
+
+def two_means(df: DataFrame, col: str, n_ranges: int = 256) -> TwoMeans:
+    """N9 without a search: the optimal two clusters of one column.
+
+    Clusters on a line are cut by one value, and the cost of each cut follows from the counts and sums below it.  Rows
+    become a histogram (written once); its values are dealt into ranges, the sums before each range (``n_ranges`` rows) go through the
+    driver, and a running sum within a range gives every cut, so no task sorts all values.
+    """
+    spark, v = df.sparkSession, F.col(f"`{col}`").cast("double")
+    path = scratch_path(spark, "histogram")
+    df.select(v.alias("v")).filter("v IS NOT NULL AND NOT isnan(v)").groupBy("v").agg(F.count("*").alias("n")).write.parquet(path)
+    hist = spark.read.parquet(path)
+    head = hist.agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("v")) / F.sum("n")).alias("mean"),
+                    F.percentile_approx("v", [k / n_ranges for k in range(1, n_ranges)], 10 * n_ranges).alias("cuts")).first()
+    if not head["n"]:
+        return TwoMeans(None, (0, 0), (None, None), 0.0)
+    cuts = F.array(*[F.lit(float(c)) for c in sorted(set(head["cuts"]))])
+    x = F.col("v") - F.lit(head["mean"])  # sums of squares of centred values lose no digits
+    placed = hist.select("v", "n", (F.col("n") * x).alias("s"), (F.col("n") * x * x).alias("q"),
+                         F.size(F.filter(cuts, lambda c: c < F.col("v"))).alias("r"))
+    totals = placed.groupBy("r").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).orderBy("r").collect()
+    n, s, q = (sum(t[c] for t in totals) for c in "nsq")
+    before = zip([t["r"] for t in totals], accumulate((t["n"] for t in totals), initial=0), accumulate((t["s"] for t in totals), initial=0.0))
+    offsets = spark.createDataFrame(list(before), "r int, n0 long, s0 double")
+    run = Window.partitionBy("r").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    below = (placed.join(offsets, "r").select("v", (F.col("n0") + F.sum("n").over(run)).alias("n1"), (F.col("s0") + F.sum("s").over(run)).alias("s1"))
+             .filter(F.col("n1") < n))
+    gain = F.col("s1") * F.col("s1") / F.col("n1") + (F.lit(s) - F.col("s1")) * (F.lit(s) - F.col("s1")) / (F.lit(n) - F.col("n1"))
+    best = below.agg(F.max(F.struct(gain.alias("gain"), (-F.col("v")).alias("least"), "n1", "s1")).alias("m")).first()["m"]
+    if best is None:
+        return TwoMeans(None, (n, 0), (head["mean"], None), max(0.0, q))
+    n1, s1 = best["n1"], best["s1"]
+    return TwoMeans(-best["least"], (n1, n - n1), (head["mean"] + s1 / n1, head["mean"] + (s - s1) / (n - n1)), max(0.0, q - best["gain"]))
+
+
+def two_means_anomaly(df: DataFrame, col: str, n_ranges: int = 256) -> DataFrame:
+    """Rows with a value, with their cluster (0 has the lower values) and whether it is the smaller one (of
+    two alike the lower one).  Without two different values all rows are of cluster 0 and none is an anomaly."""
+    fit = two_means(df, col, n_ranges)
+    v = F.col(f"`{col}`").cast("double")
+    rows = df.filter(v.isNotNull() & ~F.isnan(v))
+    if fit.split is None:
+        return rows.withColumns({"cluster": F.lit(0), "is_anomaly": F.lit(False)})
+    cluster = F.when(v > F.lit(fit.split), 1).otherwise(0)
+    return rows.withColumns({"cluster": cluster, "is_anomaly": cluster == F.lit(fit.smallest)})

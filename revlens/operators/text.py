@@ -87,6 +87,75 @@ def cloud_words(df: DataFrame, text_col: str, k: int = 100, stop_words=None) ->
     return top.select("word", "count", (F.col("count") / peak).alias("weight"))
 
 
+def _stem(word: Column) -> Column:
+    """A word without its plural s: what ends in one s (not two) loses it."""
+    plural = word.endswith("s") & ~word.endswith("ss") & (F.length(word) > 1)
+    return F.when(plural, F.substring(word, F.lit(1), F.length(word) - 1)).otherwise(word)
+
+
+def _folded(counts: DataFrame, out: str, *first: Column) -> DataFrame:
+    """(stem, ``out``, count) from (word, count): a plural is counted with its singular where that occurs too.  A stem
+    has two words at most, so one aggregate folds them, without matching words with each other."""
+    stem = _stem(F.col("word"))
+    return (counts.groupBy(stem.alias("stem"), *first)
+            .agg(F.sum("count").alias("count"), F.max(F.col("word") == stem).alias("_single"))
+            .select("stem", *first, "count", F.when(F.col("_single"), F.col("stem")).otherwise(F.concat("stem", F.lit("s"))).alias(out)))
+
+
+def _unlikely(k: Column, n: Column, x: Column) -> Column:
+    """Log-likelihood of k hits in n tries at the rate x."""
+    low = F.lit(1e-10)
+    return F.log(F.greatest(x, low)) * k + F.log(F.greatest(1 - x, low)) * (n - k)
+
+
+def collocations(df: DataFrame, text_col: str, stop_words=None, min_score: float = 30.0) -> DataFrame:
+    """Neighbouring words that stand together more often than their counts explain, with Dunning's log-likelihood ratio.
+
+    (word1, word2, count, score) for pairs of neighbouring tokens, neither a stop word, with a score above ``min_score``; plurals are
+    counted with their singulars, of the words and of the second word of a pair.  Pairs come from the token array
+    of a text, so no text is joined with itself; what is shuffled are counts of words and of pairs.
+    """
+    words, pairs = _words_and_pairs(df, text_col, stop_words)
+    return _scored(words, pairs, min_score).select("word1", "word2", "count", "score")
+
+
+def _words_and_pairs(df: DataFrame, text_col: str, stop_words) -> tuple[DataFrame, DataFrame]:
+    stop = list(stop_words) if stop_words is not None else list(default_stop_words())
+    words = _folded(word_freq(df, text_col, None, stop), "word")
+    t = F.col("_t")
+    both = (df.select(tokens(text_col).alias("_t")).filter(F.size(t) > 1)
+            .select(F.explode(F.arrays_zip(F.slice(t, 1, F.size(t) - 1).alias("a"), F.slice(t, 2, F.size(t) - 1).alias("b"))).alias("p"))
+            .select(F.col("p.a").alias("word1"), F.col("p.b").alias("word")).filter(~F.col("word1").isin(stop) & ~F.col("word").isin(stop))
+            .groupBy("word1", "word").agg(F.count(F.lit(1)).alias("count")))
+    return words, _folded(both, "word2", F.col("word1"))
+
+
+def _scored(words: DataFrame, pairs: DataFrame, min_score: float) -> DataFrame:
+    total = words.agg(F.sum("count")).scalar().cast("double")
+    own = lambda n: words.select(F.col("stem").alias(f"stem{n}"), F.col("count").cast("double").alias(f"c{n}"))
+    known = (pairs.withColumn("stem1", _stem(F.col("word1"))).withColumnRenamed("stem", "stem2")
+             .join(own(1), "stem1").join(own(2), "stem2"))
+    k, c1, c2 = F.col("count").cast("double"), F.col("c1"), F.col("c2")
+    p, p1, p2 = c2 / total, k / c1, F.coalesce(F.try_divide(c2 - k, total - c1), F.lit(0.0))
+    score = -2 * (_unlikely(k, c1, p) + _unlikely(c2 - k, total - c1, p) - _unlikely(k, c1, p1) - _unlikely(c2 - k, total - c1, p2))
+    return known.withColumn("score", score).filter(F.col("score") > min_score)
+
+
+def cloud_terms(df: DataFrame, text_col: str, k: int = 100, stop_words=None, min_score: float = 30.0) -> DataFrame:
+    """N6 with collocations: the ``k`` most frequent words and pairs, weights relative to the most frequent one.
+
+    A pair that is a collocation is a term of its own, and its occurrences are taken off both of its words.
+    """
+    words, pairs = _words_and_pairs(df, text_col, stop_words)
+    found = _scored(words, pairs, min_score)
+    taken = (found.select(F.explode(F.array("stem1", "stem2")).alias("stem"), "count").groupBy("stem").agg(F.sum("count").alias("_taken")))
+    left = words.join(taken, "stem", "left").select(F.col("word").alias("term"), (F.col("count") - F.coalesce("_taken", F.lit(0))).alias("count"))
+    terms = left.filter("count > 0").unionByName(found.select(F.concat_ws(" ", "word1", "word2").alias("term"), "count"))
+    top = order_desc_limit(terms, "count", "term", k)
+    peak = top.agg(F.max("count")).scalar()
+    return top.select("term", "count", (F.col("count") / peak).alias("weight"))
+
+
 def word_repetition(df: DataFrame, text_col: str, key: str, k: int | None = 5) -> DataFrame:
     """Words / distinct words per text (space split), highest first."""
     parts = F.split(F.col(text_col), " ")

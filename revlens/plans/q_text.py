@@ -52,6 +52,48 @@ def q_cloud_words(spark, sf):
     return tx.cloud_words(table(spark, sf, "documents"), "text", 100)
 
 
+def _folded_sql(word: str) -> tuple[str, str]:
+    """Stem of a word, and the word that a group of the same stem shows."""
+    stem = f"CASE WHEN {word} LIKE '%s' AND {word} NOT LIKE '%ss' AND len({word}) > 1 THEN {word}[:-2] ELSE {word} END"
+    return stem, f"CASE WHEN bool_or({word} = {stem}) THEN any_value({stem}) ELSE any_value({stem}) || 's' END"
+
+
+def _collocations_sql() -> str:
+    stop, (stem, shown), (stem1, _) = _stop_list_sql(), _folded_sql("word"), _folded_sql("word1")
+    like = "ln(greatest({x}, 1e-10)) * {k} + ln(greatest(1 - {x}, 1e-10)) * ({n} - {k})".format
+    parts = (like(k="k", n="c1", x="p"), like(k="(c2 - k)", n="(total - c1)", x="p"), like(k="k", n="c1", x="p1"), like(k="(c2 - k)", n="(total - c1)", x="p2"))
+    return f"""WITH docs AS (SELECT {TOK} AS t FROM documents),
+all_words AS (SELECT unnest(t) AS word FROM docs),
+u AS (SELECT word, count(*) AS count FROM all_words WHERE NOT list_contains({stop}, word) GROUP BY 1),
+words AS (SELECT {stem} AS stem, sum(count)::BIGINT AS count, {shown} AS word FROM u GROUP BY 1),
+places AS (SELECT t, unnest(range(1, len(t))) AS i FROM docs WHERE len(t) > 1),
+near AS (SELECT t[i] AS word1, t[i + 1] AS word, count(*) AS count FROM places
+         WHERE NOT list_contains({stop}, t[i]) AND NOT list_contains({stop}, t[i + 1]) GROUP BY ALL),
+pairs AS (SELECT word1, {stem} AS stem2, sum(count)::BIGINT AS count, {shown} AS word2 FROM near GROUP BY 1, 2),
+known AS (SELECT word1, word2, {stem1} AS stem1, stem2, count, count::DOUBLE AS k, (SELECT sum(count)::DOUBLE FROM words) AS total FROM pairs),
+rates AS (SELECT known.*, a.count::DOUBLE AS c1, b.count::DOUBLE AS c2, b.count / total AS p, k / a.count AS p1,
+                 coalesce((b.count - k) / nullif(total - a.count, 0), 0) AS p2
+          FROM known JOIN words a ON a.stem = stem1 JOIN words b ON b.stem = stem2),
+found AS (SELECT *, -2 * ({parts[0]} + {parts[1]} - ({parts[2]}) - ({parts[3]})) AS score FROM rates)
+"""
+
+
+@register("collocations", _collocations_sql() + "SELECT word1, word2, count, round(score, 2) AS score FROM found WHERE score > 30")
+def q_collocations(spark, sf):
+    return tx.collocations(table(spark, sf, "documents"), "text").withColumn("score", F.round("score", 2))
+
+
+@register("cloud_terms", _collocations_sql().rstrip() + """,
+coll AS (SELECT * FROM found WHERE score > 30),
+taken AS (SELECT stem, sum(count) AS taken FROM (SELECT stem1 AS stem, count FROM coll UNION ALL SELECT stem2, count FROM coll) GROUP BY stem),
+terms AS (SELECT word AS term, CAST(count - coalesce(taken, 0) AS BIGINT) AS count FROM words LEFT JOIN taken USING (stem)
+          UNION ALL SELECT word1 || ' ' || word2, count FROM coll),
+top AS (SELECT term, count FROM terms WHERE count > 0 ORDER BY count DESC, term LIMIT 100)
+SELECT term, count, count / (SELECT max(count) FROM top) AS weight FROM top""")
+def q_cloud_terms(spark, sf):
+    return tx.cloud_terms(table(spark, sf, "documents"), "text", 100)
+
+
 @register("word_repetition", """
 SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS word_count,
        CAST(len(list_distinct(string_split(text, ' '))) AS INTEGER) AS unique_word_count,
