@@ -31,8 +31,9 @@ from .common import arrow_map, map_texts
 DIMENSIONS = 1024
 SEED = 20
 NOT_LETTERS = re.compile(r"[\W\d_]+")
-#: Trigrams of one bundling step; bounds the memory of a task.
-STEP_CHARS = 400_000
+#: Trigrams of the texts that are bundled together (a longer text is alone), and different ones that have vectors at once:
+#: a task holds 8 bytes a letter of its longest text, and vectors of bounded size.
+STEP_CHARS, SLICE_TRIGRAMS = 400_000, 4_096
 
 
 def letter_vectors(codes: np.ndarray, dimensions: int = DIMENSIONS, seed: int = SEED) -> np.ndarray:
@@ -49,7 +50,7 @@ def letter_vectors(codes: np.ndarray, dimensions: int = DIMENSIONS, seed: int =
 
 
 class Bundler:
-    """Trigram vectors by need; ``counts`` numbers the trigrams of some texts, ``vectors`` gives theirs."""
+    """Trigram vectors by need, and their sums."""
 
     def __init__(self, dimensions: int = DIMENSIONS):
         self.dimensions = dimensions
@@ -63,13 +64,21 @@ class Bundler:
         x = np.frombuffer(f" {words} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         return (x[:-2] << 42) | (x[1:-1] << 21) | x[2:]
 
-    def counts(self, codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """(distinct trigrams, matrix of their counts: texts by trigrams)."""
-        sizes = np.fromiter(map(len, codes), np.int64, len(codes))
+    def bundles(self, codes: list[np.ndarray], row: np.ndarray, n_rows: int) -> np.ndarray:
+        """Sums of the trigrams' vectors; those of ``codes[k]`` go to row ``row[k]``.
+
+        Different trigrams are taken slice by slice: sums of whole numbers do not depend on the order."""
         distinct, place = np.unique(np.concatenate(codes), return_inverse=True)
-        text = np.repeat(np.arange(len(codes)), sizes)
-        flat = np.bincount(text * len(distinct) + place, minlength=len(codes) * len(distinct))
-        return distinct, flat.reshape(len(codes), len(distinct)).astype(np.float32)
+        owner = np.repeat(row, [len(c) for c in codes])
+        order = np.argsort(place, kind="stable")
+        place, owner = place[order], owner[order]
+        out = np.zeros((n_rows, self.dimensions))
+        for first in range(0, len(distinct), SLICE_TRIGRAMS):
+            some = distinct[first:first + SLICE_TRIGRAMS]
+            a, b = np.searchsorted(place, (first, first + len(some)))
+            counts = np.bincount(owner[a:b] * len(some) + place[a:b] - first, minlength=n_rows * len(some))
+            out += counts.reshape(n_rows, len(some)).astype(np.float32) @ self.vectors(some)
+        return out
 
     def vectors(self, trigrams: np.ndarray) -> np.ndarray:
         if new := [t for t in trigrams.tolist() if t not in self.cache]:
@@ -112,12 +121,9 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", dimen
         for b in batches:
             texts, langs = b.column(0).to_pylist(), b.column(1).to_pylist()
             for at, codes in bundler.steps(texts):
-                distinct, counts = bundler.counts(codes)
-                own = [langs[k] for k in at]
-                vectors = bundler.vectors(distinct)
-                for lang in set(own):
-                    total = counts[[x == lang for x in own]].sum(axis=0, dtype=np.float64)
-                    sums[lang] = sums.get(lang, 0) + total @ vectors
+                own, row = np.unique(np.array([langs[k] for k in at], object), return_inverse=True)
+                for lang, total in zip(own.tolist(), bundler.bundles(codes, row, len(own))):
+                    sums[lang] = sums.get(lang, 0) + total
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.tolist() for v in sums.values()])],
                                              ["lang", "sums"])
@@ -147,8 +153,7 @@ def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
             return [lang, score]
         bundler = state.setdefault("b", Bundler(prototypes.shape[1]))
         for at, codes in bundler.steps(texts):
-            distinct, counts = bundler.counts(codes)
-            bundle = counts @ bundler.vectors(distinct)
+            bundle = bundler.bundles(codes, np.arange(len(codes)), len(codes))
             norm = np.linalg.norm(bundle, axis=1)
             cosine = bundle @ prototypes.T / np.where(norm > 0, norm, 1)[:, None]
             best = cosine.argmax(axis=1)

@@ -1,6 +1,6 @@
 """Quality by hierarchical empirical Bayes.
 
-1. A document classifier (logistic regression over words and style measures) is fitted on a bounded
+1. A document classifier (logistic regression over words, their beginnings and style measures) is fitted on a bounded
    sample of labelled rows for each target (good quality, toxic).  It gives evidence: the
    log-likelihood ratio of a document, free of the sample's base rate.
 2. Grouped aggregation over all documents gives each site (host) and each path of it
@@ -35,12 +35,20 @@ NOT_LETTERS = re.compile(r"[\W\d_]+")
 SAMPLE_ROWS = 6_000
 WORDS = 800
 MIN_DOCS = 5
+#: Letters of the beginnings that count beside whole words.
+PREFIXES = (3, 5)
 STYLES = 9
 TARGETS = ("quality", "toxic")
 #: A document is toxic from this probability on (a missed one costs about twice a clean one that is lost).
 MAX_TOXIC = 0.35
 
 
+def features(words: list[str]) -> set[str]:
+    """The words, and the beginnings (marked with *) of longer ones, which stand for words that no label has shown."""
+    own = set(words)
+    return own | {w[:n] + "*" for w in own for n in PREFIXES if len(w) > n}
+
+
 def style(text: str, words: list[str]) -> list[float]:
     """Style measures: shares in 0..1 but for the two lengths."""
     n = max(1, len(text))
@@ -91,18 +99,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         label_cols: tuple[str, ...] = TARGETS, sample_rows: int = SAMPLE_ROWS) -> dict[str, Target | None]:
     """Fit on at most ``sample_rows`` labelled documents; None where labels lack one of the classes.
 
-    The sample is the only thing of its kind that goes to the driver, as numbers of known words and style measures.
+    The sample is the only thing of its kind that goes to the driver, as numbers of known words and style measures.  An id
+    counts once: with the smallest labels and the smallest text of its rows.
     """
-    ids = (labels.select(F.col(id_col).alias("_id"), *[F.col(c).cast("int").alias(f"_y{k}") for k, c in enumerate(label_cols)])
-           .filter("_id IS NOT NULL").orderBy(F.xxhash64("_id"), *[f"_y{k}" for k in range(len(label_cols))])
-           .limit(sample_rows))
-    sample = stored(docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
-                    .join(F.broadcast(ids), "_id").drop("_id"), "labelled")  # bounded by sample_rows
     ys = [f"_y{k}" for k in range(len(label_cols))]
+    ids = (labels.select(F.col(id_col).alias("_id"), *[F.col(c).cast("int").alias(y) for y, c in zip(ys, label_cols)])
+           .filter("_id IS NOT NULL").groupBy("_id").agg(F.min(F.struct(*ys)).alias("y")).select("_id", "y.*")
+           .orderBy(F.xxhash64("_id"), "_id").limit(sample_rows))
+    sample = stored(docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
+                    .join(F.broadcast(ids), "_id").groupBy("_id").agg(F.min("_text").alias("_text"), *[F.min(y).alias(y) for y in ys])
+                    .drop("_id"), "labelled")  # one row for each id: bounded by sample_rows
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [sorted(set(WORD.findall((t or "").lower()))) for t in b.column(0).to_pylist()]
+            found = [sorted(features(WORD.findall((t or "").lower()))) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), *b.columns[1:]],
                                              ["words", *ys])
 
@@ -128,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 rows = []
                 for text in b.column(0).to_pylist():
                     own = WORD.findall((text or "").lower())
-                    at = sorted(place[w] for w in place.keys() & set(own))
+                    at = sorted(place[w] for w in place.keys() & features(own))
                     rows.append((np.array(at, np.int32).tobytes(), np.array(style(text or "", own)).tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()),
                                                   pa.array([r[1] for r in rows], pa.binary()), b.column(1)],
@@ -159,7 +169,7 @@ def evidence(docs: DataFrame, models: dict[str, Target | None], host: Column, pa
         out: list[list[float]] = [[] for _ in used]
         for text in texts:
             words = WORD.findall((text or "").lower())
-            found, styles = set(words), np.array(style(text or "", words))
+            found, styles = features(words), np.array(style(text or "", words))
             for k, m in enumerate(used):
                 out[k].append(0.0 if m is None else max(-30.0, min(30.0, m.evidence(found, styles))))
         return out

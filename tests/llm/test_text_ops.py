@@ -180,11 +180,71 @@ def test_language_bundles_as_defined():
     assert [chr(c >> 42) + chr((c >> 21) & 0x1FFFFF) + chr(c & 0x1FFFFF) for c in codes] == [" ab", "ab ", "b a", " a "]
     v = {c: language.letter_vectors(np.array([ord(c)]), 256)[0].astype(int) for c in " ab"}
     want = sum(np.roll(v[x], 2) * np.roll(v[y], 1) * v[z] for x, y, z in (" ab", "ab ", "b a", " a "))
-    distinct, counts = b.counts([codes])
-    assert (counts @ b.vectors(distinct) == want).all()
+    assert (b.bundles([codes], np.array([0]), 1) == want).all()
     assert b.codes(None) is None and b.codes("12 !") is None
 
 
+def _plain_profile(texts, dimensions):
+    """Sum of the bound trigram vectors of some texts, letter by letter."""
+    import re
+
+    import numpy as np
+    total, vector = np.zeros(dimensions), {}
+    for t in texts:
+        words = re.sub(r"[\W\d_]+", " ", (t or "").lower()).strip()
+        padded = f" {words} " if words else ""
+        for a, b, c in zip(padded, padded[1:], padded[2:]):
+            if a + b + c not in vector:
+                x, y, z = (language.letter_vectors(np.array([ord(k)]), dimensions)[0].astype(int) for k in (a, b, c))
+                vector[a + b + c] = np.roll(x, 2) * np.roll(y, 1) * z
+            total += vector[a + b + c]
+    return total
+
+
+def test_language_query_equals_plain_profiles(spark, monkeypatch):
+    """The whole query again: prototypes and cosines from plain sums, also over many small slices."""
+    import zlib
+
+    import numpy as np
+    docs = [r for r in brute.rows("documents") if len(r["text"] or "") < 3_000]
+    held = {r["doc_id"]: zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2 for r in docs}
+    langs = sorted({r["lang"] for r in docs if r["lang"] is not None and not held[r["doc_id"]]})
+    profiles = [_plain_profile([r["text"] for r in docs if r["lang"] == x and not held[r["doc_id"]]], language.DIMENSIONS) for x in langs]
+    profiles = [p / np.linalg.norm(p) for p in profiles]
+    schema = "doc_id long, text string, lang string"
+    df = spark.createDataFrame([(r["doc_id"], r["text"], r["lang"]) for r in docs], schema)
+    for step, size in ((400_000, 4_096), (1_000, 50)):
+        monkeypatch.setattr(language, "STEP_CHARS", step)
+        monkeypatch.setattr(language, "SLICE_TRIGRAMS", size)
+        got = {r.doc_id: r for r in language.identify(df, language.train(df.filter(~language.held_out()))).collect()}
+        for r in docs[::5]:
+            own = _plain_profile([r["text"]], language.DIMENSIONS)
+            if not own.any():
+                continue
+            cosine = [float(own @ p / np.linalg.norm(own)) for p in profiles]
+            assert got[r["doc_id"]].score == pytest.approx(max(0.0, max(cosine)), abs=1e-4)
+            assert cosine[langs.index(got[r["doc_id"]].lang_pred)] > max(cosine) - 1e-4
+
+
+def test_language_memory_is_bounded():
+    """A million different-looking letters in one text: sums are made slice by slice."""
+    import time
+    import tracemalloc
+
+    import numpy as np
+    r = np.random.default_rng(2)
+    text = "".join(map(chr, r.integers(0x4E00, 0x9FA5, 300_000)))
+    b = language.Bundler()
+    codes = b.codes(text)
+    tracemalloc.start()
+    began = time.process_time()
+    bundle = b.bundles([codes], np.array([0]), 1)
+    assert tracemalloc.get_traced_memory()[1] < 300e6 and time.process_time() - began < 60
+    tracemalloc.stop()
+    half = len(codes) // 2
+    assert (bundle == b.bundles([codes[:half]], np.array([0]), 1) + b.bundles([codes[half:]], np.array([0]), 1)).all()
+
+
 def test_language_odd(spark, odd):
     none = language.train(odd.filter("lang = 'xx'"))
     assert {r.lang_pred for r in language.identify(odd, none).collect()} == {"und"}
