@@ -28,7 +28,7 @@ def register(name: str, sql: str | None = None):
 
 def _load_all() -> None:
     # Importing the modules fills REGISTRY.
-    from . import (q_aggregate, q_clean, q_graph, q_io, q_ml, q_profile,  # noqa: F401
+    from . import (q_aggregate, q_clean, q_graph, q_io, q_ml, q_profile, q_sketch,  # noqa: F401
                    q_stats, q_stream, q_text)
 
 
