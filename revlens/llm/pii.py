@@ -4,7 +4,7 @@ Base spans are found in the text as it stands.  Then transducers rewrite the
 text into a normalised one: look-alike letters, digits and signs become their
 ASCII forms, invisible characters vanish, runs of spelled digits become digits,
 and at/dot disguises ("name [at] host (dot) org", "name at host dot org")
-become ``@`` and ``.``.  Each rewriting keeps, for every character that it
+become ``@`` and ``.``.  Time grows with the length of the text, whatever it holds.  Each rewriting keeps, for every character that it
 writes, the source range that it came from, so a span that the same detectors
 find in the normalised text is mapped back to source characters.
 
@@ -16,6 +16,7 @@ spans do not overlap.  Offsets are code points, the end is exclusive.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -119,17 +120,25 @@ DIGIT_WORDS = {
 }
 DIGIT_OF = {w: d for d, words in DIGIT_WORDS.items() for w in words.split()}
 _DIGIT = "(?:" + "|".join(sorted(DIGIT_OF, key=len, reverse=True)) + ")"
-#: At least four spelled digits in a row; digits and signs of a number may stand among them.
-SPELLED = re.compile(rf"(?<![^\W_])(?:(?:plus|\+)[ ]?)?{_DIGIT}(?:[ ,.\-]{{1,2}}(?:{_DIGIT}|[0-9]+|dash|dot|point))"
-                     r"{3,}+(?![^\W_])", re.IGNORECASE)
+#: At least four spelled digits in a row; digits and signs of a number may stand among them, and between them what phone and
+#: card numbers hold.  Every item ends with its word, so a run is read once.
+SPELLED = re.compile(rf"(?<![^\W_])(?:(?:plus|\+)[ ]?)?\(?{_DIGIT}(?![^\W_])(?:[ ,.()\-\n]{{1,3}}(?:{_DIGIT}|[0-9]++|dash|dot|point)(?![^\W_])){{3,}}+",
+                     re.IGNORECASE)
 SPELLED_WORD = re.compile(r"[^\W_]+|\+")
-_AT = r"(?:[ ]?(?:\[[ ]?at[ ]?\]|\([ ]?at[ ]?\)|\{[ ]?at[ ]?\}|<[ ]?at[ ]?>|\[[ ]?@[ ]?\]|\([ ]?@[ ]?\)|_at_)[ ]?|[ ]+at[ ]+|[ ]?@[ ]?)"
-_DOT = (r"(?:[ ]?(?:\[[ ]?(?:dot|\.)[ ]?\]|\([ ]?(?:dot|\.)[ ]?\)|\{[ ]?(?:dot|\.)[ ]?\}|<[ ]?dot[ ]?>|_dot_)[ ]?"
+#: An at sign in any guise: in brackets, between underscores or blanks, or the sign itself.
+AT = re.compile(r"\[ ?(?:at|@) ?\]|\( ?(?:at|@) ?\)|\{ ?at ?\}|< ?at ?>|_at_|(?<= )at(?= )|@", re.IGNORECASE)
+_DOT = (r"(?:[ ]?(?:\[ ?(?:dot|\.) ?\]|\( ?(?:dot|\.) ?\)|\{ ?(?:dot|\.) ?\}|< ?dot ?>|_dot_)[ ]?"
         r"|[ ]+dot[ ]+|\.)")
-AT_DOT = re.compile(rf"(?<![A-Za-z0-9._%+-])(?P<local>[A-Za-z0-9_%+-]++(?:{_DOT}[A-Za-z0-9_%+-]++)*+)(?P<at>{_AT})"
-                    rf"(?P<host>[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)++)", re.IGNORECASE)
+#: The same, and a local part, from right to left.
+_TOD = (r"(?:[ ]?(?:\] ?(?:tod|\.) ?\[|\) ?(?:tod|\.) ?\(|\} ?(?:tod|\.) ?\{|> ?tod ?<|_tod_)[ ]?"
+        r"|[ ]+tod[ ]+|\.)")
+LOCAL_BACK = re.compile(rf"[A-Za-z0-9_%+-]++(?:{_TOD}[A-Za-z0-9_%+-]++)*+", re.IGNORECASE)
+HOST = re.compile(rf"[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)++", re.IGNORECASE)
 DOT = re.compile(_DOT, re.IGNORECASE)
 AT_HINT = re.compile(r"[\[({<_][ ]?(?:at|dot|@|\.)[ ]?[\])}>_]|[ ]dot[ ]|[ ]@|@[ ]", re.IGNORECASE)
+#: Fixed endings of hosts that "name at host dot ending" needs, since at and dot are words too.
+ENDINGS = frozenset("com org net edu gov mil int info biz io co ai app dev me tv us uk de fr es it nl be ch at eu pl se no dk fi "
+                    "pt ie ca au nz in jp cn kr br mx ar ru".split())
 
 
 class Tape:
@@ -178,14 +187,41 @@ def _digit_pieces(text: str) -> list[tuple[int, int, str]]:
 
 
 def _at_dot_pieces(text: str) -> list[tuple[int, int, str]]:
-    pieces = []
-    for m in AT_DOT.finditer(text):
-        local, at, host = m.span("local"), m.span("at"), m.span("host")
-        plain_at = m["at"].strip().lower() == "at"
-        dots = [d.span() for d in DOT.finditer(text, *host)]
-        if plain_at and all(text[a:b] == "." for a, b in dots):
-            continue  # "look at example.com" is ordinary wording
-        pieces += [(*d.span(), ".") for d in DOT.finditer(text, *local)] + [(*at, "@")] + [(*d, ".") for d in dots]
+    """Signs of disguised addresses.  Each at is taken for itself and extended to both sides, so a character is read
+    twice at most, however many marks there are."""
+    pieces: list[tuple[int, int, str]] = []
+    back, n, free, mark = None, len(text), 0, 0
+    for m in AT.finditer(text):
+        a, b = m.span()
+        if a < free:
+            continue
+        floor, mark = max(free, mark), b  # no local part reaches over the mark before
+        word = m[0].lower() in ("at", "_at_")
+        if m[0].lower() == "at":
+            while a > floor and text[a - 1] == " ":
+                a -= 1
+            while b < n and text[b] == " ":
+                b += 1
+        else:
+            a -= a > floor and text[a - 1] == " "
+            b += b < n and text[b] == " "
+        if back is None:
+            back = text[::-1]
+        local, host = LOCAL_BACK.match(back, n - a, n - floor), HOST.match(text, b)
+        if not local or not host:
+            continue
+        dots = [d.span() for d in DOT.finditer(text, *host.span())]
+        end = host.end()
+        if word:  # the host ends with its last known ending; "look at example.com" is ordinary wording
+            while dots and text[dots[-1][1]:end].lower() not in ENDINGS:
+                end = dots.pop()[0]
+            if all(text[x:y] == "." for x, y in dots):
+                continue
+        kinds = {text[x:y] == "." for x, y in dots}
+        if not text[dots[-1][1]:end].isalpha() or end - dots[-1][1] < 2 or (m[0] == "@" and b - a > 1 and len(kinds) > 1):
+            continue
+        pieces += [(*d.span(), ".") for d in DOT.finditer(text, n - local.end(), a)] + [(a, b, "@")] + [(x, y, ".") for x, y in dots]
+        free = end
     return pieces
 
 
@@ -202,12 +238,14 @@ def disguised(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, st
     if tape.text == text:
         return []
     found = []
-    taken = {k: sorted((a, b) for a, kind, b in base if kind == k) for k in KINDS}
-    for a, k, b in detect(tape.text):
+    taken = {k: sorted((a, b) for a, kind, b in base if kind == k) for k in KINDS}  # spans of a kind do not overlap
+    last = dict.fromkeys(KINDS, 0)
+    for a, k, b in detect(tape.text):  # by kind, from left to right
         a, b = tape.source(a, b)
-        if not any(x < b and a < y for x, y in taken[k]):
+        at = bisect_left(taken[k], (b, b))  # the base spans that begin before this one ends
+        if a >= last[k] and (not at or taken[k][at - 1][1] <= a):
             found.append((a, k, b))
-            taken[k].append((a, b))
+            last[k] = b
     return found
 
 

@@ -98,6 +98,12 @@ def test_pii_detectors_equal_the_patterns(text):
     ("card four one one one one one one one one one one one one one one one end", "card",
      "four one one one one one one one one one one one one one one one"),
     ("x jane@exam​ple.com", "email", "jane@exam​ple.com"),
+    ("plus one (five five five) one two three - four five six seven, ok", "phone", "plus one (five five five) one two three - four five six seven"),
+    ("plus four four\ntwo zero seven nine four six\nzero nine five eight", "phone", "plus four four\ntwo zero seven nine four six\nzero nine five eight"),
+    ("write to a_b @ host.org today", "email", "a_b @ host.org"),
+    ("jane_at_example_dot_com", "email", "jane_at_example_dot_com"),
+    ("ask jane at example dot co dot uk dot thanks", "email", "jane at example dot co dot uk"),
+    ("first x [at] y [dot] de, then jo (at) ho (dot) fr", "email", "jo (at) ho (dot) fr"),
 ])
 def test_pii_disguises(text, kind, want):
     base, every = pii.spans_of(text)
@@ -107,11 +113,26 @@ def test_pii_disguises(text, kind, want):
 
 @pytest.mark.parametrize("text", [
     "look at example.com for more", "one two three testing", "we met at noon", "a [at] b", "three dot four",
-    "Éai les, oution. Èle ouchan", "dot com at home"])
+    "Éai les, oution. Èle ouchan", "dot com at home", "meet me at foo dot bar", "see @ home.com dot org", "3 @ 2.5 kg", "one two threefold four",
+    "updated_at_table.column", "rows [at] 3 [dot] 5"])
 def test_pii_leaves_clean_texts(text):
     assert pii.spans_of(text) == ([], [])
 
 
+@pytest.mark.parametrize("part", [
+    "a dot ", "a_dot_b@", "[at] a dot ", "x [at] y [dot] com ", "one ", "one two three four five, ", "one two three fourx ", " ", "  at  ", "at @ . ",
+    "a at b dot com ", "jane@x.org ", "+1 (2) ", "1-", "４ ", "_at_", "_dot_", "( at ) ", "(one) "])
+def test_pii_time_grows_with_the_text(part):
+    import time
+    took = []
+    for n in (25_000, 100_000, 400_000):  # a quadratic scan takes 16 times as long for 4 times the text
+        began = time.process_time()
+        pii.spans_of("[at] " + part * (n // len(part)))
+        took.append(time.process_time() - began)
+        if n > 25_000:
+            assert took[-1] < 0.2 + 9 * took[-2]
+
+
 def test_pii_odd(odd):
     got = check_odd(pii.find_pii(odd, with_text=True), len(TEXTS) + 2)
     assert got[0].masked_text is None and got[0].spans == ""
