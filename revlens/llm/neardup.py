@@ -60,7 +60,7 @@ BLOCK_TEXTS, BLOCK_BYTES, COLUMNS = 2_048, 16_000_000, 4_096
 #: Texts, and bytes of their grams, that are compared with every text to measure recall.
 SAMPLE_TEXTS, SAMPLE_BYTES = 512, 16_000_000
 #: Texts of a subtree's block when MinHash values are compared, and pairs of values that are compared at once.
-COMPARED_TEXTS, AT_ONCE = 1_024, 32_000_000
+COMPARED_TEXTS, AT_ONCE = 512, 32_000_000
 #: Up to so many pairs for each text of a block are verified as pairs; where there are more, the texts are compared in blocks.
 FEW = 8
 
