@@ -1,24 +1,28 @@
-"""Benchmark decontamination: n-gram seeds, then local alignment.
-
-1. Every word n-gram of every benchmark item is a seed.  None is left out as common or as rare: where a
-   copy is edited, the n-grams that are left intact may be any of them.
-2. One pass finds seeds in the documents, cuts the passages that they point at, and scores them against the
-   item by Smith-Waterman alignment over words.  A passage with too few of the item's words for the least
-   score is not aligned; that bound leaves out no match.  An item is matched where the best alignment
-   reaches a share of the item's perfect score.
-
-The benchmark is the small side: it travels to the tasks in chunks of a bounded number of
+"""Benchmark decontamination: rare n-gram seeds, then local alignment.
+
+1. Seeds of an item are its word n-grams (three words, two for items of up to ten words), without those that many items hold.
+   An alignment with the least score leaves out or breaks a bounded number of an item's n-grams: a changed or lost word costs
+   three points and breaks at most three of them, one inserted word costs a point and breaks none (seeds are
+   looked for with up to one word inserted at each place), two cost two and break two.  An item always keeps more seeds than
+   can be broken, frequent ones too if it has no others, so some are found in every copy that scores enough.
+2. One pass finds seeds in the documents.  An item is looked at where as many of its seeds are hit as no copy can lose; the
+   passages that they point at are scored against the item by Smith-Waterman alignment over words.  A passage with too few
+   of the item's words for the least score is not aligned; that bound leaves out no match.  An item is matched where the best
+   alignment reaches a share of the item's perfect score.
+3. Items are matched by their text and joined to their ids afterwards, so repeated items cost nothing and ids may be of any type.
+
+The benchmark's different texts are the small side: they travel to the tasks in chunks of a bounded number of
 characters (``CHUNK_CHARS``); a larger benchmark takes more passes, chunk by chunk.
 
 Words are runs of letters and digits, lower-cased.  Defined results: a null text
-has no match.  Items with fewer words than an n-gram, null items included, match only as a
-whole: their words must stand in the text consecutively; items without a word never match.
-Repeated documents and items give repeated matches.  A copy that keeps no n-gram of
-its item whole has no seed and is not found.
+has no match.  Items of up to three words match only as a whole: their words must stand in the text consecutively; items without a
+word, null items included, never match.  Repeated documents and items give repeated matches.  With a least score below
+0.6 a copy may lose all its seeds.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import OrderedDict
 from collections.abc import Iterator
@@ -32,6 +36,12 @@ from .common import map_texts
 
 WORD = re.compile(r"[^\W_]+")
 GRAM = 3
+#: Items of up to so many words have seeds of two words.
+SHORT = 10
+#: An n-gram that more items hold is a seed only of items that would have too few.
+FREQUENT = 64
+#: Places of a seed's words in a text: as they stand, and with a word inserted after the first, the second, both.
+SHAPES = {1: ((0,),), 2: ((0, 1), (0, 2)), 3: ((0, 1, 2), (0, 1, 3), (0, 2, 3), (0, 2, 4))}
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.6
 CHUNK_CHARS = 8_000_000
@@ -54,15 +64,17 @@ class Items:
         self.base = len(self.number) + 1
         if self.base ** GRAM >= 1 << 62:
             raise ValueError("too many different words in one chunk of the benchmark")
-        self.size = [min(GRAM, len(w)) for w in self.words]
+        self.whole = np.array([len(w) <= GRAM for w in self.words], bool)
+        self.size = np.array([len(w) if len(w) <= GRAM else 2 if len(w) <= SHORT else GRAM for w in self.words], np.int64)
 
-    def grams(self, words: np.ndarray, size: int = GRAM) -> np.ndarray:
-        """Code of the n-gram at each position; 0 where a word is none of the benchmark's."""
-        if len(words) < size:
+    def grams(self, words: np.ndarray, shape: tuple[int, ...]) -> np.ndarray:
+        """Code of the words at each position's places; 0 where one is none of the benchmark's."""
+        n = len(words) - shape[-1]
+        if n <= 0 or not len(shape):
             return np.zeros(0, np.int64)
-        code, known = np.zeros(len(words) - size + 1, np.int64), np.ones(len(words) - size + 1, bool)
-        for k in range(size):
-            part = words[k:len(words) - size + 1 + k]
+        code, known = np.zeros(n, np.int64), np.ones(n, bool)
+        for k in shape:
+            part = words[k:k + n]
             code = code * self.base + part
             known &= part > 0
         return np.where(known, code, 0)
@@ -71,30 +83,69 @@ class Items:
         words = words_of(text)
         return np.fromiter(map(self.number.get, words, [0] * len(words)), np.int64, len(words))
 
-    def sizes(self) -> list[int]:
-        return sorted({n for n in self.size if n})
+
+def most_broken(m: int, size: int, min_score: float) -> int:
+    """N-grams of an item of ``m`` words that an alignment with the least score can lack."""
+    lost = MATCH * m * (1 - min_score) + 1e-9
+    return int(lost if size == GRAM else lost * 2 / 3)
 
 
 @dataclass(frozen=True)
 class Seeds:
-    """Sorted seed codes; those numbered ``start[c]`` to ``start[c + 1]`` of ``item`` and ``position`` hold code ``c``."""
+    """Sorted seed codes of one size; those numbered ``start[c]`` to ``start[c + 1]`` of ``item`` and ``position`` hold code ``c``."""
 
+    size: int
     codes: np.ndarray
     start: np.ndarray
     item: np.ndarray
     position: np.ndarray
+    bits: np.ndarray  # of mixed codes: most n-grams of a text are no seed
+
+    def places(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of seeds among the codes, and the number of the code at each."""
+        known = np.flatnonzero(self.bits[_mixed(codes, len(self.bits))] & (codes > 0))
+        if not len(known):
+            return known, known
+        at = np.minimum(np.searchsorted(self.codes, codes[known]), len(self.codes) - 1)
+        ok = self.codes[at] == codes[known]
+        return known[ok], at[ok]
 
 
-def all_seeds(items: Items) -> Seeds:
-    """Every n-gram of each item."""
-    grams = [items.grams(w, n) if n else np.zeros(0, np.int64) for w, n in zip(items.words, items.size)]
-    count = [len(g) for g in grams]
-    codes = np.concatenate([np.zeros(0, np.int64), *grams])
-    item = np.repeat(np.arange(len(grams)), count)
-    position = np.concatenate([np.zeros(0, np.int64), *map(np.arange, count)])
-    order = np.argsort(codes, kind="stable")
-    found, start = np.unique(codes[order], return_index=True)
-    return Seeds(found, np.append(start, len(codes)), item[order], position[order])
+def _mixed(codes: np.ndarray, n: int) -> np.ndarray:
+    return ((codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - n.bit_length() + 1)).astype(np.int64)
+
+
+def seeds_of(items: Items, min_score: float) -> tuple[list[Seeds], np.ndarray]:
+    """Seeds of each size, and for each item the seeds that every copy hits."""
+    found, needed = [], np.ones(len(items.words), np.int64)
+    for size in (1, 2, 3):
+        own = [k for k, n in enumerate(items.size.tolist()) if n == size]
+        grams = [items.grams(items.words[k], SHAPES[size][0]) for k in own]
+        codes = np.concatenate([np.zeros(0, np.int64), *grams])
+        if not len(codes):
+            continue
+        holder = np.repeat(own, [len(g) for g in grams])
+        different = np.unique(np.stack([codes, holder]), axis=1)[0]  # an item that repeats an n-gram holds it once
+        values, holders = np.unique(different, return_counts=True)
+        keep = []
+        for k, g in zip(own, grams):
+            often = holders[np.searchsorted(values, g)]
+            broken = 0 if items.whole[k] else most_broken(len(items.words[k]), size, min_score)
+            least = min(len(g), broken + 1)
+            rare = np.argsort(often, kind="stable")
+            n = max(least, int((often <= FREQUENT).sum()))
+            kept = np.zeros(len(g), bool)
+            kept[rare[:n]] = True
+            keep.append(kept)
+            needed[k] = max(1, n - broken)
+        keep = np.concatenate(keep)
+        item, position = holder[keep], np.concatenate([np.arange(len(g)) for g in grams])[keep]
+        order = np.argsort(codes[keep], kind="stable")
+        values, start = np.unique(codes[keep][order], return_index=True)
+        bits = np.zeros(1 << 20, bool)
+        bits[_mixed(values, len(bits))] = True
+        found.append(Seeds(size, values, np.append(start, len(order)), item[order], position[order], bits))
+    return found, needed
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -124,33 +175,38 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
 
 
 class Scanner:
-    def __init__(self, items: Items, seeds: Seeds, min_score: float):
-        self.items, self.seeds, self.min_score = items, seeds, min_score
-        self.size = np.array(items.size, np.int64)
+    def __init__(self, items: Items, seeds: list[Seeds], needed: np.ndarray, min_score: float):
+        self.items, self.seeds, self.needed, self.min_score = items, seeds, needed, min_score
         self.seen = np.zeros(items.base, bool)
         self.known: OrderedDict[tuple, tuple] = OrderedDict()
 
     def hits(self, ids: np.ndarray) -> dict[int, list[tuple[int, int]]]:
-        """item -> [(position in the text, position in the item)], for items of which the text has words enough."""
-        found: dict[int, list[tuple[int, int]]] = {}
-        for size in self.items.sizes():
-            places, code = self._places(self.items.grams(ids, size))
-            first, n = self.seeds.start[code], self.seeds.start[code + 1] - self.seeds.start[code]
-            at = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
-            own = self.size[self.seeds.item[at]] == size
-            at, p = at[own], np.repeat(places, n)[own]
-            for k, a, q in zip(self.seeds.item[at].tolist(), p.tolist(), self.seeds.position[at].tolist()):
-                found.setdefault(k, []).append((a, q))
-        return {k: v for k, v in found.items() if self._enough(k, ids)} if found else found
-
-    def _places(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of seeds in the text, and the number of the code at each."""
-        known = np.flatnonzero(codes)
-        if not len(known) or not len(self.seeds.codes):
-            return known[:0], known[:0]
-        at = np.minimum(np.searchsorted(self.seeds.codes, codes[known]), len(self.seeds.codes) - 1)
-        ok = self.seeds.codes[at] == codes[known]
-        return known[ok], at[ok]
+        """item -> [(position in the text, position in the item)], for items with seeds and words enough in the text."""
+        items, places, positions = [], [], []
+        for seeds in self.seeds:
+            for shape in SHAPES[seeds.size]:
+                at, code = seeds.places(self.items.grams(ids, shape))
+                if not len(at):
+                    continue
+                first, n = seeds.start[code], seeds.start[code + 1] - seeds.start[code]
+                every = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+                own = seeds.item[every]
+                some = slice(None) if shape == SHAPES[seeds.size][0] else ~self.items.whole[own]  # a whole match has no gap
+                items.append(own[some])
+                places.append(np.repeat(at, n)[some])
+                positions.append(seeds.position[every][some])
+        if not items:
+            return {}
+        item, place, position = map(np.concatenate, (items, places, positions))
+        width = int(position.max()) + 1
+        owner, n = np.unique(np.unique(item * width + position) // width, return_counts=True)
+        enough = owner[n >= self.needed[owner]]
+        out: dict[int, list[tuple[int, int]]] = {}
+        if len(enough):
+            own = np.isin(item, enough)
+            for k, p, q in zip(item[own].tolist(), place[own].tolist(), position[own].tolist()):
+                out.setdefault(k, []).append((p, q))
+        return {k: v for k, v in out.items() if self._enough(k, ids)}
 
     def least(self, item: np.ndarray) -> float:
         """Share of the perfect score that an item needs; a short one must match as a whole."""
@@ -166,7 +222,7 @@ class Scanner:
 
     def windows(self, hits: list[tuple[int, int]], m: int, n: int) -> list[tuple[int, int, int]]:
         """(first, end, seeds) of the passages that the hits point at; overlapping ones become one."""
-        pad = max(4, m // 4)
+        pad = max(4, int(MATCH * m * (1 - self.min_score)))  # words that may be inserted
         out: list[list[int]] = []
         for a, b in sorted((max(0, p - q - pad), min(n, p - q + m + pad)) for p, q in hits):
             if out and a < out[-1][1] and b - out[-1][0] <= 4 * (m + 2 * pad):
@@ -200,30 +256,30 @@ class Scanner:
         return out
 
 
-FIELDS = (("item_ids", "array<bigint>"), ("scores", "array<double>"), ("first_words", "array<bigint>"),
+FIELDS = (("items", "array<int>"), ("scores", "array<double>"), ("first_words", "array<bigint>"),
           ("end_words", "array<bigint>"), ("seeds", "array<bigint>"))
 
 
-def chunks(benchmark: DataFrame, item_col: str, text_col: str, chunk_chars: int = CHUNK_CHARS) -> Iterator[list[tuple]]:
-    """The benchmark's items in chunks of about ``chunk_chars`` characters, one at a time on the driver."""
-    rows = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("i"), F.col(f"`{text_col}`").cast("string").alias("t"))
+def chunks(benchmark: DataFrame, text_col: str, chunk_chars: int = CHUNK_CHARS) -> Iterator[list[str]]:
+    """The items' different texts in chunks of about ``chunk_chars`` characters, one at a time on the driver."""
+    rows = benchmark.select(F.col(f"`{text_col}`").cast("string").alias("t")).dropna().distinct()
     total = rows.agg(F.sum(F.length("t") + F.lit(8)).alias("n")).first()["n"] or 0
     n = max(1, -(-int(total) // chunk_chars))
     for k in range(n):
-        part = rows if n == 1 else rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
-        if own := [(r["i"], r["t"]) for r in part.collect()]:
-            yield sorted(own, key=lambda x: (x[0] is None, x[0] or 0, x[1] or ""))
+        part = rows if n == 1 else rows.filter(F.pmod(F.xxhash64("t"), F.lit(n)) == k)
+        if own := [r["t"] for r in part.collect()]:
+            yield sorted(own)
 
 
-def matched(docs: DataFrame, items: list[tuple], id_col: str = "doc_id", text_col: str = "text",
+def matched(docs: DataFrame, texts: list[str], id_col: str = "doc_id", text_col: str = "text",
             min_score: float = MIN_SCORE, carry: bool = False) -> DataFrame:
-    """Every document with the arrays of its matches against one chunk of the benchmark."""
-    chunk = Items(items)
-    seeds = all_seeds(chunk)
+    """Every document with the arrays of its matches against the texts of one chunk, by their numbers."""
+    chunk = Items(list(enumerate(texts)))
+    seeds, needed = seeds_of(chunk, min_score)
     scanner: dict[str, Scanner] = {}
 
     def run(texts: list) -> list:
-        own = scanner.get("s") or scanner.setdefault("s", Scanner(chunk, seeds, min_score))
+        own = scanner.get("s") or scanner.setdefault("s", Scanner(chunk, seeds, needed, min_score))
         found = [own.matches(t) for t in texts]
         return [[[m[k] for m in ms] for ms in found] for k in range(len(FIELDS))]
 
@@ -234,26 +290,30 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   item_col: str = "item_id", item_text_col: str = "text", min_score: float = MIN_SCORE,
                   chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """One row for each document and matched item: doc_id, item_id, score (share of the perfect
-    alignment, 0 to 1), first_word, end_word (of the best passage), n_seeds."""
+    alignment, 0 to 1), first_word, end_word (of the best passage), n_seeds (that point at it)."""
+    spark = docs.sparkSession
+    ids = benchmark.select(F.col(f"`{item_col}`").alias("item_id"), F.md5(F.col(f"`{item_text_col}`").cast("string").cast("binary")).alias("_key"))
     out = None
-    for items in chunks(benchmark, item_col, item_text_col, chunk_chars):
-        found = (matched(docs, items, id_col, text_col, min_score)
+    for texts in chunks(benchmark, item_text_col, chunk_chars):
+        named = spark.createDataFrame([(k, hashlib.md5(t.encode()).hexdigest()) for k, t in enumerate(texts)], "_item int, _key string")
+        found = (matched(docs, texts, id_col, text_col, min_score)
                  .select(F.col(f"`{id_col}`").alias("doc_id"),
                          F.explode(F.arrays_zip(*[n for n, _ in FIELDS])).alias("m"))
-                 .select("doc_id", F.col("m.item_ids").alias("item_id"), F.col("m.scores").alias("score"),
+                 .select("doc_id", F.col("m.items").alias("_item"), F.col("m.scores").alias("score"),
                          F.col("m.first_words").alias("first_word"), F.col("m.end_words").alias("end_word"),
                          F.col("m.seeds").alias("n_seeds")))
+        found = (found.join(named.join(ids, "_key"), "_item").select("doc_id", "item_id", "score", "first_word", "end_word", "n_seeds"))
         out = found if out is None else out.unionByName(found)
     if out is None:
-        out = docs.sparkSession.createDataFrame([], "item_id long, score double, first_word long, end_word long, n_seeds long") \
-            .select(F.lit(None).cast(docs.schema[id_col].dataType).alias("doc_id"), "*")
+        out = spark.createDataFrame([], "score double, first_word long, end_word long, n_seeds long").select(
+            F.lit(None).cast(docs.schema[id_col].dataType).alias("doc_id"), F.lit(None).cast(benchmark.schema[item_col].dataType).alias("item_id"), "*")
     return out
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     min_score: float = MIN_SCORE, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """The documents (all their columns) that match no item."""
-    for items in chunks(benchmark, "item_id", "text", chunk_chars):
-        docs = (matched(docs, items, id_col, text_col, min_score, carry=True)
-                .filter(F.size("item_ids") == 0).select("row.*"))
+    for texts in chunks(benchmark, "text", chunk_chars):
+        docs = (matched(docs, texts, id_col, text_col, min_score, carry=True)
+                .filter(F.size("items") == 0).select("row.*"))
     return docs

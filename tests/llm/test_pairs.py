@@ -238,6 +238,70 @@ def test_contamination_of_evenly_edited_copies(spark, every):
     assert len(want) > len(bench) and {(r.doc_id, r.item_id): r.score for r in found} == pytest.approx(want)
 
 
+@pytest.mark.parametrize("after", [2, 3, 5])
+def test_contamination_of_copies_with_inserted_words(spark, after):
+    """A word inserted after every second one leaves no three words in a row, and scores 0.75."""
+    bench, data, want = [], [], {}
+    for m in (8, 11, 25, 40):
+        item = [f"i{m}w{k}" for k in range(m)]
+        copy = [x for k, w in enumerate(item) for x in ([w, f"z{k}"] if k % after == after - 1 else [w])]
+        bench.append((m, " ".join(item)))
+        data.append((m, " ".join(["before", *copy, "after"])))
+        want[m, m] = brute.smith_waterman(item, copy) / (2 * m)
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    found = decontam.contamination(docs, spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert min(want.values()) >= 0.6 and {(r.doc_id, r.item_id): r.score for r in found} == pytest.approx(want)
+
+
+def test_contamination_finds_every_copy_that_scores_enough():
+    """Random edits up to the least score, for items that share their openings with many others."""
+    rng = random.Random(4)
+    opening = "which of the following is not".split()
+    texts = [" ".join(opening + [f"i{i}w{k}" for k in range(rng.randrange(1, 40))]) for i in range(150)]
+    texts += [" ".join(rng.choice("abcdef") + str(rng.randrange(4)) for _ in range(rng.randrange(4, 30))) for _ in range(60)]
+    items = decontam.Items(list(enumerate(texts)))
+    scanner = decontam.Scanner(items, *decontam.seeds_of(items, decontam.MIN_SCORE), decontam.MIN_SCORE)
+    tried = 0
+    for _ in range(1_500):
+        k = rng.randrange(len(texts))
+        item, copy = texts[k].split(), []
+        rate = rng.choice([0.05, 0.15, 0.25, 0.35])
+        for w in item:
+            what = rng.random()
+            if what < rate:
+                copy += rng.choice([["zz"], [], [w, "zz"], ["yy", w, "zz"], [w, "yy", "zz"]])
+            else:
+                copy.append(w)
+        score = brute.smith_waterman(item, copy) / (2 * len(item))
+        if score >= decontam.MIN_SCORE:
+            tried += 1
+            found = {i: s for i, s, *_ in scanner.matches(" ".join(["some", "text", *copy, "more", "text"]))}
+            assert found.get(k, 0) >= score - 1e-9, (item, copy)
+    assert tried > 500
+
+
+def test_contamination_time_with_a_shared_opening():
+    import time
+    took = []
+    for n in (500, 5_000):
+        items = decontam.Items([(i, "which of the following is " + " ".join(f"i{i}w{k}" for k in range(30))) for i in range(n)])
+        scanner = decontam.Scanner(items, *decontam.seeds_of(items, decontam.MIN_SCORE), decontam.MIN_SCORE)
+        text = " ".join(f"t{k}" for k in range(200)) + " which of the following is " + " ".join(f"u{k}" for k in range(200))
+        scanner.matches(text)
+        began = time.process_time()
+        for _ in range(50):
+            assert scanner.matches(text) == []
+        took.append(time.process_time() - began)
+    assert took[1] < 3 * took[0] + 0.1
+
+
+def test_contamination_with_string_ids_and_repeated_items(spark):
+    docs = spark.createDataFrame([("d", "x alpha beta gamma delta y"), ("e", "q " * 100_000)], "doc_id string, text string")
+    bench = spark.createDataFrame([("i", "alpha beta gamma delta")] * 3 + [("j", "Alpha, beta gamma delta"), ("k", None)], "item_id string, text string")
+    got = decontam.contamination(docs, bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [("d", "i")] * 3 + [("d", "j")]
+
+
 def test_quality_finds_toxic_and_bad_documents(spark):
     got = {r.doc_id: r for r in entry.queries()["op6_quality_bayes"](spark, SF).collect()}
     labels = brute.rows("labels", SF)
