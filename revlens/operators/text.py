@@ -87,6 +87,34 @@ def cloud_words(df: DataFrame, text_col: str, k: int = 100, stop_words=None) ->
     return top.select("word", "count", (F.col("count") / peak).alias("weight"))
 
 
+#: Words that a task's summary follows; counts are off by less than SUMMARY_ERROR * all words / followed words.
+FOLLOWED_WORDS, SUMMARY_ERROR = 65_536, 3.5
+
+
+def heavy_words(df: DataFrame, text_col: str, k: int = 100, stop_words=None, followed: int = FOLLOWED_WORDS) -> DataFrame:
+    """N3/T3 without shuffling the vocabulary: exactly ``word_freq``.
+
+    A first pass keeps a summary of bounded size for each task (frequent items, merged) whose words are the candidates; a second one
+    counts the candidates exactly, so a task sends ``followed`` rows at most, whatever the vocabulary.  A word that is no candidate
+    occurs less often than the summary's error; where the k-th candidate does not pass that (flat counts, few words), all
+    words are counted as ``word_freq`` does.  Runs both passes' jobs to decide.
+    """
+    words = keywords(df, text_col, stop_words=stop_words)
+    # the summary can list 100,000 words at most
+    found = words.agg(F.expr(f"approx_top_k(word, {min(followed, 100_000)}, {followed})").alias("top"), F.count("*").alias("n"))
+    head = found.select("n", F.transform("top", lambda x: x["item"]).alias("words")).first()
+    if not head["n"]:
+        return word_freq(df, text_col, k, stop_words)
+    candidates = df.sparkSession.createDataFrame([(w,) for w in head["words"]], "word string")
+    counted = words.join(candidates, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    top = order_desc_limit(counted, "count", "word", k)
+    last = top.collect()
+    least = last[-1]["count"] if len(last) == k else 0
+    if least <= SUMMARY_ERROR * head["n"] / followed:
+        return word_freq(df, text_col, k, stop_words)
+    return top
+
+
 def _stem(word: Column) -> Column:
     """A word without its plural s: what ends in one s (not two) loses it."""
     plural = word.endswith("s") & ~word.endswith("ss") & (F.length(word) > 1)

@@ -44,6 +44,14 @@ def q_word_freq(spark, sf):
     return tx.word_freq(table(spark, sf, "documents"), "text", 100)
 
 
+@register("heavy_words", f"""
+SELECT word, count(*) AS count FROM (SELECT unnest({filtered_sql()}) AS word FROM documents)
+GROUP BY word ORDER BY count DESC, word LIMIT 100""")
+def q_heavy_words(spark, sf):
+    """``word_freq`` from summaries of bounded size and a second pass over their words."""
+    return tx.heavy_words(table(spark, sf, "documents"), "text", 100)
+
+
 @register("cloud_words", f"""
 WITH top AS (SELECT word, count(*) AS count FROM (SELECT unnest({filtered_sql()}) AS word FROM documents)
              GROUP BY word ORDER BY count DESC, word LIMIT 100)

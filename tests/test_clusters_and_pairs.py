@@ -117,3 +117,15 @@ def test_collocations_match_plain_python(spark, min_score):
 def test_cloud_terms_without_words(spark):
     empty = spark.createDataFrame([(None,), ("",)], "text string")
     assert tx.cloud_terms(empty, "text").collect() == [] and tx.collocations(empty, "text").collect() == []
+
+
+def test_heavy_words_are_the_most_frequent_ones(spark, monkeypatch):
+    rows = [(" ".join(f"w{(k * j) % 997}" for j in range(1, 60)) + " alpha" * (k % 4) + " beta" * (k % 3),) for k in range(3_000)]
+    df = spark.createDataFrame(rows, "text string").repartition(5)
+    full = tx.word_freq
+    want = [tuple(r) for r in full(df, "text", 5).collect()]
+    asked = []
+    monkeypatch.setattr(tx, "word_freq", lambda *a: asked.append(a) or full(*a))
+    assert [tuple(r) for r in tx.heavy_words(df, "text", 2).collect()] == want[:2] and not asked
+    assert [tuple(r) for r in tx.heavy_words(df, "text", 5, followed=512).collect()] == want and asked  # flat counts: all words are counted
+    assert tx.heavy_words(spark.createDataFrame([(None,)], "text string"), "text").collect() == []
