@@ -63,6 +63,49 @@ def test_license_whole_texts():
     assert {x for _, _, x in places} == {"mit"} and not base
 
 
+WHOLE = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
+        (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,
+        publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so,
+        subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or
+        substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING
+        BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+        AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+        OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "bsd": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+        conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+        disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+        disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor
+        the names of its contributors may be used to endorse or promote products derived from this software without specific prior written
+        permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+        INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO
+        EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+        DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+        INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR
+        OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "isc": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided
+        that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR
+        DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL
+        THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE,
+        DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+        PERFORMANCE OF THIS SOFTWARE.""",
+}
+
+
+@pytest.mark.parametrize("label", sorted(WHOLE))
+def test_license_covers_whole_wordings(label):
+    words, _, placed = license.scan("before it " + WHOLE[label] + " after it")
+    assert [(a, b) for a, b, x in placed if x == label] == [(2, len(words) - 2)]
+    changed = license.scan("before it " + " ".join(WHOLE[label].split()).replace("IN NO EVENT", "IN SOME EVENT") + " after it")[2]
+    assert all(b < len(words) - 20 for _, b, x in changed if x == label)  # the changed disclaimer is not covered
+
+
+def test_license_spellings():
+    assert [x for *_, x in license.scan("This is licenced under the terms of the MIT licence now")[2]] == ["mit"]
+    assert license.scan("under the MIT licence")[1] == []  # the base phrase is exact
+    assert [x for *_, x in license.scan("© 2020 Some Company. All rights reserved.")[2]] == ["all-rights-reserved"]
+
+
 def test_license_odd(odd):
     got = check_odd(license.license_scan(odd), len(TEXTS) + 2)
     assert got[10].n_base == 1 and got[0].n_words == 0 and got[0].score == 0.0
