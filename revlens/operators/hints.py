@@ -24,3 +24,21 @@ def repartition_by(df: DataFrame, n: int | None, *cols: str, n_salts: int = 1) -
     if n_salts > 1:
         keys.append(F.pmod(F.xxhash64(*df.columns), F.lit(n_salts)))
     return df.repartition(n, *keys) if n else df.repartition(*keys)
+
+
+#: Below so many stored bytes for each core an input is dealt out by ``spread_small``.
+SPREAD_BYTES = 16 << 20
+
+
+def spread_small(df: DataFrame, bytes_per_core: int = SPREAD_BYTES) -> DataFrame:
+    """H2 for inputs with fewer row groups than cores: deal the rows round robin over all cores, same rows.
+
+    A small file is often one row group, which one task reads; per-row work that costs more than reading (tokenising) then
+    leaves all other cores idle.  The size is the planner's estimate from the files, so nothing is read, and an input above
+    ``bytes_per_core`` for each core is left as it is: its splits feed the cores, and its rows are never shuffled.
+    """
+    if not hasattr(df, "_jdf"):  # a Spark Connect session does not tell the size
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < bytes_per_core * cores else df

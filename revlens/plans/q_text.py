@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregate as ag
 from ..operators import text as tx
+from ..operators.hints import spread_small
 from ..sources.tables import table, text_reviews
 from .catalog import register
 from .sql import TEXT_REVIEWS, TOKENS, with_
@@ -22,6 +23,10 @@ def filtered_sql() -> str:
     return f"list_filter({TOK}, lambda x: NOT list_contains({_stop_list_sql()}, lower(x)))"
 
 
+def _texts(spark, sf, *carry):
+    return spread_small(table(spark, sf, "documents").select(*carry, "text"))
+
+
 @register("tokenize", f"""
 SELECT doc_id, CAST(len({TOK}) AS INTEGER) AS n_tokens, array_to_string({TOK}, ' ') AS tokens FROM documents""")
 def q_tokenize(spark, sf):
@@ -41,7 +46,7 @@ def q_remove_stopwords(spark, sf):
 SELECT word, count(*) AS count FROM (SELECT unnest({filtered_sql()}) AS word FROM documents)
 GROUP BY word ORDER BY count DESC, word LIMIT 100""")
 def q_word_freq(spark, sf):
-    return tx.word_freq(table(spark, sf, "documents"), "text", 100)
+    return tx.word_freq(_texts(spark, sf), "text", 100)
 
 
 @register("heavy_words", f"""
@@ -49,7 +54,7 @@ SELECT word, count(*) AS count FROM (SELECT unnest({filtered_sql()}) AS word FRO
 GROUP BY word ORDER BY count DESC, word LIMIT 100""")
 def q_heavy_words(spark, sf):
     """``word_freq`` from summaries of bounded size and a second pass over their words."""
-    return tx.heavy_words(table(spark, sf, "documents"), "text", 100)
+    return tx.heavy_words(_texts(spark, sf), "text", 100)
 
 
 @register("cloud_words", f"""
@@ -57,7 +62,7 @@ WITH top AS (SELECT word, count(*) AS count FROM (SELECT unnest({filtered_sql()}
              GROUP BY word ORDER BY count DESC, word LIMIT 100)
 SELECT word, count, count / (SELECT max(count) FROM top) AS weight FROM top""")
 def q_cloud_words(spark, sf):
-    return tx.cloud_words(table(spark, sf, "documents"), "text", 100)
+    return tx.cloud_words(_texts(spark, sf), "text", 100)
 
 
 def _folded_sql(word: str) -> tuple[str, str]:
@@ -88,7 +93,7 @@ found AS (SELECT *, -2 * ({parts[0]} + {parts[1]} - ({parts[2]}) - ({parts[3]}))
 
 @register("collocations", _collocations_sql() + "SELECT word1, word2, count, round(score, 2) AS score FROM found WHERE score > 30")
 def q_collocations(spark, sf):
-    return tx.collocations(table(spark, sf, "documents"), "text").withColumn("score", F.round("score", 2))
+    return tx.collocations(_texts(spark, sf), "text").withColumn("score", F.round("score", 2))
 
 
 @register("cloud_terms", _collocations_sql().rstrip() + """,
@@ -99,7 +104,7 @@ terms AS (SELECT word AS term, CAST(count - coalesce(taken, 0) AS BIGINT) AS cou
 top AS (SELECT term, count FROM terms WHERE count > 0 ORDER BY count DESC, term LIMIT 100)
 SELECT term, count, count / (SELECT max(count) FROM top) AS weight FROM top""")
 def q_cloud_terms(spark, sf):
-    return tx.cloud_terms(table(spark, sf, "documents"), "text", 100)
+    return tx.cloud_terms(_texts(spark, sf), "text", 100)
 
 
 @register("word_repetition", """
@@ -108,7 +113,7 @@ SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS word_count,
        len(string_split(text, ' ')) / len(list_distinct(string_split(text, ' '))) AS word_repetition_ratio
 FROM documents WHERE text IS NOT NULL ORDER BY word_repetition_ratio DESC, doc_id LIMIT 5""")
 def q_word_repetition(spark, sf):
-    return tx.word_repetition(table(spark, sf, "documents"), "text", "doc_id", 5)
+    return tx.word_repetition(_texts(spark, sf, "doc_id"), "text", "doc_id", 5)
 
 
 @register("word_sentiment", TR + """
@@ -132,7 +137,7 @@ def q_keyword_sentiment(spark, sf):
 SELECT coalesce(avg(CASE WHEN regexp_matches(text, 'refund|return|defective', 'i') THEN 1 ELSE 0 END) * 100.0, 0.0)
        AS keyword_pct FROM documents""")
 def q_keyword_share(spark, sf):
-    return ag.keyword_share(table(spark, sf, "documents"), "text")
+    return ag.keyword_share(_texts(spark, sf), "text")
 
 
 @register("label_frequency", """

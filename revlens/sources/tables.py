@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.hints import spread_small
 from . import derived
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -145,7 +146,7 @@ def text_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked for and the labels are too big to broadcast.
     """
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    return table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
+    return spread_small(table(spark, sf_dir, "documents")).join(labels, "doc_id", "left")
 
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,6 +32,16 @@ def test_count_vectors_and_lda_shapes(spark):
     assert topics.count() == 6 and set(topics.columns) == {"topic", "rank", "term", "weight"}
 
 
+def test_small_inputs_are_dealt_over_the_cores(spark):
+    path = scratch_path(spark, "one-file")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    spread = hints.spread_small(df)
+    sizes = spread.rdd.glom().map(len).collect()
+    assert len(sizes) == spark.sparkContext.defaultParallelism and min(sizes) > 0 and sum(sizes) == 1000
+    assert hints.spread_small(df, bytes_per_core=0) is df
+
+
 def test_hints_keep_rows(spark):
     df = spark.range(100).withColumn("k", F.col("id") % 5)
     cached = hints.cache(df)
