@@ -68,10 +68,11 @@ class Bundler:
         """Sums of the trigrams' vectors; those of ``codes[k]`` go to row ``row[k]``.
 
         Different trigrams are taken slice by slice: sums of whole numbers do not depend on the order."""
-        distinct, place = np.unique(np.concatenate(codes), return_inverse=True)
-        owner = np.repeat(row, [len(c) for c in codes])
-        order = np.argsort(place, kind="stable")
-        place, owner = place[order], owner[order]
+        every = np.concatenate(codes)
+        order = np.argsort(every)  # sorted once; equal trigrams may come in any order
+        every, owner = every[order], np.repeat(row, [len(c) for c in codes])[order]
+        new = np.concatenate([[True], every[1:] != every[:-1]])
+        distinct, place = every[new], np.cumsum(new) - 1
         out = np.zeros((n_rows, self.dimensions))
         for first in range(0, len(distinct), SLICE_TRIGRAMS):
             some = distinct[first:first + SLICE_TRIGRAMS]
