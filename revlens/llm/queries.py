@@ -109,14 +109,14 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP13_SQL = """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
-         list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS q
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 anchored AS (SELECT vec_id AS anchor_id, label AS anchor_label, q AS a FROM v WHERE vec_id % 100 = 0),
 scored AS (
   SELECT anchor_id, vec_id, label = anchor_label AS same,
-         coalesce(list_sum(list_transform(range(1, least(len(a), len(q)) + 1), i -> a[i] * q[i])), 0)::BIGINT AS score
+         coalesce(list_sum(list_transform(range(1, least(len(a), len(q)) + 1), lambda i: a[i] * q[i])), 0)::BIGINT AS score
   FROM anchored, v WHERE vec_id <> anchor_id),
 positives AS (
   SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
