@@ -89,7 +89,7 @@ def plan_runs(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[in
     with ranks first..first+number-1 take the sequences from the first on, at this offset.
 
     Open bins are kept as groups of equal room; lengths are taken from long to short, and
-    pieces go to the fullest group that they fit into, as many in one step as the group has bins.
+    pieces go to the fullest group that they fit into, bin after bin, as many into each as fit.
     """
     left = {n: c for n, c in counts.items() if c}
     rank = dict.fromkeys(left, 0)
@@ -124,11 +124,18 @@ def plan_runs(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[in
             if not groups[room]:
                 del groups[room]
                 rooms.pop(k)
-            used = min(need, number)
-            runs.append((length, rank[length], used, first, capacity - room))
-            rank[length] += used
-            need -= used
-            put(room - length, first, used)
+            # a bin that has taken a piece is the fullest one that fits the next, until it fits no more
+            per = room // length
+            bins, rest = divmod(need, per)
+            used = 0
+            for each, some in ((per, min(bins, number)), (rest, 1 if rest and bins < number else 0)):
+                for j in range(each if some else 0):
+                    runs.append((length, rank[length], some, first + used, capacity - room + j * length))
+                    rank[length] += some
+                if each and some:
+                    need -= each * some
+                    put(room - each * length, first + used, some)
+                    used += some
             if used < number:
                 put(room, first + used, number - used)
     return runs

@@ -4,7 +4,7 @@ import struct
 
 import numpy as np
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
 import __spark_entry__ as entry
@@ -203,7 +203,8 @@ def test_packing_matches_brute_force(spark):
     assert n == len(bins)
 
 
-@settings(max_examples=200, deadline=None)
+@settings(max_examples=300, deadline=None)
+@example({5: 4, 7: 22, 32: 12})
 @given(st.dictionaries(st.integers(1, 50), st.integers(1, 40), max_size=12))
 def test_plan_places_every_piece_once(counts):
     runs = packing.plan_runs(counts, 50)
