@@ -58,9 +58,9 @@ BROADCAST_IDS = 1_000_000
 #: Texts and bytes of grams in a block of a class, and grams of a matrix, when links are counted.
 BLOCK_TEXTS, BLOCK_BYTES, COLUMNS = 2_048, 16_000_000, 4_096
 #: Texts, and bytes of their grams, that are compared with every text to measure recall.
-SAMPLE_TEXTS, SAMPLE_BYTES = 512, 16_000_000
+SAMPLE_TEXTS, SAMPLE_BYTES = 256, 16_000_000
 #: Texts of a subtree's block when MinHash values are compared, and pairs of values that are compared at once.
-COMPARED_TEXTS, AT_ONCE = 512, 32_000_000
+COMPARED_TEXTS, AT_ONCE = 512, 8_000_000
 #: Up to so many pairs for each text of a block are verified as pairs; where there are more, the texts are compared in blocks.
 FEW = 8
 
@@ -107,6 +107,13 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of so many rows at most, which bound what a task makes of them at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def set_digest(found: np.ndarray) -> bytes:
     return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
 
@@ -151,7 +158,7 @@ def choose_sample(texts: DataFrame, threshold: float = THRESHOLD) -> Sample:
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: Sample | None = None) -> DataFrame:
     """doc_id, set_key (digest of the gram set; null without words), sig, near (numbers of the sample's sets that are linked)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches, 256):
             keys, sigs, near = [], [], []
             for text in b.column(1).to_pylist():
                 found = grams(text)
@@ -175,9 +182,7 @@ def forest(reps: DataFrame) -> DataFrame:
         more = np.uint64(1) << (np.uint64(56) - np.uint64(8) * np.arange(8, dtype=np.uint64))
         trees = np.arange(TREES, dtype=np.uint64) << np.uint64(59)
         take = (np.arange(TREES)[:, None] * VALUES + np.arange(15)[None, :]) % (TREES * VALUES)
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in sliced(batches, 2_048):
             sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(b.num_rows, -1).astype(np.uint64)
             v = sig[:, take]
             path = (v[:, :, :7] * weight).sum(axis=2, dtype=np.uint64) | trees
