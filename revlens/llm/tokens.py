@@ -36,6 +36,9 @@ WORD_AND_SIGN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)\Z")
 
 #: Entries that a worker's two caches hold; the first ones stay, which are mostly the frequent ones.
 CACHE_PIECES, CACHE_CHUNKS = 600_000, 300_000
+#: The same for a tokenizer that lower-cases.  There words are kept as pieces too, so a word in other case or with
+#: another sign is known even when the cache of chunks is full.
+LOWER_PIECES, LOWER_CHUNKS = 1_000_000, 800_000
 #: Longer pieces are not kept.
 CACHE_LENGTH = 40
 
@@ -71,14 +74,25 @@ class _Pieces(dict):
     def __init__(self, library: Tokenizer, lower: bool):
         super().__init__()
         self.library, self.lower, self.split = library, lower, library.model.tokenize
+        self.most = LOWER_PIECES if lower else CACHE_PIECES
 
     def word(self, letters: str) -> bytes:
         """Ids of a run of plain letters, after a blank if the tokenizer keeps blanks."""
         if self.lower:
             letters = letters.lower()
+            if (made := self.get(letters)) is not None:
+                return made
+        plain = letters
         if not letters.isascii():  # ASCII letters stand for themselves
-            letters = letters.encode().decode("latin-1").translate(BYTE_LETTERS)
-        return _packed([t.id for t in self.split(letters if self.lower else BYTE_LETTERS[32] + letters)])
+            plain = letters.encode().decode("latin-1").translate(BYTE_LETTERS)
+        made = _packed([t.id for t in self.split(plain if self.lower else BYTE_LETTERS[32] + plain)])
+        if self.lower:
+            self.keep(letters, made)
+        return made
+
+    def keep(self, piece: str, made: bytes) -> None:
+        if len(self) < self.most and len(piece) <= CACHE_LENGTH:
+            self[piece] = made
 
     def __missing__(self, piece: str) -> bytes:
         if PLAIN_WORD.match(piece):
@@ -86,8 +100,7 @@ class _Pieces(dict):
             made = _packed([t.id for t in self.split(word.encode().decode("latin-1").translate(BYTE_LETTERS))])
         else:
             made = _packed(self.library.encode(piece, add_special_tokens=False).ids)
-        if len(self) < CACHE_PIECES and len(piece) <= CACHE_LENGTH:
-            self[piece] = made
+        self.keep(piece, made)
         return made
 
 
@@ -101,6 +114,7 @@ class WordTokenizer(dict):
         self.library = Tokenizer.from_file(path)
         #: a tokenizer that rewrites texts first (white space, case) keeps no blank before a word
         self.blanks = self.library.normalizer is None
+        self.most = CACHE_CHUNKS if self.blanks else LOWER_CHUNKS
         self.find = PIECES["byte" if self.blanks else "word"].findall
         self.pieces = _Pieces(self.library, lower=not self.blanks)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
@@ -110,10 +124,11 @@ class WordTokenizer(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         if m := WORD_AND_SIGN.match(chunk):
-            made = self[m[1]] + self.pieces[m[2]] if m[2] else self.pieces.word(chunk)
+            word = self.__getitem__ if self.blanks and m[2] else self.pieces.word
+            made = word(m[1]) + self.pieces[m[2]] if m[2] else word(chunk)
         else:
             made = self._by_pieces(" " + chunk if self.blanks else chunk)
-        if len(self) < CACHE_CHUNKS and len(chunk) <= CACHE_LENGTH:
+        if len(self) < self.most and len(chunk) <= CACHE_LENGTH:
             self[chunk] = made
         return made
 

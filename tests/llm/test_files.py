@@ -26,6 +26,16 @@ def test_cached_ids_are_the_librarys(name):
         assert t.encode(text) == brute.ids(t.library, text)[1][:-4], text[:80]
 
 
+def test_a_word_is_split_once_when_the_chunks_are_full():
+    """In any case and with any sign behind it: the model is asked once for a word that the cache of pieces holds."""
+    t = WordTokenizer(public_path("word_bpe_49k.json"))
+    t.most, asked, split = 0, [], t.pieces.split
+    t.pieces.split = lambda word: asked.append(word) or split(word)
+    text = "Unheard unheard, UNHEARD! unheard élanvital Élanvital."
+    assert t.encode(text) == brute.ids(t.library, text)[1][:-4]
+    assert len(t) == 0 and len(asked) == 2
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="aB é'\n\t ,.1²śдß", max_size=30))
 def test_cached_ids_of_any_text(text):
