@@ -54,15 +54,27 @@ def lod_per_key(df: DataFrame, key: str, agg: Column, alias: str = "value") -> D
     return df.groupBy(key).agg(agg.alias(alias))
 
 
-def lod_join(df: DataFrame, keys: Sequence[str], agg: Column, alias: str = "fixed_value") -> DataFrame:
+#: A key with more than 1 / HOT_KEYS of all rows is hot; there are fewer than HOT_KEYS of them, whatever the input.
+HOT_KEYS = 10_000
+
+
+def lod_join(df: DataFrame, keys: Sequence[str], agg: Column, alias: str = "fixed_value",
+             hot_keys: int = HOT_KEYS) -> DataFrame:
     """Attach a fixed-level aggregate to every row.
 
     Aggregate-then-join rather than ``Window.partitionBy(keys)``: the aggregate
-    combines map-side, and a hot key is split by AQE's skew-join handling
-    instead of being sorted whole inside one task.
+    combines map-side.  Rows of hot keys (null is a key like any other) get
+    their value from a short list and are neither shuffled nor sorted, as all
+    rows of such a key would land in one task.  The other rows are joined by key.
     """
-    fixed = df.groupBy(*keys).agg(agg.alias(alias))
-    return null_safe_join(df, fixed, keys, "left")
+    rows = F.col("_key_rows")
+    fixed = df.groupBy(*keys).agg(agg.alias(alias), F.count(F.lit(1)).alias("_key_rows"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    # the limit is above what their shares of the rows allow: it drops no key and tells the planner how short the list is
+    hot = fixed.filter(rows * hot_keys > total).limit(hot_keys).drop("_key_rows")
+    rare = fixed.filter(rows * hot_keys <= total).drop("_key_rows")
+    return null_safe_join(df, hot, keys, "inner").union(
+        null_safe_join(null_safe_join(df, hot, keys, "left_anti"), rare, keys, "left"))
 
 
 def daily_counts(df: DataFrame, date_col: str, count_col: str | None = None) -> DataFrame:

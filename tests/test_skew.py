@@ -52,6 +52,21 @@ def test_hot_key_lod_join_whole(skewed):
     assert j.filter("asin = 0").select(F.min("fixed_value"), F.max("fixed_value")).first() == (10000, 10000)
 
 
+def test_hot_keys_are_not_shuffled_as_rows(spark):
+    """Null and one value hold most rows: their rows are joined where they stand, so no task sorts a whole key."""
+    df = spark.range(30000).select(
+        "id", F.when(F.col("id") % 2 == 0, F.lit(None)).when(F.col("id") % 3 == 0, F.lit("x"))
+        .otherwise(F.col("id").cast("string")).alias("k"), (F.col("id") % 7).alias("v"))
+    j = lod.lod_join(df, ["k"], F.sum("v"))
+    want = {r.k: r.s for r in df.groupBy("k").agg(F.sum("v").alias("s")).collect()}
+    rows = j.collect()
+    assert j.columns == ["id", "k", "v", "fixed_value"] and sorted(r.id for r in rows) == list(range(30000))
+    assert all(r.fixed_value == want[r.k] for r in rows)
+    assert "LeftAnti" in _plan(j) and "BroadcastHashJoin" in _plan(j)
+    few = lod.lod_join(df, ["k"], F.sum("v"), hot_keys=1)  # no key is hot
+    assert sorted(few.collect(), key=lambda r: r.id) == sorted(rows, key=lambda r: r.id)
+
+
 def test_hot_value_profile_and_rollup(skewed):
     prof = {r.column_name: r for r in profile.profile_columns(skewed.select("asin", "overall")).collect()}
     assert prof["overall"].n_distinct == 5
