@@ -171,6 +171,10 @@ class Block:
             self.kinds[kind] = self.kinds[np.int64].astype(kind)
         x = self.kinds[kind] if rows is None else self.kinds[kind][rows]
         out = x @ anchor.astype(kind)
+        if kind is np.int64 and most >= 1 << 63:  # a sum that 64 bits cannot hold stands rounded, not wrapped around
+            near = x.astype(np.float64) @ anchor.astype(np.float64)
+            beyond = np.abs(near) >= float(1 << 63) - 1e-12 * most
+            return np.where(beyond, near, out) if beyond.any() else out
         return out if kind is np.int64 else out.astype(np.float64)
 
 

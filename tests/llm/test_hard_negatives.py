@@ -78,6 +78,12 @@ def test_one_vec_id_with_most_rows(spark):
     assert set(mined(df)) == all_pairs(data)
 
 
+def test_sums_beyond_64_bits_do_not_wrap_around():
+    x = np.array([[2_000_000_000] * 4, [-2_000_000_000] * 4, [2_000_000_000, 1, 0, 0]])
+    block = hn.Block(np.arange(3), np.zeros(3, np.int64), x)
+    assert block.scores(x[0], 4e9).tolist() == [1.6e19, -1.6e19, 4_000_000_002_000_000_000.0]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.integers(1, 60), st.integers(1, 5), st.integers(0, 10_000), st.sampled_from([1, 30, 3_000, 2_000_000_000]))
 def test_bounds_hold_and_best_rows_are_exact(n, dims, seed, size):
